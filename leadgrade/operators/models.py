@@ -64,11 +64,18 @@ def training_table(
     return ready.join(folded.select("lead_id", "fold"), "lead_id")
 
 
-def _search(estimator, grid, table: DataFrame, k: int, parallelism: int):
+def _best(estimator, grid, table: DataFrame, k: int, parallelism: int):
+    """(model, index of the best cell, its mean AUC over the folds).
+
+    The best cell is refitted on all rows. A single cell needs no search, and its
+    AUC is NaN.
+    """
+    if len(grid) == 1:
+        return estimator.copy(grid[0]).fit(table), 0, float("nan")
     evaluator = BinaryClassificationEvaluator(
         rawPredictionCol="rawPrediction", metricName="areaUnderROC", numBins=0
     )
-    return CrossValidator(
+    fitted = CrossValidator(
         estimator=estimator,
         estimatorParamMaps=grid,
         evaluator=evaluator,
@@ -76,6 +83,8 @@ def _search(estimator, grid, table: DataFrame, k: int, parallelism: int):
         foldCol="fold",
         parallelism=parallelism,
     ).fit(table)
+    best = max(range(len(grid)), key=lambda i: fitted.avgMetrics[i])
+    return fitted.bestModel, best, fitted.avgMetrics[best]
 
 
 def train_logistic(
@@ -94,14 +103,8 @@ def train_logistic(
         weightCol="weight", standardization=False, maxIter=100, elasticNetParam=0.0
     )
     params = ParamGridBuilder().addGrid(base.regParam, [1.0 / (c * n) for c in grid]).build()
-    fitted = _search(base, params, table, k, parallelism)
-    best = max(range(len(grid)), key=lambda i: fitted.avgMetrics[i])
-    return Trained(
-        PipelineModel([fitted.bestModel]),
-        "logistic_regression",
-        {"C": grid[best]},
-        fitted.avgMetrics[best],
-    )
+    model, best, auc = _best(base, params, table, k, parallelism)
+    return Trained(PipelineModel([model]), "logistic_regression", {"C": grid[best]}, auc)
 
 
 def train_boosted(
@@ -111,20 +114,14 @@ def train_boosted(
     parallelism: int = 4,
     seed: int = C.DEFAULT_SEED,
 ) -> Trained:
-    """Boosted trees over the grid; one grid cell is fitted without a search."""
+    """Boosted trees over the grid."""
     base = GBTClassifier(weightCol="weight", seed=seed)
     builder = ParamGridBuilder()
     for name, values in grid.items():
         builder = builder.addGrid(base.getParam(name), list(values))
     params = builder.build()
-    if len(params) == 1:
-        model = base.copy(params[0]).fit(table)
-        best, auc = params[0], float("nan")
-    else:
-        fitted = _search(base, params, table, k, parallelism)
-        top = max(range(len(params)), key=lambda i: fitted.avgMetrics[i])
-        model, best, auc = fitted.bestModel, params[top], fitted.avgMetrics[top]
-    chosen = {p.name: v for p, v in best.items()}
+    model, best, auc = _best(base, params, table, k, parallelism)
+    chosen = {p.name: v for p, v in params[best].items()}
     return Trained(PipelineModel([model]), "boosted_trees", chosen, auc)
 
 

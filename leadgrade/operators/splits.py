@@ -53,16 +53,20 @@ def split_80_10_10(
     df: DataFrame,
     strata: Sequence[str] = ("attitude", "language"),
     row_id: str = "lead_id",
+    seed: int = C.DEFAULT_SEED,
 ) -> DataFrame:
-    """Train, validation and test parts that keep the joint distribution."""
-    key = F.concat_ws("_", *strata)
-    parts = stratified_split(
-        df.withColumn("stratum", key),
+    """Train, validation and test parts that keep the joint distribution.
+
+    The hash seed differs from the one of ``split_60_20_20``: two splits of the
+    same ids must be independent, or one test part would lie inside the other.
+    """
+    return stratified_split(
+        df.withColumn("stratum", F.concat_ws("_", *strata)),
         ["stratum"],
         {"train": 0.8, "val": 0.1, "test": 0.1},
         row_id,
+        f"joint{seed}",
     )
-    return parts
 
 
 def kfold(

@@ -13,7 +13,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from leadgrade.functions.hashing import hash_uniform
-from leadgrade.functions.scoring import literal_map
+from leadgrade.functions.scoring import literal_map, logistic
 from leadgrade.operators import derive, priority
 
 CUT_DATE = "2000-01-01"
@@ -374,10 +374,9 @@ SCORE_INPUTS = (
 )
 
 
-def scored(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """(lead_id, converted, p_conversion) with the fixed formula, to six places."""
-    leads = raw_leads(spark, sf_dir, SCORE_INPUTS)
-    flags = derive.flag_columns(leads.columns)
+def formula_score(columns: list[str]) -> Column:
+    """Probability by the fixed formula from raw lead columns, to six places."""
+    flags = derive.flag_columns(columns)
     z = (
         F.lit(-1.5)
         + F.lit(0.12) * F.coalesce("total_visits", F.lit(0.0))
@@ -387,7 +386,13 @@ def scored(spark: SparkSession, sf_dir: str) -> DataFrame:
         - F.lit(0.2) * flags["do_not_email"]
         + F.lit(0.1) * flags["free_copy"]
     )
-    p = F.round(F.lit(1.0) / (F.lit(1.0) + F.exp(-z)), 6)
+    return F.round(logistic(z), 6)
+
+
+def scored(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """(lead_id, converted, p_conversion) by the fixed formula."""
+    leads = raw_leads(spark, sf_dir, SCORE_INPUTS)
+    p = formula_score(leads.columns)
     return leads.select("lead_id", "converted", p.alias("p_conversion"))
 
 

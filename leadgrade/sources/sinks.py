@@ -2,13 +2,24 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, DataFrameWriter, SparkSession
 from pyspark.sql import functions as F
 
 from leadgrade.sources.readers import read_predictions
 from leadgrade.sources.schema import PREDICTION_SCHEMA, require_columns
 
 
+def csv_writer(df: DataFrame) -> DataFrameWriter:
+    """CSV that reads back as written: quotes doubled, outer blanks kept."""
+    return (
+        df.write.mode("overwrite")
+        .option("header", True)
+        .option("escape", '"')
+        .option("ignoreLeadingWhiteSpace", False)
+        .option("ignoreTrailingWhiteSpace", False)
+    )
+
+
 def write_both(df: DataFrame, path: str) -> None:
     """``<path>.parquet`` and ``<path>.csv`` with the same rows.
 
@@ -18,12 +29,7 @@ def write_both(df: DataFrame, path: str) -> None:
     parquet = f"{path}.parquet"
     df.write.mode("overwrite").parquet(parquet)
     stored = df.sparkSession.read.schema(df.schema).parquet(parquet)
-    (
-        stored.write.mode("overwrite")
-        .option("header", True)
-        .option("escape", '"')
-        .csv(f"{path}.csv")
-    )
+    csv_writer(stored).csv(f"{path}.csv")
 
 
 def write_report(df: DataFrame, path: str) -> None:
