@@ -79,3 +79,8 @@ def given_or_placeholder(col: Column) -> Column:
 def r6(col: Column | str) -> Column:
     """Round to six places at the output edge (adding zero folds -0.0)."""
     return F.round(col, 6) + F.lit(0.0)
+
+
+def r9(col: Column | str) -> Column:
+    """Round to nine places: quantiles lie between six-place values, on a finer grid."""
+    return F.round(col, 9) + F.lit(0.0)

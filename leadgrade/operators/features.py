@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from leadgrade import constants as C
 from leadgrade.functions.clean import clip_upper, scale
-from leadgrade.plans.ordered import interpolate, quantiles
+from leadgrade.plans.ordered import count_quantiles, interpolate, quantiles, value_counts
 from leadgrade.plans.sizing import gathered
 
 NUMERIC = (*C.CLIPPED_NUMERIC, *C.RATIO_NUMERIC)
@@ -47,11 +47,11 @@ def numeric_params(derived: DataFrame) -> DataFrame:
     the clipped pair of middle values, and one ordering serves both quantiles. A
     column that is null throughout imputes zero.
     """
-    long = _long(derived, NUMERIC, "double")
-    stats = quantiles(
-        long, "value", {"clip": C.CLIP_QUANTILE, "median": 0.5}, ["column"]
-    )
-    nulls = long.groupBy("column").agg(F.count_if(F.col("value").isNull()).alias("_n"))
+    counts = value_counts(_long(derived, NUMERIC, "double"), "value", ["column"])
+    probs = {"clip": C.CLIP_QUANTILE, "median": 0.5}
+    stats = count_quantiles(counts, probs, ["column"])
+    null_rows = F.sum(F.when(F.col("_v").isNull(), F.col("_c")).otherwise(0))
+    nulls = counts.groupBy("column").agg(null_rows.alias("_n"))
     clipped = F.col("column").isin(*C.CLIPPED_NUMERIC)
     clip = F.when(clipped, F.col("clip"))
     lo = F.least("median_lo", clip)

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from leadgrade import constants as C
-from leadgrade.functions.clean import r6
+from leadgrade.functions.clean import r6, r9
 from leadgrade.plans.ordered import quantiles
 
 
@@ -126,7 +126,7 @@ def histogram(df: DataFrame, column: str, bins: int = 30) -> DataFrame:
 def five_numbers(df: DataFrame, column: str, group: str) -> DataFrame:
     probs = {"min": 0.0, "q1": 0.25, "median": 0.5, "q3": 0.75, "max": 1.0}
     return quantiles(df, column, probs, [group]).select(
-        group, *[r6(name).alias(name) for name in probs]
+        group, *[r9(name).alias(name) for name in probs]
     )
 
 
@@ -141,7 +141,7 @@ def segment_stats(
         r6(F.avg(F.col(label).cast("double"))).alias("converted_rate"),
     )
     median = quantiles(ranked, "priority", {"m": 0.5}, [group]).select(
-        group, r6("m").alias("priority_median")
+        group, r9("m").alias("priority_median")
     )
     return moments.join(median, group)
 
@@ -154,7 +154,7 @@ def priority_summary(ranked: DataFrame) -> DataFrame:
         r6(F.min("priority")).alias("min"),
         r6(F.max("priority")).alias("max"),
     )
-    median = quantiles(ranked, "priority", {"m": 0.5}).select(r6("m").alias("median"))
+    median = quantiles(ranked, "priority", {"m": 0.5}).select(r9("m").alias("median"))
     return moments.crossJoin(F.broadcast(median))
 
 

@@ -32,19 +32,17 @@ def bucket_count(spark: SparkSession) -> int:
 
 
 def _edges(df: DataFrame, key: str, groups: Sequence[str], buckets: int) -> DataFrame:
-    probs = [i / buckets for i in range(1, buckets)]
-    return df.groupBy(*groups).agg(
-        F.percentile_approx(key, probs, EDGE_ACCURACY).alias("_edges")
-    )
+    probs = ", ".join(f"{i / buckets}D" for i in range(1, buckets))
+    sketch = f"percentile_approx({key}, array({probs}), {EDGE_ACCURACY})"
+    return df.groupBy(*groups).agg(F.expr(sketch).alias("_edges"))
 
 
 def _with_bucket(df: DataFrame, key: str, buckets: int) -> DataFrame:
     """Binary search of ``key`` in the sorted ``_edges``, one projection per level."""
     out, step = df.withColumn("_b", F.lit(0)), buckets // 2
     while step:
-        probe = F.get("_edges", F.col("_b") + F.lit(step - 1))
-        right = F.when(F.col(key) > probe, F.lit(step)).otherwise(F.lit(0))
-        out, step = out.withColumn("_b", F.col("_b") + right), step // 2
+        right = f"_b + if({key} > get(_edges, _b + {step - 1}), {step}, 0)"
+        out, step = out.withColumn("_b", F.expr(right)), step // 2
     return out.drop("_edges")
 
 
@@ -130,6 +128,14 @@ def running_totals(
     )
 
 
+def value_counts(df: DataFrame, value: str, groups: Sequence[str] = ()) -> DataFrame:
+    """(groups, _v, _c): rows per distinct value; null and NaN share the null row."""
+    number = F.col(value).cast("double")
+    return df.groupBy(*groups, F.nullif(number, F.lit(float("nan"))).alias("_v")).agg(
+        F.count("*").alias("_c")
+    )
+
+
 def quantiles(
     df: DataFrame,
     value: str,
@@ -143,14 +149,23 @@ def quantiles(
     ``<name>_hi`` hold the quantile and the two values it lies between; ``n`` is
     the number of non-null values. Only (value, count) pairs are shuffled.
     """
-    number = F.col(value).cast("double")
-    counts = (
-        df.where(number.isNotNull() & ~F.isnan(number))
-        .groupBy(*groups, number.alias("_v"))
-        .agg(F.count("*").alias("_c"))
-    )
+    return count_quantiles(value_counts(df, value, groups), probs, groups, group_limit)
+
+
+def count_quantiles(
+    counts: DataFrame,
+    probs: dict[str, float],
+    groups: Sequence[str] = (),
+    group_limit: int | None = GROUP_LIMIT,
+) -> DataFrame:
+    """``quantiles`` of a ``value_counts`` table."""
     ranked = running_totals(
-        counts, "_v", ["_c"], groups, descending=False, group_limit=group_limit
+        counts.where(F.col("_v").isNotNull()),
+        "_v",
+        ["_c"],
+        groups,
+        descending=False,
+        group_limit=group_limit,
     )
     aggs = [F.max("total__c").alias("n")]
     for name, p in probs.items():

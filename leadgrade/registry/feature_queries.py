@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from leadgrade import constants as C
-from leadgrade.functions.clean import r6
+from leadgrade.functions.clean import r6, r9
 from leadgrade.operators import features, models, segments
 from leadgrade.operators.derive import derive_features
 from leadgrade.operators.features import NUMERIC
@@ -47,7 +47,7 @@ _EDGE = {c: f"round({c}, 6) AS {c}" for c in C.CLIPPED_NUMERIC}
 
 
 def _edge_sql(c: str) -> str:
-    return c if c == "total_time_per_visit" else f"round({c}, 6) AS {c}"
+    return c if c == "total_time_per_visit" else f"round({c}, 9) AS {c}"
 
 
 @register(
@@ -134,35 +134,35 @@ STATE = (*DERIVED, CLIP_SQL, CLIPPED_SQL, IMPUTE_SQL, IMPUTED_SQL, MOMENTS_SQL)
 
 @register(
     "clip_thresholds",
-    with_ctes(*DERIVED, CLIP_SQL) + 'SELECT "column", round(clip, 6) AS clip FROM clips',
+    with_ctes(*DERIVED, CLIP_SQL) + 'SELECT "column", round(clip, 9) AS clip FROM clips',
 )
 def clip_thresholds(spark, sf):
     out = features.clip_thresholds(derived_leads(spark, sf))
-    return out.withColumn("clip", r6("clip"))
+    return out.withColumn("clip", r9("clip"))
 
 
 @register(
     "clip_upper",
     with_ctes(*DERIVED, CLIP_SQL, CLIPPED_SQL)
     + "SELECT lead_id, "
-    + ", ".join(f"round({c}, 6) AS {c}" for c in C.CLIPPED_NUMERIC)
+    + ", ".join(f"round({c}, 9) AS {c}" for c in C.CLIPPED_NUMERIC)
     + " FROM clipped",
 )
 def clip_upper(spark, sf):
     derived = derived_leads(spark, sf)
     state = features.fit(derived)
     clipped = {p.column: p.clipped() for p in state.numeric if p.clip is not None}
-    return derived.select("lead_id", *[r6(col).alias(c) for c, col in clipped.items()])
+    return derived.select("lead_id", *[r9(col).alias(c) for c, col in clipped.items()])
 
 
 @register(
     "impute_values",
     with_ctes(*DERIVED, CLIP_SQL, CLIPPED_SQL, IMPUTE_SQL)
-    + 'SELECT "column", round(impute, 6) AS impute, has_indicator FROM imputes',
+    + 'SELECT "column", round(impute, 9) AS impute, has_indicator FROM imputes',
 )
 def impute_values(spark, sf):
     return features.numeric_params(derived_leads(spark, sf)).select(
-        "column", r6("impute").alias("impute"), "has_indicator"
+        "column", r9("impute").alias("impute"), "has_indicator"
     )
 
 
@@ -181,7 +181,7 @@ def impute_indicator(spark, sf):
     return derived.select(
         "lead_id",
         *[
-            (p.imputed() if p.column == "total_time_per_visit" else r6(p.imputed())).alias(
+            (p.imputed() if p.column == "total_time_per_visit" else r9(p.imputed())).alias(
                 p.column
             )
             for p in state.numeric
@@ -257,8 +257,8 @@ def one_hot(spark, sf):
     with_ctes(*STATE, FREQ_SQL)
     + " UNION ALL ".join(
         f"""SELECT 'numeric' AS kind, '{c}' AS "column",
-        {f"(SELECT round(clip, 6) FROM clips WHERE {chr(34)}column{chr(34)} = '{c}')" if c in C.CLIPPED_NUMERIC else "CAST(NULL AS DOUBLE)"} AS clip,
-        round({_impute(c)}, 6) AS impute, round(mean_{c}, 6) AS mean, round(std_{c}, 6) AS std,
+        {f"(SELECT round(clip, 9) FROM clips WHERE {chr(34)}column{chr(34)} = '{c}')" if c in C.CLIPPED_NUMERIC else "CAST(NULL AS DOUBLE)"} AS clip,
+        round({_impute(c)}, 9) AS impute, round(mean_{c}, 6) AS mean, round(std_{c}, 6) AS std,
         CAST(0 AS BIGINT) AS n_slots FROM moments"""
         for c in NUMERIC
     )
@@ -271,7 +271,8 @@ def fit_feature_state(spark, sf):
     numeric = features.params_frame(state).select(
         F.lit("numeric").alias("kind"),
         "column",
-        *[r6(c).alias(c) for c in ("clip", "impute", "mean", "std")],
+        *[r9(c).alias(c) for c in ("clip", "impute")],
+        *[r6(c).alias(c) for c in ("mean", "std")],
         F.lit(0).cast("bigint").alias("n_slots"),
     )
     none = F.lit(None).cast("double")

@@ -533,7 +533,7 @@ def priority_histogram(spark, sf):
 
 
 _QUARTILES = ", ".join(
-    f"round(quantile_cont(priority, {q}), 6) AS {name}"
+    f"round(quantile_cont(priority, {q}), 9) AS {name}"
     for name, q in (("min", 0), ("q1", 0.25), ("median", 0.5), ("q3", 0.75), ("max", 1))
 )
 
@@ -553,7 +553,7 @@ def priority_quartiles(spark, sf):
     "segment_distribution",
     with_ctes(*V.PRIORITY)
     + """SELECT predicted_attitude, count(*) AS n, round(avg(priority), 6) AS priority_mean,
-      round(quantile_cont(priority, 0.5), 6) AS priority_median,
+      round(quantile_cont(priority, 0.5), 9) AS priority_median,
       round(stddev_samp(priority), 6) AS priority_std,
       round(avg(CAST(converted AS DOUBLE)), 6) AS converted_rate
       FROM ranked GROUP BY predicted_attitude""",
@@ -567,7 +567,7 @@ def segment_distribution(spark, sf):
     with_ctes(*V.PRIORITY)
     + """SELECT count(*) AS n, round(avg(priority), 6) AS mean, round(stddev_samp(priority), 6) AS std,
       round(min(priority), 6) AS min, round(max(priority), 6) AS max,
-      round(quantile_cont(priority, 0.5), 6) AS median FROM ranked""",
+      round(quantile_cont(priority, 0.5), 9) AS median FROM ranked""",
 )
 def priority_summary(spark, sf):
     return profile.priority_summary(V.priority_rows(spark, sf))

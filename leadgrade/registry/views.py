@@ -39,17 +39,26 @@ FROM_ORDERS = {
 }
 
 
-def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+# Declared schemas: a scan then needs no footer read before it is planned.
+TABLES = {
+    "customer": "c_custkey bigint, c_name string, c_nationkey int, c_acctbal double, "
+    "c_mktsegment string",
+    "nation": "n_nationkey int, n_name string, n_regionkey int",
+    "orders": "o_orderkey bigint, o_custkey bigint, o_orderstatus string, "
+    "o_totalprice double, o_orderdate timestamp_ntz, o_orderpriority string",
+    "lineitem": "l_orderkey bigint, l_partkey bigint, l_suppkey bigint, l_linenumber int, "
+    "l_quantity double, l_extendedprice double, l_discount double, l_tax double, "
+    "l_returnflag string, l_linestatus string, l_shipdate timestamp_ntz",
+    "events": "event_id bigint, ts timestamp_ntz, user_id bigint, event_type string, "
+    "value double, props string",
+    "documents": "doc_id bigint, text string, lang string, source string, n_chars bigint",
+    "labels": "doc_id bigint, quality int, toxic int",
+    "conversations": "conv_id bigint, turn bigint, role string, text string",
+}
 
 
-def _every(key: Column, n: int, cases: dict[int, str | None], other: str) -> Column:
-    """Value by ``key % n``; a None case is null."""
-    chain = None
-    for rest, value in cases.items():
-        cond, out = (key % n) == rest, F.lit(value)
-        chain = F.when(cond, out) if chain is None else chain.when(cond, out)
-    return chain.otherwise(other)
+def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    return spark.read.schema(TABLES[name]).parquet(f"{sf_dir}/{name}.parquet")
 
 
 def _orders_by_lead(spark: SparkSession, sf_dir: str, with_lines: bool) -> DataFrame:
@@ -90,117 +99,88 @@ def _events_by_lead(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+_ACTIVITY_EXPR = "CASE {} " + " ".join(
+    f"WHEN '{k}' THEN '{v}'" for k, v in PRIORITY_ACTIVITY.items()
+) + " END"
+
+# Raw lead column -> Spark expression over customer, nation and the two aggregates.
+RAW_EXPRESSIONS = {
+    "lead_id": "lead_id",
+    "lead_number": "lead_id + 600000",
+    "lead_origin": """CASE WHEN c_acctbal < 0 THEN 'API' WHEN c_acctbal < 4000
+        THEN 'Landing Page Submission' WHEN c_acctbal < 9900 THEN 'Lead Add Form'
+        ELSE 'Lead Import' END""",
+    "lead_source": "c_mktsegment",
+    "do_not_email": """CASE lead_id % 9 WHEN 0 THEN 'Yes' WHEN 1 THEN ' yes '
+        WHEN 2 THEN NULL ELSE 'No' END""",
+    "do_not_call": "if(lead_id % 50 = 0, 'YES', 'No')",
+    "converted": "if(coalesce(n_post, 0) >= 3, 1, 0)",
+    "total_visits": "if(lead_id % 40 = 3, 0D, cast(nullif(n_pre, 0) AS double))",
+    "total_time_spent": "coalesce(cents, 0) / 100000D",
+    "page_views_per_visit": "n_lines / nullif(n_pre, 0)",
+    "last_activity": _ACTIVITY_EXPR.format("pre_priority"),
+    "country": """CASE WHEN c_nationkey % 3 = 0 THEN 'India' WHEN c_nationkey = 1
+        THEN ' India ' WHEN c_nationkey = 2 THEN 'india'
+        WHEN c_nationkey != 4 THEN n_name END""",
+    "specialization": """CASE lead_id % 7 WHEN 0 THEN 'Select' WHEN 1 THEN NULL
+        WHEN 2 THEN concat('Niche ', lead_id % 89) ELSE n_name END""",
+    "heard_about": """CASE lead_id % 4 WHEN 0 THEN 'Online Search'
+        WHEN 1 THEN 'Word Of Mouth' ELSE 'Select' END""",
+    "occupation": """CASE lead_id % 11 WHEN 0 THEN NULL WHEN 1 THEN 'Student'
+        WHEN 2 THEN 'Working Professional' ELSE 'Unemployed' END""",
+    "matters_most": """CASE lead_id % 6 WHEN 0 THEN NULL WHEN 1 THEN 'Flexibility'
+        ELSE 'Better Career Prospects' END""",
+    "search": "if(lead_id % 101 = 0, 'Yes', 'No')",
+    "magazine": "'No'",
+    "newspaper_article": "if(lead_id % 211 = 0, 'Yes', 'No')",
+    "education_forums": "if(lead_id % 307 = 0, 'Yes', 'No')",
+    "newspaper": "if(lead_id % 401 = 0, 'Yes', 'No')",
+    "digital_advertisement": "if(lead_id % 151 = 0, 'Yes', 'No')",
+    "through_recommendations": """CASE lead_id % 97 WHEN 0 THEN 'Yes' WHEN 1 THEN NULL
+        ELSE 'No' END""",
+    "receive_updates": "'No'",
+    "tags": """CASE post_status WHEN 'F' THEN 'Closed' WHEN 'O' THEN 'Will revert'
+        WHEN 'P' THEN 'Ringing' END""",
+    "lead_quality": """CASE WHEN coalesce(n_post, 0) >= 4 THEN 'High in Relevance'
+        WHEN coalesce(n_post, 0) >= 2 THEN 'Might be' END""",
+    "supply_chain_updates": "'No'",
+    "dm_updates": "'No'",
+    "lead_profile": """CASE lead_id % 5 WHEN 0 THEN 'Potential Lead' WHEN 1 THEN NULL
+        WHEN 2 THEN 'Other Leads' ELSE 'Select' END""",
+    "city": """CASE lead_id % 8 WHEN 0 THEN NULL WHEN 1 THEN 'Select'
+        WHEN 2 THEN 'Thane & Outskirts' ELSE 'Mumbai' END""",
+    "activity_index": """CASE WHEN n_events >= 75 THEN '01.High' WHEN n_events >= 60
+        THEN '02.Medium' WHEN n_events IS NOT NULL THEN '03.Low' END""",
+    "profile_index": """CASE WHEN event_cents >= 400000 THEN '01.High'
+        WHEN event_cents >= 300000 THEN '02.Medium' WHEN n_events IS NOT NULL
+        THEN '03.Low' END""",
+    "activity_score": "cast(n_events AS double)",
+    "profile_score": "event_cents / 1000D",
+    "pay_by_cheque": "'No'",
+    "free_copy": "if(lead_id % 3 = 0, 'Yes', 'No')",
+    "last_notable_activity": _ACTIVITY_EXPR.format("any_priority"),
+}
+
+
 def raw_leads(
     spark: SparkSession, sf_dir: str, columns: Iterable[str] | None = None
 ) -> DataFrame:
     """Raw leads; tables no wanted column comes from are not read at all."""
-    names = set(columns) if columns else None
-
-    def wanted(source: set[str]) -> bool:
-        return names is None or bool(names & source)
-
+    names = set(columns) if columns else set(RAW_EXPRESSIONS)
     leads = table(spark, sf_dir, "customer").withColumnRenamed("c_custkey", "lead_id")
-    if wanted(FROM_ORDERS):
-        by_lead = _orders_by_lead(spark, sf_dir, wanted(FROM_LINES))
+    if names & FROM_ORDERS:
+        by_lead = _orders_by_lead(spark, sf_dir, bool(names & FROM_LINES))
         leads = leads.join(by_lead, "lead_id", "left")
-    else:
-        leads = leads.withColumns(
-            {
-                c: F.lit(None).cast("bigint")
-                for c in ("n_pre", "n_post", "cents", "n_lines")
-            }
-            | {
-                c: F.lit(None).cast("string")
-                for c in ("pre_priority", "any_priority", "post_status")
-            }
-        )
-    if wanted(FROM_EVENTS):
+    if names & FROM_EVENTS:
         leads = leads.join(_events_by_lead(spark, sf_dir), "lead_id", "left")
-    else:
-        leads = leads.withColumns(
-            {c: F.lit(None).cast("bigint") for c in ("n_events", "event_cents")}
-        )
-    if wanted(FROM_NATION):
+    if names & FROM_NATION:
         nation = table(spark, sf_dir, "nation").select(
             F.col("n_nationkey").alias("c_nationkey"), "n_name"
         )
         leads = leads.join(nation, "c_nationkey", "left")
-    else:
-        leads = leads.withColumn("n_name", F.lit(None).cast("string"))
-
-    k, nation_key, events = F.col("lead_id"), F.col("c_nationkey"), F.col("n_events")
-    activity = literal_map(PRIORITY_ACTIVITY)
-    n_post = F.coalesce("n_post", F.lit(0))
-    out = {
-        "lead_id": k,
-        "lead_number": k + 600000,
-        "lead_origin": F.when(F.col("c_acctbal") < 0, "API")
-        .when(F.col("c_acctbal") < 4000, "Landing Page Submission")
-        .when(F.col("c_acctbal") < 9900, "Lead Add Form")
-        .otherwise("Lead Import"),
-        "lead_source": F.col("c_mktsegment"),
-        "do_not_email": _every(k, 9, {0: "Yes", 1: " yes ", 2: None}, "No"),
-        "do_not_call": _every(k, 50, {0: "YES"}, "No"),
-        "converted": F.when(n_post >= 3, 1).otherwise(0),
-        "total_visits": F.when(k % 40 == 3, F.lit(0.0)).otherwise(
-            F.nullif("n_pre", F.lit(0)).cast("double")
-        ),
-        "total_time_spent": F.coalesce("cents", F.lit(0)) / F.lit(100000.0),
-        "page_views_per_visit": F.col("n_lines") / F.nullif("n_pre", F.lit(0)),
-        "last_activity": F.try_element_at(activity, F.col("pre_priority")),
-        "country": F.when(nation_key % 3 == 0, "India")
-        .when(nation_key == 1, " India ")
-        .when(nation_key == 2, "india")
-        .when(nation_key != 4, F.col("n_name")),
-        "specialization": F.when(k % 7 == 0, "Select")
-        .when(k % 7 == 1, F.lit(None))
-        .when(k % 7 == 2, F.concat(F.lit("Niche "), (k % 89).cast("string")))
-        .otherwise(F.col("n_name")),
-        "heard_about": _every(
-            k, 4, {0: "Online Search", 1: "Word Of Mouth"}, "Select"
-        ),
-        "occupation": _every(
-            k, 11, {0: None, 1: "Student", 2: "Working Professional"}, "Unemployed"
-        ),
-        "matters_most": _every(
-            k, 6, {0: None, 1: "Flexibility"}, "Better Career Prospects"
-        ),
-        "search": _every(k, 101, {0: "Yes"}, "No"),
-        "magazine": F.lit("No"),
-        "newspaper_article": _every(k, 211, {0: "Yes"}, "No"),
-        "education_forums": _every(k, 307, {0: "Yes"}, "No"),
-        "newspaper": _every(k, 401, {0: "Yes"}, "No"),
-        "digital_advertisement": _every(k, 151, {0: "Yes"}, "No"),
-        "through_recommendations": _every(k, 97, {0: "Yes", 1: None}, "No"),
-        "receive_updates": F.lit("No"),
-        "tags": F.when(F.col("post_status") == "F", "Closed")
-        .when(F.col("post_status") == "O", "Will revert")
-        .when(F.col("post_status") == "P", "Ringing"),
-        "lead_quality": F.when(n_post >= 4, "High in Relevance").when(
-            n_post >= 2, "Might be"
-        ),
-        "supply_chain_updates": F.lit("No"),
-        "dm_updates": F.lit("No"),
-        "lead_profile": _every(
-            k, 5, {0: "Potential Lead", 1: None, 2: "Other Leads"}, "Select"
-        ),
-        "city": _every(
-            k, 8, {0: None, 1: "Select", 2: "Thane & Outskirts"}, "Mumbai"
-        ),
-        "activity_index": F.when(events >= 75, "01.High")
-        .when(events >= 60, "02.Medium")
-        .when(events.isNotNull(), "03.Low"),
-        "profile_index": F.when(F.col("event_cents") >= 400000, "01.High")
-        .when(F.col("event_cents") >= 300000, "02.Medium")
-        .when(events.isNotNull(), "03.Low"),
-        "activity_score": events.cast("double"),
-        "profile_score": F.col("event_cents") / F.lit(1000.0),
-        "pay_by_cheque": F.lit("No"),
-        "free_copy": _every(k, 3, {0: "Yes"}, "No"),
-        "last_notable_activity": F.try_element_at(activity, F.col("any_priority")),
-    }
-    picked = out if names is None else {n: c for n, c in out.items() if n in names}
-    return leads.select(*[c.alias(n) for n, c in picked.items()])
+    return leads.selectExpr(
+        *[f"{expr} AS {name}" for name, expr in RAW_EXPRESSIONS.items() if name in names]
+    )
 
 
 _ACTIVITY_SQL = "CASE {} " + " ".join(
