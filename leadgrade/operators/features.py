@@ -222,13 +222,13 @@ class FeatureState:
         found = {r["column"]: int(r["m"]) + 1 for r in rows}
         return {c: found.get(c, 0) for c in C.CATEGORICAL}
 
-    def assembler(self) -> PipelineModel:
+    def assembler(self, widths: dict[str, int]) -> PipelineModel:
         """Slots and scaled columns -> one ``features`` vector, inside the JVM.
 
         The encoder learns only the widths, so it is fitted on a single row that
         holds them; the index past the last slot encodes to all zeros.
         """
-        widths = {c: w for c, w in self.widths().items() if w}
+        widths = {c: w for c, w in widths.items() if w}
         row = self.spark.createDataFrame(
             [tuple(float(w) for w in widths.values())], [f"{c}_slot" for c in widths]
         )
@@ -254,7 +254,7 @@ class FeatureState:
                 for c, w in widths.items()
             }
         )
-        return self.assembler().transform(flat).select(*keep, "features")
+        return self.assembler(widths).transform(flat).select(*keep, "features")
 
     def catalog(self) -> DataFrame:
         """(position, name, source_column, kind) of every vector element."""

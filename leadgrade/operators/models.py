@@ -42,11 +42,12 @@ def training_table(
     """(lead_id, label, features, weight, fold) from derived rows with id and label.
 
     Balanced weights sum to n; otherwise positives weigh neg/pos. The counts come
-    from one aggregate and join back as a single row.
+    from one aggregate and join back as a single row. Folds are assigned before the
+    vectors are built, so the wide rows are never shuffled.
     """
-    vectors = state.vectors(derived, ["lead_id", label]).withColumn(
-        "label", F.col(label).cast("double")
-    )
+    labelled = derived.withColumn("label", F.col(label).cast("double"))
+    folded = splits.kfold(labelled, ["label"], k)
+    vectors = state.vectors(folded, ["lead_id", "label", "fold"])
     counts = derived.agg(
         F.count_if(F.col(label) == 1).alias("_pos"),
         F.count_if(F.col(label) == 0).alias("_neg"),
@@ -59,9 +60,7 @@ def training_table(
     else:
         weight = F.when(positive & (pos > 0), neg / F.nullif(pos, F.lit(0.0))).otherwise(1.0)
     weighted = vectors.crossJoin(F.broadcast(counts)).withColumn("weight", weight)
-    ready = weighted.select("lead_id", "label", "features", "weight")
-    folded = splits.kfold(ready.select("lead_id", "label"), ["label"], k)
-    return ready.join(folded.select("lead_id", "fold"), "lead_id")
+    return weighted.select("lead_id", "label", "features", "weight", "fold")
 
 
 def _best(estimator, grid, table: DataFrame, k: int, parallelism: int):

@@ -31,11 +31,12 @@ def gathered(
 ) -> tuple[DataFrame, bool]:
     """A table whose size depends on the data, read once and measured.
 
-    Up to ``max_rows`` rows it becomes a local relation (True); beyond that the
-    plan itself is returned (False). At most ``max_rows + 1`` rows are read.
+    Up to ``max_rows`` rows it becomes a local relation (True), whose exact size
+    the planner knows; beyond that the plan itself is returned (False). At most
+    ``max_rows + 1`` rows are read.
     """
-    rows = df.limit(max_rows + 1).collect()
-    if len(rows) > max_rows:
+    rows = df.limit(max_rows + 1).toArrow()
+    if rows.num_rows > max_rows:
         return df, False
     return df.sparkSession.createDataFrame(rows, df.schema), True
 

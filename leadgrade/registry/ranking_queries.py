@@ -272,8 +272,17 @@ CLEAN = (*V.PRIORITY, LEAD_SPLIT_SQL, CLEAN_SQL)
 
 
 def clean_rows(spark, sf):
-    test = lead_split(spark, sf).where(F.col("split") == "test").select("lead_id")
-    return V.priority_rows(spark, sf).join(test, "lead_id", "left_semi")
+    """Priority rows of the leads no model was trained on.
+
+    The split column is computed on the scored leads themselves, which costs no
+    join on the id.
+    """
+    parts = splits.split_60_20_20(V.scored(spark, sf))
+    test = parts.where(F.col("split") == "test").drop("split")
+    pred = V.predictions(spark, sf).select(
+        "lead_id", "language", "true_attitude", "predicted_attitude"
+    )
+    return priority.priority_table(test, pred)
 
 
 @register(
@@ -474,9 +483,7 @@ def two_models(spark, sf):
     + 'SELECT model, split, metric, "value" FROM (UNPIVOT wide ON COLUMNS(* EXCLUDE (model, split)) INTO NAME metric VALUE "value")',
 )
 def model_metrics(spark, sf):
-    both = two_models(spark, sf).join(
-        lead_split(spark, sf).select("lead_id", "split"), "lead_id"
-    )
+    both = splits.split_60_20_20(two_models(spark, sf))
     one = both.select(
         F.lit("formula").alias("model"), "split", "converted", "p_conversion"
     )

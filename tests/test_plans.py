@@ -46,8 +46,14 @@ def children_until_exchange(lines, i):
 
 
 @pytest.mark.parametrize("name", LAZY)
-def test_no_window_over_a_single_partition(spark, sf_dir, name):
+def test_plan_shape(spark, sf_dir, name):
+    """No window in one task; cross joins only attach one aggregated row."""
     lines = lines_of(entry.queries()[name](spark, sf_dir))
+    check_windows(lines)
+    check_nested_loops(lines)
+
+
+def check_windows(lines):
     for i, line in enumerate(lines):
         if re.search(r"[+:]- \*?(\(\d+\) )?Window(GroupLimit)? ", line):
             below = children_until_exchange(lines, i)
@@ -55,10 +61,7 @@ def test_no_window_over_a_single_partition(spark, sf_dir, name):
     assert not any("CartesianProduct" in x for x in lines)
 
 
-@pytest.mark.parametrize("name", LAZY)
-def test_nested_loop_joins_have_a_one_row_side(spark, sf_dir, name):
-    """Cross joins only attach the single row of an ungrouped aggregate."""
-    lines = lines_of(entry.queries()[name](spark, sf_dir))
+def check_nested_loops(lines):
     for i, line in enumerate(lines):
         if "BroadcastNestedLoopJoin" not in line:
             continue
