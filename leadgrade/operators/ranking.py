@@ -4,12 +4,19 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from leadgrade import constants as C
 from leadgrade.functions.clean import r6
-from leadgrade.plans.ordered import GROUP_LIMIT, running_rows, running_totals
+from leadgrade.functions.hashing import hash_uniform
+from leadgrade.plans.ordered import (
+    GROUP_LIMIT,
+    TIE_SEED,
+    bucket_count,
+    running_rows,
+    running_totals,
+)
 
 
 def score_counts(
@@ -106,30 +113,88 @@ def gain_at_fraction(
     fractions: Sequence[float] = C.GAIN_FRACTIONS,
     row_id: str = "lead_id",
 ) -> DataFrame:
-    """Share of positives in the top ``ceil(f * n)`` rows; 0 without positives."""
-    ranked = ranked_rows(df, score, label, row_id)
+    """Share of positives in the top ``ceil(f * n)`` rows; 0 without positives.
+
+    Rows are ordered as in ``ranked_rows``, but only the rows a cut falls among are
+    ordered: first the score of the k-th row is found from counts per score, then
+    the hash bucket among equal scores, then the rows of that one bucket. Each step
+    has one row per fraction, so its broadcast is bounded by the argument list.
+    """
+    buckets = bucket_count(df.sparkSession)
+    base = (
+        df.select(
+            F.col(score).cast("double").alias("score"),
+            F.coalesce(F.col(label).cast("int"), F.lit(0)).alias("pos"),
+            F.col(row_id).alias("_id"),
+        )
+        .withColumn("_u", hash_uniform(F.col("_id"), TIE_SEED))
+        .withColumn("_tb", F.floor(F.col("_u") * buckets).cast("int"))
+    )
+    cells = base.groupBy("score", "_tb").agg(
+        F.count("*").alias("n"), F.sum("pos").alias("pos")
+    )
+    per_score = cells.groupBy("score").agg(F.sum("n").alias("n"), F.sum("pos").alias("pos"))
 
     def size(f: float) -> Column:
-        return F.ceil(F.lit(float(f)) * F.max("total_rank").cast("double"))
-
-    def caught(f: float) -> Column:
-        k = F.ceil(F.lit(float(f)) * F.col("total_rank").cast("double"))
-        return F.max(F.when(F.col("rank") <= k, F.col("cum_positive")))
-
-    rows = [
-        F.struct(
-            F.lit(float(f)).alias("fraction"),
-            size(f).cast("bigint").alias("k"),
-            r6(
-                F.coalesce(
-                    caught(f) / F.nullif(F.max("total_cum_positive"), F.lit(0)),
-                    F.lit(0.0),
-                )
-            ).alias("gain"),
+        return F.ceil(F.lit(float(f)) * F.col("total_n").cast("double"))
+
+    wanted = [f for f in dict.fromkeys(fractions) if f > 0]
+    steps = running_totals(
+        per_score, "score", ["n", "pos"], reaching=("n", [size(f) for f in wanted])
+    )
+    cuts = F.array(
+        *[
+            F.struct(F.lit(float(f)).alias("fraction"), size(f).alias("k"))
+            for f in wanted
+        ]
+    )
+    at_score = (
+        steps.select("*", F.inline(cuts))
+        .where((F.col("k") > F.col("cum_n") - F.col("n")) & (F.col("k") <= F.col("cum_n")))
+        .select(
+            "fraction",
+            "k",
+            "score",
+            "total_pos",
+            (F.col("cum_n") - F.col("n")).alias("_n0"),
+            (F.col("cum_pos") - F.col("pos")).alias("_p0"),
         )
-        for f in fractions
-    ]
-    return ranked.agg(F.array(*rows).alias("_r")).select(F.inline("_r"))
+    )
+    upto = (
+        Window.partitionBy("fraction")
+        .orderBy("_tb")
+        .rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    )
+    at_cell = (
+        cells.join(F.broadcast(at_score), "score")
+        .withColumn("_n1", F.col("_n0") + F.sum("n").over(upto))
+        .withColumn("_p1", F.col("_p0") + F.sum("pos").over(upto))
+        .where((F.col("k") > F.col("_n1") - F.col("n")) & (F.col("k") <= F.col("_n1")))
+        .select(
+            "fraction",
+            "k",
+            "score",
+            "_tb",
+            "total_pos",
+            (F.col("k") - (F.col("_n1") - F.col("n"))).alias("_need"),
+            (F.col("_p1") - F.col("pos")).alias("_p1"),
+        )
+    )
+    order = Window.partitionBy("fraction").orderBy("_u", "_id")
+    found = (
+        base.join(F.broadcast(at_cell), ["score", "_tb"])
+        .withColumn("_r", F.row_number().over(order))
+        .where(F.col("_r") <= F.col("_need"))
+        .groupBy("fraction", "k")
+        .agg((F.max("_p1") + F.sum("pos")).alias("_hits"), F.max("total_pos").alias("_p"))
+    )
+    grid = df.sparkSession.createDataFrame([(float(f),) for f in fractions], "fraction double")
+    gain = F.col("_hits") / F.nullif("_p", F.lit(0))
+    return grid.join(found, "fraction", "left").select(
+        "fraction",
+        F.coalesce("k", F.lit(0)).cast("bigint").alias("k"),
+        r6(F.coalesce(gain, F.lit(0.0))).alias("gain"),
+    )
 
 
 def argmax_row(df: DataFrame, score: str, row_id: str = "lead_id") -> DataFrame:

@@ -23,6 +23,7 @@ from leadgrade.plans.sizing import bounded, small_side
 
 EDGE_ACCURACY = 1000
 GROUP_LIMIT = 256
+TIE_SEED = "tie"
 
 
 def bucket_count(spark: SparkSession) -> int:
@@ -67,12 +68,17 @@ def running_totals(
     groups: Sequence[str] = (),
     descending: bool = True,
     group_limit: int | None = GROUP_LIMIT,
+    reaching: tuple[str, Sequence[Column]] | None = None,
 ) -> DataFrame:
     """Add ``cum_<s>`` (inclusive running sum) and ``total_<s>`` per group.
 
     ``counts`` holds one row per (groups, key), both non-null, ``sums`` integer.
     Groups come from parameter lists or column names; more than ``group_limit`` of
     them raises, and ``group_limit=None`` joins by shuffle instead of broadcast.
+
+    ``reaching=(s, targets)`` keeps only the buckets in which the running sum of
+    ``s`` reaches one of the targets (expressions over ``total_<s>``, from 1 up).
+    All other rows are dropped by the offset join, before the shuffle and sort.
     """
     spark = counts.sparkSession
     buckets = bucket_count(spark)
@@ -107,11 +113,19 @@ def running_totals(
                 lambda i: F.struct(
                     F.get("_l", i)["_b"].alias("_b"),
                     *[upto(s, i).alias(f"_off_{s}") for s in sums],
+                    *[upto(s, i + 1).alias(f"_end_{s}") for s in sums],
                     *[upto(s, size).alias(f"total_{s}") for s in sums],
                 ),
             )
         ),
     )
+    if reaching:
+        name, targets = reaching
+        hit = F.lit(False)
+        for target in targets:
+            hit = hit | ((target > F.col(f"_off_{name}")) & (target <= F.col(f"_end_{name}")))
+        offsets = offsets.where(hit)
+    offsets = offsets.drop(*[f"_end_{s}" for s in sums])
     window = (
         Window.partitionBy(*groups, "_b")
         .orderBy("_k")
@@ -159,6 +173,11 @@ def count_quantiles(
     group_limit: int | None = GROUP_LIMIT,
 ) -> DataFrame:
     """``quantiles`` of a ``value_counts`` table."""
+    ranks = {
+        f"{name}_{suffix}": rounded(F.lit(float(p)) * (F.col("total__c") - 1)) + 1
+        for name, p in probs.items()
+        for suffix, rounded in (("lo", F.floor), ("hi", F.ceil))
+    }
     ranked = running_totals(
         counts.where(F.col("_v").isNotNull()),
         "_v",
@@ -166,13 +185,12 @@ def count_quantiles(
         groups,
         descending=False,
         group_limit=group_limit,
+        reaching=("_c", list(ranks.values())),
     )
     aggs = [F.max("total__c").alias("n")]
-    for name, p in probs.items():
-        position = F.lit(float(p)) * (F.col("total__c") - 1)
-        for suffix, rank in (("lo", F.floor(position)), ("hi", F.ceil(position))):
-            reached = F.when(F.col("cum__c") > rank, F.col("_v"))
-            aggs.append(F.min(reached).alias(f"{name}_{suffix}"))
+    for column, rank in ranks.items():
+        reached = F.when(F.col("cum__c") >= rank, F.col("_v"))
+        aggs.append(F.min(reached).alias(column))
     wide = ranked.groupBy(*groups).agg(*aggs)
     out = [*groups, "n"]
     for name, p in probs.items():
@@ -193,7 +211,7 @@ def running_rows(
     sums: dict[str, Column],
     groups: Sequence[str] = (),
     group_limit: int | None = GROUP_LIMIT,
-    seed: int | str = "tie",
+    seed: int | str = TIE_SEED,
 ) -> DataFrame:
     """Add running sums over single rows, best score first.
 
