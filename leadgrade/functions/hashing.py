@@ -20,6 +20,15 @@ def hash_uniform(key: Column, seed: int | str) -> Column:
     return F.conv(F.substring(digest, 1, 8), 16, 10).cast("bigint") / F.lit(TWO_32)
 
 
+def hash_bucket(draw: Column, buckets: int) -> Column:
+    """Bucket number of a uniform draw.
+
+    Never null, and written so that the planner sees it: it would otherwise test a
+    join key for null in a filter, and so hash every row twice.
+    """
+    return F.coalesce(F.floor(draw * buckets).cast("int"), F.lit(0))
+
+
 def hash_normal(key: Column, seed: int | str) -> Column:
     """Standard normal by Box-Muller on two hash uniforms (first one in (0, 1])."""
     radius = F.sqrt(F.lit(-2.0) * F.ln(F.lit(1.0) - hash_uniform(key, f"{seed}a")))

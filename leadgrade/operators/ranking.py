@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from leadgrade import constants as C
 from leadgrade.functions.clean import r6
-from leadgrade.functions.hashing import hash_uniform
+from leadgrade.functions.hashing import hash_bucket, hash_uniform
 from leadgrade.plans.ordered import (
     GROUP_LIMIT,
     TIE_SEED,
@@ -87,6 +87,11 @@ def pr_points(df: DataFrame, score: str, label: str) -> DataFrame:
     )
 
 
+def rank_rows(df: DataFrame, score: str, row_id: str = "lead_id") -> DataFrame:
+    """Add ``rank``: 1 for the best score."""
+    return running_rows(df, score, row_id, {"rank": F.lit(1)}).drop("total_rank")
+
+
 def ranked_rows(
     df: DataFrame, score: str, label: str, row_id: str = "lead_id"
 ) -> DataFrame:
@@ -117,23 +122,17 @@ def gain_at_fraction(
 
     Rows are ordered as in ``ranked_rows``, but only the rows a cut falls among are
     ordered: first the score of the k-th row is found from counts per score, then
-    the hash bucket among equal scores, then the rows of that one bucket. Each step
-    has one row per fraction, so its broadcast is bounded by the argument list.
+    the hash bucket among the rows with that score, then the rows of that bucket.
+    Each step has one row per fraction, so its broadcast is bounded by the argument
+    list, and the rows themselves are filtered by it before any shuffle.
     """
     buckets = bucket_count(df.sparkSession)
-    base = (
-        df.select(
-            F.col(score).cast("double").alias("score"),
-            F.coalesce(F.col(label).cast("int"), F.lit(0)).alias("pos"),
-            F.col(row_id).alias("_id"),
-        )
-        .withColumn("_u", hash_uniform(F.col("_id"), TIE_SEED))
-        .withColumn("_tb", F.floor(F.col("_u") * buckets).cast("int"))
-    )
-    cells = base.groupBy("score", "_tb").agg(
-        F.count("*").alias("n"), F.sum("pos").alias("pos")
+    base = df.select(
+        F.col(score).cast("double").alias("score"),
+        F.coalesce(F.col(label).cast("int"), F.lit(0)).alias("pos"),
+        F.col(row_id).alias("_id"),
     )
-    per_score = cells.groupBy("score").agg(F.sum("n").alias("n"), F.sum("pos").alias("pos"))
+    per_score = base.groupBy("score").agg(F.count("*").alias("n"), F.sum("pos").alias("pos"))
 
     def size(f: float) -> Column:
         return F.ceil(F.lit(float(f)) * F.col("total_n").cast("double"))
@@ -160,35 +159,44 @@ def gain_at_fraction(
             (F.col("cum_pos") - F.col("pos")).alias("_p0"),
         )
     )
+    tied = (
+        base.join(F.broadcast(at_score), "score")
+        .withColumn("_u", hash_uniform(F.col("_id"), TIE_SEED))
+        .withColumn("_tb", hash_bucket(F.col("_u"), buckets))
+    )
     upto = (
         Window.partitionBy("fraction")
         .orderBy("_tb")
         .rowsBetween(Window.unboundedPreceding, Window.currentRow)
     )
+    facts = ["fraction", "k", "total_pos", "_n0", "_p0"]
     at_cell = (
-        cells.join(F.broadcast(at_score), "score")
-        .withColumn("_n1", F.col("_n0") + F.sum("n").over(upto))
-        .withColumn("_p1", F.col("_p0") + F.sum("pos").over(upto))
-        .where((F.col("k") > F.col("_n1") - F.col("n")) & (F.col("k") <= F.col("_n1")))
+        tied.groupBy(*facts, "_tb")
+        .agg(F.count("*").alias("n"), F.sum("pos").alias("pos"))
+        .withColumn("_n1", F.sum("n").over(upto))
+        .withColumn("_p1", F.sum("pos").over(upto))
+        .withColumn("_want", F.col("k") - F.col("_n0"))
+        .where(F.col("_want").between(F.col("_n1") - F.col("n") + 1, F.col("_n1")))
         .select(
             "fraction",
-            "k",
-            "score",
             "_tb",
-            "total_pos",
-            (F.col("k") - (F.col("_n1") - F.col("n"))).alias("_need"),
+            (F.col("_n1") - F.col("n")).alias("_n1"),
             (F.col("_p1") - F.col("pos")).alias("_p1"),
         )
     )
     order = Window.partitionBy("fraction").orderBy("_u", "_id")
     found = (
-        base.join(F.broadcast(at_cell), ["score", "_tb"])
+        tied.join(F.broadcast(at_cell), ["fraction", "_tb"])
         .withColumn("_r", F.row_number().over(order))
-        .where(F.col("_r") <= F.col("_need"))
+        .where(F.col("_r") <= F.col("k") - F.col("_n0") - F.col("_n1"))
         .groupBy("fraction", "k")
-        .agg((F.max("_p1") + F.sum("pos")).alias("_hits"), F.max("total_pos").alias("_p"))
+        .agg(
+            (F.max(F.col("_p0") + F.col("_p1")) + F.sum("pos")).alias("_hits"),
+            F.max("total_pos").alias("_p"),
+        )
     )
-    grid = df.sparkSession.createDataFrame([(float(f),) for f in fractions], "fraction double")
+    values = F.array(*[F.lit(float(f)) for f in fractions])
+    grid = df.sparkSession.range(1).select(F.explode(values).alias("fraction"))
     gain = F.col("_hits") / F.nullif("_p", F.lit(0))
     return grid.join(found, "fraction", "left").select(
         "fraction",

@@ -18,7 +18,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from leadgrade.functions.hashing import hash_uniform
+from leadgrade.functions.hashing import hash_bucket, hash_uniform
 from leadgrade.plans.sizing import bounded, small_side
 
 EDGE_ACCURACY = 1000
@@ -47,6 +47,17 @@ def _with_bucket(df: DataFrame, key: str, buckets: int) -> DataFrame:
     return out.drop("_edges")
 
 
+def _present(df: DataFrame, columns: Sequence[str]) -> DataFrame:
+    """Rows whose ordering columns are all set.
+
+    A join on these columns implies the same filter, but only on its own branch;
+    stated up front it holds on all of them, and they can share an exchange.
+    """
+    for c in columns:
+        df = df.where(F.col(c).isNotNull())
+    return df
+
+
 def _attach(
     big: DataFrame,
     small: DataFrame,
@@ -83,7 +94,13 @@ def running_totals(
     spark = counts.sparkSession
     buckets = bucket_count(spark)
     order = F.col(key).cast("double")
-    keyed = counts.withColumn("_k", -order if descending else order)
+    # The counts feed three branches: edges, bucket totals and rows. The order key
+    # is made to depend on every sum, so that column pruning leaves the branches
+    # alike and Spark runs the counting, and the edges, once for all of them.
+    valid = sum((F.abs(s) for s in sums), F.lit(0)) >= 0
+    keyed = _present(counts, [*groups, key]).withColumn(
+        "_k", F.when(valid, -order if descending else order)
+    )
     edges = _edges(keyed, "_k", groups, buckets)
     if groups and group_limit:
         edges = bounded(edges, group_limit, "groups of an ordering")
@@ -179,7 +196,7 @@ def count_quantiles(
         for suffix, rounded in (("lo", F.floor), ("hi", F.ceil))
     }
     ranked = running_totals(
-        counts.where(F.col("_v").isNotNull()),
+        counts,
         "_v",
         ["_c"],
         groups,
@@ -215,7 +232,8 @@ def running_rows(
 ) -> DataFrame:
     """Add running sums over single rows, best score first.
 
-    Equal scores are ordered by a hash of the id, then the id: stable, free of any
+    Rows without a score or id have no rank and are left out. Equal scores are
+    ordered by a hash of the id, then the id: stable, free of any
     meaning the ids may carry, and it lets a tie group that holds a third of the
     table be split over buckets of the hash. Adds ``total_<name>`` too.
     """
@@ -226,8 +244,9 @@ def running_rows(
         df.withColumns({f"_v_{n}": c.cast("bigint") for n, c in sums.items()})
         .withColumn("_s", F.col(score).cast("double"))
         .withColumn("_u", hash_uniform(F.col(row_id), seed))
-        .withColumn("_tb", F.floor(F.col("_u") * buckets).cast("int"))
+        .withColumn("_tb", hash_bucket(F.col("_u"), buckets))
     )
+    base = _present(base, [*groups, "_s", row_id])
     cells = base.groupBy(*cell).agg(*[F.sum(f"_v_{n}").alias(n) for n in names])
     per_score = cells.groupBy(*groups, "_s").agg(*[F.sum(n).alias(n) for n in names])
     ranked = running_totals(per_score, "_s", names, groups, group_limit=group_limit)
@@ -285,7 +304,7 @@ def cut_by_quota(
     buckets = bucket_count(df.sparkSession)
     strata = list(strata)
     drawn = df.withColumn("_u", hash_uniform(F.col(row_id), seed)).withColumn(
-        "_tb", F.floor(F.col("_u") * buckets).cast("int")
+        "_tb", hash_bucket(F.col("_u"), buckets)
     )
     counts = drawn.groupBy(*strata, "_tb").agg(F.count("*").alias("_c"))
     total = counts.agg(F.sum("_c").alias("n_total"))

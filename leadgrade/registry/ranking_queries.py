@@ -189,8 +189,8 @@ by_rank AS (
     with_ctes(*V.SCORED, RANK_SQL) + "SELECT lead_id, p_conversion, rank FROM by_rank",
 )
 def rank_by_score(spark, sf):
-    out = ranking.ranked_rows(V.scored(spark, sf), "p_conversion", "converted")
-    return out.select("lead_id", "p_conversion", "rank")
+    rows = V.scored(spark, sf).select("lead_id", "p_conversion")
+    return ranking.rank_rows(rows, "p_conversion")
 
 
 @register(

@@ -108,3 +108,42 @@ def test_every_query_with_sql_has_matching_columns():
 
 def test_entry_runs(spark):
     assert entry.entry(spark).count() == 10
+
+
+def final_plan(df):
+    df.collect()
+    return df._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0]
+
+
+@pytest.fixture(scope="module")
+def one_table(spark, tmp_path_factory):
+    from pyspark.sql import functions as F
+
+    path = str(tmp_path_factory.mktemp("rows") / "t")
+    spark.range(2000).select(
+        F.col("id").alias("lead_id"),
+        (F.pmod(F.hash("id"), F.lit(100)) / 100).alias("p"),
+        (F.col("id") % 2).cast("int").alias("converted"),
+    ).write.parquet(path)
+    return spark.read.parquet(path)
+
+
+def test_an_ordering_reads_its_table_once(one_table):
+    from leadgrade.operators import ranking
+    from leadgrade.plans import ordered
+
+    auc = final_plan(ranking.ranking_metrics(one_table, "p", "converted"))
+    assert auc.count("FileScan") == 1
+    median = final_plan(ordered.quantiles(one_table, "p", {"m": 0.5}))
+    assert median.count("FileScan") == 1
+    rank = final_plan(ranking.rank_rows(one_table, "p"))
+    assert rank.count("FileScan") == 2
+    gain = final_plan(ranking.gain_at_fraction(one_table, "p", "converted"))
+    assert gain.count("FileScan") == 3
+
+
+def test_a_split_never_shuffles_the_table(one_table):
+    from leadgrade.operators import splits
+
+    plan = final_plan(splits.split_60_20_20(one_table))
+    assert "Exchange hashpartitioning" not in plan and "SortMergeJoin" not in plan
