@@ -24,7 +24,7 @@ from leadgrade.operators.ranking import score_counts
 from leadgrade.plans.ordered import running_totals
 
 MAX_BINS = 1024
-PAIR_BINS = 128
+PAIR_BINS = 256
 MAX_CELLS = 1 << 16
 
 
@@ -55,7 +55,8 @@ def _replicates(cells: DataFrame, draws: int, columns: Sequence[str]) -> DataFra
             F.raise_error(F.lit(f"more than {MAX_CELLS} bootstrap cells"))
         ).alias("_l")
     ).select(*[F.col("_l")[c].alias(c) for c in columns])
-    width = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    # A few replicates per task: each carries the whole table into its Arrow batch.
+    width = max(int(spark.conf.get("spark.sql.shuffle.partitions")), draws // 20)
     ids = spark.range(draws, numPartitions=max(1, min(draws, width)))
     return ids.withColumnRenamed("id", "replicate").crossJoin(F.broadcast(checked))
 

@@ -29,8 +29,18 @@ def crosstab_pct(
     df: DataFrame, row: str, label: str = "converted", values: Sequence[int] = (0, 1)
 ) -> DataFrame:
     """Counts per class plus row percentages (two decimals)."""
-    counts = df.groupBy(row).agg(
-        *[F.count_if(F.col(label) == v).alias(f"{label}_{v}") for v in values]
+    return cell_crosstab(cells(df, row, label), row, label, values)
+
+
+def cell_crosstab(
+    table: DataFrame, row: str, label: str, values: Sequence[int] = (0, 1)
+) -> DataFrame:
+    """``crosstab_pct`` of a cell table."""
+    counts = table.groupBy(F.col("row").alias(row)).agg(
+        *[
+            F.sum(F.when(F.col("col") == v, F.col("o")).otherwise(0)).alias(f"{label}_{v}")
+            for v in values
+        ]
     )
     total = sum((F.col(f"{label}_{v}") for v in values), F.lit(0))
     pct = [
@@ -61,12 +71,17 @@ def crosstab_margins(df: DataFrame, row: str, col: str) -> DataFrame:
 
 def association(df: DataFrame, row: str, col: str) -> DataFrame:
     """chi_square (no continuity correction), cramers_v (bias corrected) and
-    mutual_information (nats), all from one pass over the cells.
+    mutual_information (nats) of two columns."""
+    return cell_association(cells(df, row, col))
+
+
+def cell_association(table: DataFrame) -> DataFrame:
+    """``association`` of a cell table, in one pass over the cells.
 
     Cells that do not occur add nothing to any of the three sums. A table without
     rows, or with a single level, has cramers_v 0.
     """
-    full = with_marginals(cells(df, row, col))
+    full = with_marginals(table)
     o = F.col("o").cast("double")
     product = F.col("row_total").cast("double") * F.col("col_total")
     sums = full.agg(

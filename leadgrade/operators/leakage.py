@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from leadgrade import constants as C
 from leadgrade.functions.clean import r6
-from leadgrade.operators import contingency, profile, splits
+from leadgrade.operators import contingency, splits
 from leadgrade.operators.ranking import cumulative, roc_auc_expr
 
 
@@ -155,25 +155,31 @@ def _tidy(df: DataFrame, section: str, key, metrics: Sequence[str]) -> DataFrame
 def leakage_report(notes: DataFrame, leads: DataFrame) -> DataFrame:
     """The whole bundle as (section, key, metric, value) rows.
 
-    ``notes`` has lead_id and attitude, ``leads`` the outcome and the suspects.
+    ``notes`` has lead_id and attitude, ``leads`` the outcome and the suspects. The
+    joined rows are counted once; balance, distribution, association and crosstab
+    all come from those few cells.
     """
     joined = notes.select("lead_id", "attitude").join(
         leads.select("lead_id", "converted"), "lead_id"
     )
+    cell = contingency.cells(joined, "attitude", "converted")
     whole = F.lit("all")
+    balance = cell.agg(
+        F.sum("o").alias("n"),
+        r6(F.sum(F.col("o") * F.col("col")) / F.sum("o")).alias("positive_rate"),
+    )
+    by_attitude = cell.groupBy("row").agg(F.sum("o").alias("n"))
     parts = [
-        _tidy(profile.class_balance(joined), "balance", whole, ("n", "positive_rate")),
-        _tidy(
-            profile.distribution(joined, "attitude"), "attitude", F.col("attitude"), ("n",)
-        ),
+        _tidy(balance, "balance", whole, ("n", "positive_rate")),
+        _tidy(by_attitude, "attitude", F.col("row"), ("n",)),
         _tidy(
-            contingency.association(joined, "attitude", "converted"),
+            contingency.cell_association(cell),
             "association",
             whole,
             ("chi_square", "cramers_v", "mutual_information"),
         ),
         _tidy(
-            contingency.crosstab_pct(joined, "attitude"),
+            contingency.cell_crosstab(cell, "attitude", "converted"),
             "crosstab",
             F.col("attitude"),
             ("converted_0", "converted_1", "converted_0_pct", "converted_1_pct"),

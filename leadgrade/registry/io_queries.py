@@ -237,22 +237,18 @@ def event_stream(spark, sf):
 def stream_latest_note(spark, sf):
     """Newest event per user, kept up to date by a stream."""
     target = work_dir(spark, "latest")
-    newest = jobs.latest_note_stream(
-        event_stream(spark, sf), "user_id", "ts", "event_id", "event_id", "event_type", "value"
-    )
-
-    def replace(batch, _):
-        batch.write.mode("overwrite").parquet(target)
-
-    query = (
-        newest.writeStream.outputMode("complete")
-        .foreachBatch(replace)
-        .option("checkpointLocation", work_dir(spark, "latest-state"))
-        .trigger(availableNow=True)
-        .start()
+    query = jobs.keep_latest(
+        event_stream(spark, sf),
+        "user_id",
+        "ts",
+        "event_id",
+        ["event_type", "value"],
+        target,
+        work_dir(spark, "latest-state"),
     )
     query.awaitTermination()
-    return spark.read.parquet(target).withColumn("value", r6("value"))
+    newest = jobs.read_latest(spark, target, "user_id", "ts", "event_id")
+    return newest.select("user_id", "event_id", "event_type", r6("value").alias("value"))
 
 
 @register(

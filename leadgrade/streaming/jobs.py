@@ -100,7 +100,7 @@ def score_stream(
 def latest_note_stream(
     events: DataFrame, key: str, time: str, tie: str, *columns: str
 ) -> DataFrame:
-    """Newest row per key of an event stream (update or complete output).
+    """Newest row per key of an event stream (update output).
 
     One row per key is kept as state, whatever the number of events.
     """
@@ -109,6 +109,46 @@ def latest_note_stream(
     return events.groupBy(key).agg(newest).select(key, "_row.*")
 
 
+def keep_latest(
+    events: DataFrame,
+    key: str,
+    time: str,
+    tie: str,
+    columns: list[str],
+    target: str,
+    checkpoint: str,
+    once: bool = True,
+) -> StreamingQuery:
+    """Store the newest row of every key that a micro-batch changed.
+
+    A batch writes only its changed keys, into a folder named after the batch, so a
+    replayed batch overwrites itself and nothing else is rewritten.
+    """
+    newest = latest_note_stream(events, key, time, tie, time, tie, *columns)
+
+    def run(batch: DataFrame, number: int) -> None:
+        batch.write.mode("overwrite").parquet(f"{target}/batch={number}")
+
+    writer = (
+        newest.writeStream.outputMode("update")
+        .foreachBatch(run)
+        .option("checkpointLocation", checkpoint)
+    )
+    if once:
+        writer = writer.trigger(availableNow=True)
+    return writer.start()
+
+
+def read_latest(
+    spark: SparkSession, target: str, key: str, time: str, tie: str
+) -> DataFrame:
+    """The current newest row per key out of the stored changes."""
+    changes = spark.read.parquet(target).drop("batch")
+    row = F.struct(*[c for c in changes.columns if c != key])
+    newest = F.max_by(row, F.struct(time, tie)).alias("_row")
+    return changes.groupBy(key).agg(newest).select(key, "_row.*")
+
+
 def note_windows(
     events: DataFrame, key: str, time: str, tie: str, delay: str, width: str, *columns: str
 ) -> DataFrame:

@@ -76,6 +76,22 @@ def test_score_stream_with_a_trained_model(spark, tmp_path, leads_of):
     assert row["lead_id"] == "x" and 0.0 < row["p_conversion"] < 1.0
 
 
+def test_latest_note_survives_late_rows(spark, tmp_path):
+    source, target, state = (str(tmp_path / n) for n in ("in", "out", "state"))
+    schema = "k string, ts timestamp, n long, text string"
+    for rows in (
+        [("a", "2024-01-01 00:01:00", 1, "old"), ("b", "2024-01-01 00:01:00", 2, "only")],
+        [("a", "2024-01-02 00:00:00", 3, "new"), ("a", "2024-01-02 00:00:00", 4, "tie wins")],
+        [("a", "2023-01-01 00:00:00", 5, "late")],
+    ):
+        df = spark.createDataFrame(rows, "k string, ts string, n long, text string")
+        df.withColumn("ts", F.col("ts").cast("timestamp")).write.mode("append").parquet(source)
+        events = spark.readStream.schema(schema).parquet(source)
+        jobs.keep_latest(events, "k", "ts", "n", ["text"], target, state).awaitTermination()
+    got = jobs.read_latest(spark, target, "k", "ts", "n").collect()
+    assert {r["k"]: r["text"] for r in got} == {"a": "tie wins", "b": "only"}
+
+
 def test_latest_note_by_window_drops_state_after_the_delay(spark, tmp_path):
     schema = "k string, ts timestamp, n long, text string"
     files = [
