@@ -117,21 +117,27 @@ def running_totals(
     if groups and group_limit:
         lists = bounded(lists, group_limit, "groups of an ordering")
 
-    def upto(s: str, n: Column) -> Column:
-        part = F.slice("_l", F.lit(1), n)
-        return F.aggregate(part, F.lit(0).cast("bigint"), lambda a, x: a + x[s])
+    def prefix(s: str) -> Column:
+        """0, first bucket, first two buckets, ... : one entry more than buckets."""
+        start = F.array(F.lit(0).cast("bigint"))
+        return F.aggregate(
+            "_l", start, lambda a, x: F.concat(a, F.array(F.element_at(a, -1) + x[s]))
+        )
 
     size = F.size("_l")
-    offsets = lists.where(size > 0).select(
+    summed = lists.where(size > 0).select(
+        *groups, "_l", *[prefix(s).alias(f"_p_{s}") for s in sums]
+    )
+    offsets = summed.select(
         *groups,
         F.inline(
             F.transform(
                 F.sequence(F.lit(0), size - 1),
                 lambda i: F.struct(
                     F.get("_l", i)["_b"].alias("_b"),
-                    *[upto(s, i).alias(f"_off_{s}") for s in sums],
-                    *[upto(s, i + 1).alias(f"_end_{s}") for s in sums],
-                    *[upto(s, size).alias(f"total_{s}") for s in sums],
+                    *[F.get(f"_p_{s}", i).alias(f"_off_{s}") for s in sums],
+                    *[F.get(f"_p_{s}", i + 1).alias(f"_end_{s}") for s in sums],
+                    *[F.element_at(f"_p_{s}", -1).alias(f"total_{s}") for s in sums],
                 ),
             )
         ),

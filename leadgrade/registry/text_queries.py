@@ -4,7 +4,6 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from leadgrade import constants as C
 from leadgrade.functions import prompts
 from leadgrade.functions.text import model_slug
 from leadgrade.operators import notes, segments, splits
