@@ -90,7 +90,7 @@ def train_logistic(
     table: DataFrame,
     grid: Sequence[float] = LR_GRID,
     k: int = 5,
-    parallelism: int = 4,
+    parallelism: int = 8,
 ) -> Trained:
     """Balanced logistic regression; ``grid`` holds inverse penalties C.
 
@@ -110,7 +110,7 @@ def train_boosted(
     table: DataFrame,
     grid: Mapping[str, Sequence[float]] = GBT_GRID,
     k: int = 5,
-    parallelism: int = 4,
+    parallelism: int = 8,
     seed: int = C.DEFAULT_SEED,
 ) -> Trained:
     """Boosted trees over the grid."""

@@ -39,16 +39,20 @@ def typed_leads(df: DataFrame) -> DataFrame:
     return df.select(*out)
 
 
-def read_leads_csv(spark: SparkSession, path: str) -> DataFrame:
+def read_leads_csv(
+    spark: SparkSession, path: str, line_breaks: bool = False
+) -> DataFrame:
     """CRM export with a header row. Columns are matched by name, in any order.
 
     Every cell is read as text, the known missing tokens become null, and only
-    then are numbers cast, because the reader itself takes one null token.
+    then are numbers cast, because the reader itself takes one null token. Cells
+    may hold line breaks only with ``line_breaks=True``, which reads each file in
+    one task; without it files are split, and a broken row fails the query.
     """
     header = (
         spark.read.option("header", True)
         .option("inferSchema", False)
-        .option("multiLine", True)
+        .option("multiLine", line_breaks)
         .option("escape", '"')
         .option("mode", "FAILFAST")
         .csv(path)

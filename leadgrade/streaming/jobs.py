@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
+from leadgrade import constants as C
 from leadgrade.functions.clean import r6
 from leadgrade.operators.derive import derive_features
 from leadgrade.operators.features import FeatureState
@@ -51,7 +52,7 @@ def parse_requests(lines: DataFrame) -> DataFrame:
         F.get_json_object("value", "$.attitude").alias("predicted_attitude"),
         F.coalesce(F.get_json_object("value", "$.status"), F.lit("ok")).alias("status"),
         F.when(missing, "missing_lead_columns")
-        .when(~length.between(1, 4000), "bad_note_length")
+        .when(~length.between(C.NOTE_MIN_CHARS, C.NOTE_MAX_CHARS), "bad_note_length")
         .alias("reject_reason"),
     ).select("_lead.*", "predicted_attitude", "status", "reject_reason")
 

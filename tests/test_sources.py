@@ -29,7 +29,7 @@ def test_csv_types_and_missing_tokens(spark, tmp_path):
             raw_row(total_visits="nan", country=" India ", activity_score="12", specialization="a\nb"),
         ],
     )
-    one, two = readers.read_leads_csv(spark, str(path)).collect()
+    one, two = readers.read_leads_csv(spark, str(path), line_breaks=True).collect()
     assert one["total_visits"] is None and one["city"] is None and one["tags"] is None
     assert one["lead_source"] == 'say "hi", ok'
     assert two["total_visits"] is None and two["country"] == " India "
@@ -37,6 +37,13 @@ def test_csv_types_and_missing_tokens(spark, tmp_path):
     assert one["lead_number"] == 660737 and one["converted"] == 0
 
 
+def test_line_break_without_the_option_fails(spark, tmp_path):
+    path = tmp_path / "leads.csv"
+    write_csv(path, [raw_row(specialization="a\nb")])
+    with pytest.raises(Exception, match="MALFORMED"):
+        readers.read_leads_csv(spark, str(path)).collect()
+
+
 def test_csv_columns_are_matched_by_name(spark, tmp_path):
     path = tmp_path / "leads.csv"
     write_csv(path, [raw_row()], list(reversed(C.RAW_COLUMNS.values())))
