@@ -13,11 +13,12 @@ from pyspark.sql import functions as F
 
 from leadgrade import constants as C
 from leadgrade.functions.clean import clip_upper, scale
-from leadgrade.plans.ordered import count_quantiles, interpolate, quantiles, value_counts
+from leadgrade.plans.ordered import interpolate, quantiles
 from leadgrade.plans.sizing import gathered
 
 NUMERIC = (*C.CLIPPED_NUMERIC, *C.RATIO_NUMERIC)
 STATE_VERSION = 1
+SKETCH_ACCURACY = 10_000
 
 
 def _long(df: DataFrame, columns: Sequence[str], dtype: str) -> DataFrame:
@@ -31,35 +32,32 @@ def clip_thresholds(derived: DataFrame, q: float = C.CLIP_QUANTILE) -> DataFrame
     return quantiles(long, "value", {"clip": q}, ["column"]).select("column", "clip")
 
 
-def approx_clip_thresholds(
-    derived: DataFrame, q: float = C.CLIP_QUANTILE, accuracy: int = 10_000
-) -> DataFrame:
-    """Same columns from a mergeable sketch: one small row per task is shuffled."""
-    long = _long(derived, C.CLIPPED_NUMERIC, "double")
-    sketch = F.percentile_approx("value", q, accuracy)
-    return long.groupBy("column").agg(sketch.alias("clip"))
-
-
-def numeric_params(derived: DataFrame) -> DataFrame:
+def numeric_params(derived: DataFrame, exact: bool = True) -> DataFrame:
     """(column, clip, impute, has_indicator), one row per numeric column.
 
     The median is taken over clipped values. Clipping keeps the order, so it is
-    the clipped pair of middle values, and one ordering serves both quantiles. A
-    column that is null throughout imputes zero.
+    the clipped pair of middle values, and one selection serves both quantiles. A
+    column that is null throughout imputes zero. ``exact=False`` reads both
+    quantiles off one mergeable sketch instead.
     """
-    counts = value_counts(_long(derived, NUMERIC, "double"), "value", ["column"])
-    probs = {"clip": C.CLIP_QUANTILE, "median": 0.5}
-    stats = count_quantiles(counts, probs, ["column"])
-    null_rows = F.sum(F.when(F.col("_v").isNull(), F.col("_c")).otherwise(0))
-    nulls = counts.groupBy("column").agg(null_rows.alias("_n"))
+    long = _long(derived, NUMERIC, "double")
+    nulls = long.groupBy("column").agg(F.count_if(F.col("value").isNull()).alias("_n"))
     clipped = F.col("column").isin(*C.CLIPPED_NUMERIC)
-    clip = F.when(clipped, F.col("clip"))
-    lo = F.least("median_lo", clip)
-    hi = F.least("median_hi", clip)
+    if exact:
+        probs = {"clip": C.CLIP_QUANTILE, "median": 0.5}
+        stats = quantiles(long, "value", probs, ["column"])
+        clip = F.when(clipped, F.col("clip"))
+        lo, hi = F.least("median_lo", clip), F.least("median_hi", clip)
+        median = interpolate(lo, hi, F.col("n"), 0.5)
+    else:
+        sketch = F.percentile_approx("value", [C.CLIP_QUANTILE, 0.5], SKETCH_ACCURACY)
+        stats = long.groupBy("column").agg(sketch.alias("_q"))
+        clip = F.when(clipped, F.get("_q", 0))
+        median = F.least(F.get("_q", 1), clip)
     return nulls.join(stats, "column", "left").select(
         "column",
         clip.alias("clip"),
-        F.coalesce(interpolate(lo, hi, F.col("n"), 0.5), F.lit(0.0)).alias("impute"),
+        F.coalesce(median, F.lit(0.0)).alias("impute"),
         (clipped & (F.col("_n") > 0)).alias("has_indicator"),
     )
 
@@ -302,14 +300,16 @@ def scaling_row(derived: DataFrame, params: Sequence[NumericParam]) -> DataFrame
     return derived.agg(*aggs)
 
 
-def fit(derived: DataFrame, min_count: int = C.MIN_CATEGORY_COUNT) -> FeatureState:
+def fit(
+    derived: DataFrame, min_count: int = C.MIN_CATEGORY_COUNT, exact: bool = True
+) -> FeatureState:
     """Three aggregation jobs: quantiles, then moments, then category counts.
 
     Only parameters come back to the driver: seven numeric rows, one row of
     moments, and the category table up to the broadcast limit. Fit on the training
     part unless the whole table is meant.
     """
-    by_name = {r["column"]: r for r in numeric_params(derived).collect()}
+    by_name = {r["column"]: r for r in numeric_params(derived, exact).collect()}
     params = [
         NumericParam(c, row["clip"], row["impute"], row["has_indicator"])
         for c in NUMERIC

@@ -24,6 +24,7 @@ from leadgrade.plans.sizing import bounded, small_side
 EDGE_ACCURACY = 1000
 GROUP_LIMIT = 256
 TIE_SEED = "tie"
+Reaching = tuple[str, Sequence[Column]]
 
 
 def bucket_count(spark: SparkSession) -> int:
@@ -72,44 +73,20 @@ def _attach(
     return big.join(F.broadcast(small) if group_limit or not groups else small, on)
 
 
-def running_totals(
-    counts: DataFrame,
-    key: str,
-    sums: Sequence[str],
-    groups: Sequence[str] = (),
-    descending: bool = True,
-    group_limit: int | None = GROUP_LIMIT,
-    reaching: tuple[str, Sequence[Column]] | None = None,
+def _offsets(
+    bucketed: DataFrame,
+    sums: dict[str, Column],
+    groups: Sequence[str],
+    group_limit: int | None,
+    reaching: Reaching | None = None,
 ) -> DataFrame:
-    """Add ``cum_<s>`` (inclusive running sum) and ``total_<s>`` per group.
+    """(groups, _b, _off_<s>, total_<s>): what comes before each bucket.
 
-    ``counts`` holds one row per (groups, key), both non-null, ``sums`` integer.
-    Groups come from parameter lists or column names; more than ``group_limit`` of
-    them raises, and ``group_limit=None`` joins by shuffle instead of broadcast.
-
-    ``reaching=(s, targets)`` keeps only the buckets in which the running sum of
-    ``s`` reaches one of the targets (expressions over ``total_<s>``, from 1 up).
-    All other rows are dropped by the offset join, before the shuffle and sort.
+    The totals of a group are one short array, so its running sum needs no window.
+    ``reaching`` keeps only the buckets in which a running sum reaches a target.
     """
-    spark = counts.sparkSession
-    buckets = bucket_count(spark)
-    order = F.col(key).cast("double")
-    # The counts feed three branches: edges, bucket totals and rows. The order key
-    # is made to depend on every sum, so that column pruning leaves the branches
-    # alike and Spark runs the counting, and the edges, once for all of them.
-    valid = sum((F.abs(s) for s in sums), F.lit(0)) >= 0
-    keyed = _present(counts, [*groups, key]).withColumn(
-        "_k", F.when(valid, -order if descending else order)
-    )
-    edges = _edges(keyed, "_k", groups, buckets)
-    if groups and group_limit:
-        edges = bounded(edges, group_limit, "groups of an ordering")
-    bucketed = _with_bucket(
-        _attach(keyed, edges, groups, (), group_limit), "_k", buckets
-    )
-
     totals = bucketed.groupBy(*groups, "_b").agg(
-        *[F.sum(s).cast("bigint").alias(s) for s in sums]
+        *[F.sum(col).cast("bigint").alias(s) for s, col in sums.items()]
     )
     lists = totals.groupBy(*groups).agg(
         F.array_sort(F.collect_list(F.struct("_b", *sums))).alias("_l")
@@ -148,7 +125,48 @@ def running_totals(
         for target in targets:
             hit = hit | ((target > F.col(f"_off_{name}")) & (target <= F.col(f"_end_{name}")))
         offsets = offsets.where(hit)
-    offsets = offsets.drop(*[f"_end_{s}" for s in sums])
+    return offsets.drop(*[f"_end_{s}" for s in sums])
+
+
+def running_totals(
+    counts: DataFrame,
+    key: str,
+    sums: Sequence[str],
+    groups: Sequence[str] = (),
+    descending: bool = True,
+    group_limit: int | None = GROUP_LIMIT,
+    reaching: Reaching | None = None,
+) -> DataFrame:
+    """Add ``cum_<s>`` (inclusive running sum) and ``total_<s>`` per group.
+
+    ``counts`` holds one row per (groups, key), both non-null, ``sums`` integer.
+    Groups come from parameter lists or column names; more than ``group_limit`` of
+    them raises, and ``group_limit=None`` joins by shuffle instead of broadcast.
+
+    ``reaching=(s, targets)`` keeps only the buckets in which the running sum of
+    ``s`` reaches one of the targets (expressions over ``total_<s>``, from 1 up).
+    All other rows are dropped by the offset join, before the shuffle and sort.
+    """
+    spark = counts.sparkSession
+    buckets = bucket_count(spark)
+    order = F.col(key).cast("double")
+    # The counts feed three branches: edges, bucket totals and rows. The order key
+    # is made to depend on every sum, so that column pruning leaves the branches
+    # alike and Spark runs the counting, and the edges, once for all of them.
+    valid = sum((F.abs(s) for s in sums), F.lit(0)) >= 0
+    keyed = _present(counts, [*groups, key]).withColumn(
+        "_k", F.when(valid, -order if descending else order)
+    )
+    edges = _edges(keyed, "_k", groups, buckets)
+    if groups and group_limit:
+        edges = bounded(edges, group_limit, "groups of an ordering")
+    bucketed = _with_bucket(
+        _attach(keyed, edges, groups, (), group_limit), "_k", buckets
+    )
+
+    offsets = _offsets(
+        bucketed, {s: F.col(s) for s in sums}, groups, group_limit, reaching
+    )
     window = (
         Window.partitionBy(*groups, "_b")
         .orderBy("_k")
@@ -165,14 +183,6 @@ def running_totals(
     )
 
 
-def value_counts(df: DataFrame, value: str, groups: Sequence[str] = ()) -> DataFrame:
-    """(groups, _v, _c): rows per distinct value; null and NaN share the null row."""
-    number = F.col(value).cast("double")
-    return df.groupBy(*groups, F.nullif(number, F.lit(float("nan"))).alias("_v")).agg(
-        F.count("*").alias("_c")
-    )
-
-
 def quantiles(
     df: DataFrame,
     value: str,
@@ -184,33 +194,44 @@ def quantiles(
 
     For each entry of ``probs`` the columns ``<name>``, ``<name>_lo`` and
     ``<name>_hi`` hold the quantile and the two values it lies between; ``n`` is
-    the number of non-null values. Only (value, count) pairs are shuffled.
-    """
-    return count_quantiles(value_counts(df, value, groups), probs, groups, group_limit)
-
+    the number of values that are neither null nor NaN.
 
-def count_quantiles(
-    counts: DataFrame,
-    probs: dict[str, float],
-    groups: Sequence[str] = (),
-    group_limit: int | None = GROUP_LIMIT,
-) -> DataFrame:
-    """``quantiles`` of a ``value_counts`` table."""
+    Found by selection, not by sorting: a sketch proposes bucket edges, one pass
+    counts rows per bucket, and only the values of the buckets that hold a wanted
+    rank are counted, shuffled and ordered.
+    """
+    number = F.col(value).cast("double")
+    rows = _present(
+        df.select(*groups, F.nullif(number, F.lit(float("nan"))).alias("_v")),
+        [*groups, "_v"],
+    )
+    buckets = bucket_count(df.sparkSession)
+    edges = _edges(rows, "_v", groups, buckets)
+    if groups and group_limit:
+        edges = bounded(edges, group_limit, "groups of an ordering")
+    bucketed = _with_bucket(
+        _attach(rows, edges, groups, (), group_limit), "_v", buckets
+    )
+    total = F.col("total__c")
     ranks = {
-        f"{name}_{suffix}": rounded(F.lit(float(p)) * (F.col("total__c") - 1)) + 1
+        f"{name}_{suffix}": rounded(F.lit(float(p)) * (total - 1)) + 1
         for name, p in probs.items()
         for suffix, rounded in (("lo", F.floor), ("hi", F.ceil))
     }
-    ranked = running_totals(
-        counts,
-        "_v",
-        ["_c"],
-        groups,
-        descending=False,
-        group_limit=group_limit,
-        reaching=("_c", list(ranks.values())),
+    offsets = _offsets(
+        bucketed, {"_c": F.lit(1)}, groups, group_limit, ("_c", list(ranks.values()))
+    )
+    inside = _attach(bucketed, offsets, groups, ("_b",), group_limit)
+    counts = inside.groupBy(*groups, "_b", "_v", "_off__c", "total__c").agg(
+        F.count("*").alias("_c")
+    )
+    window = (
+        Window.partitionBy(*groups, "_b")
+        .orderBy("_v")
+        .rowsBetween(Window.unboundedPreceding, Window.currentRow)
     )
-    aggs = [F.max("total__c").alias("n")]
+    ranked = counts.withColumn("cum__c", F.sum("_c").over(window) + F.col("_off__c"))
+    aggs = [F.max(total).alias("n")]
     for column, rank in ranks.items():
         reached = F.when(F.col("cum__c") >= rank, F.col("_v"))
         aggs.append(F.min(reached).alias(column))
