@@ -83,6 +83,12 @@ def word_hashes(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     a text is.
     """
     data, offsets = utf8(texts)
+    hashes, starts = words_in(data, offsets)
+    return hashes, np.searchsorted(starts, offsets)
+
+
+def words_in(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The hash and the first byte of every word; no word crosses one of ``offsets``."""
     is_word = _WORD_BYTE[data]
     first = np.zeros(len(data) + 1, bool)
     first[offsets] = True
@@ -103,8 +109,8 @@ def word_hashes(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         hashes.append(mix((sums[end] - sums[start]) * inverse[start]))
         starts.append(start + a)
     if not hashes:
-        return np.zeros(0, np.uint64), np.zeros(len(offsets), np.int64)
-    return np.concatenate(hashes), np.searchsorted(np.concatenate(starts), offsets)
+        return np.zeros(0, np.uint64), np.zeros(0, np.int64)
+    return np.concatenate(hashes), np.concatenate(starts)
 
 
 def shingles(
