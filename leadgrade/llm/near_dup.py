@@ -21,6 +21,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from leadgrade.llm.components import components
+from leadgrade.llm.filters import maybe_in
 from leadgrade.llm.words import counted, mix, pieces, seeded, shingles, word_hashes
 from leadgrade.plans.sizing import written
 
@@ -231,7 +232,8 @@ def text_classes(docs: DataFrame, threshold: float = SIMILARITY) -> DataFrame:
     )
     stars = written(stars, "stars")
     wanted = written(members.select("node").distinct(), "wanted")
-    texts = written(texts.join(wanted, "node", "left_semi").dropDuplicates(["node"]), "texts")
+    likely = maybe_in(texts, F.col("node"), wanted)
+    texts = written(likely.join(wanted, "node", "left_semi").dropDuplicates(["node"]), "texts")
     links = written(_verify(stars, texts, threshold), "links")
     parts = components(links)
     apart = _apart(members, parts, stars)
