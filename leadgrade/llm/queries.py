@@ -4,7 +4,18 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from leadgrade.llm import near_dup
+from leadgrade.llm import (
+    decontaminate,
+    extract,
+    lang_id,
+    line_dedup,
+    mixing,
+    near_dup,
+    passages,
+    quality,
+    tokens,
+    top_k,
+)
 
 QUERIES, ORACLES = {}, {}
 
@@ -13,9 +24,84 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op1_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Language of every document by compression with learned dictionaries."""
+    docs = _table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
+    model = lang_id.learn(docs)
+    found = lang_id.identify(docs.drop("lang"), model)
+    return found.select(
+        "doc_id",
+        lang_id.held_out(found.doc_id).alias("held_out"),
+        "lang_pred",
+        "score",
+        "margin",
+        "rejected",
+    )
+
+
+def op2_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document that holds a benchmark item, with the share that it holds."""
+    docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
+    return decontaminate.contaminated(docs, _table(spark, sf_dir, "benchmark"))
+
+
+def op3_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Tokens of every document, counted in flat token files."""
+    return tokens.document_token_counts(_table(spark, sf_dir, "documents").select("doc_id", "text"))
+
+
+def op4_exact_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The 20 best inner products of every twentieth vector with all others."""
+    vectors = _table(spark, sf_dir, "embeddings").select("vec_id", "embedding")
+    return top_k.top_k(vectors, vectors.where("vec_id % 20 = 0"))
+
+
+def op5_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Main text of every page."""
+    pages = _table(spark, sf_dir, "pages").select("page_id", "url", "html")
+    return extract.extract(pages, extract.learn(pages))
+
+
+def op6_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Words that the mix takes of every document."""
+    docs = _table(spark, sf_dir, "documents").select("doc_id", "text", "source")
+    return mixing.mix(docs, text=False).select(
+        "doc_id", "size", "source_size", "target", "taken"
+    )
+
+
 def op7_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Class of every document under ProbMinHash near-duplicate search."""
     return near_dup.near_duplicates(_table(spark, sf_dir, "documents"))
 
 
-QUERIES["op7_near_duplicates"] = op7_near_duplicates
+def op8_line_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Quality of every document from the labels of its lines."""
+    docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
+    model = quality.learn(docs, _table(spark, sf_dir, "labels"))
+    found = quality.score(docs, model)
+    return found.select("doc_id", quality.held_out(found.doc_id).alias("held_out"), "score", "predicted")
+
+
+def op9_repeated_passages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Passages of every document that other documents have too."""
+    return passages.repeated_passages(_table(spark, sf_dir, "documents").select("doc_id", "text"))
+
+
+def op10_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's text without recurring lines, and how many went."""
+    return line_dedup.line_report(_table(spark, sf_dir, "documents"))
+
+
+QUERIES |= {
+    "op1_language_id": op1_language_id,
+    "op2_decontamination": op2_decontamination,
+    "op3_token_counts": op3_token_counts,
+    "op4_exact_top_k": op4_exact_top_k,
+    "op5_html_extraction": op5_html_extraction,
+    "op6_source_mixing": op6_source_mixing,
+    "op7_near_duplicates": op7_near_duplicates,
+    "op8_line_quality": op8_line_quality,
+    "op9_repeated_passages": op9_repeated_passages,
+    "op10_line_dedup": op10_line_dedup,
+}
