@@ -207,7 +207,6 @@ BOOTSTRAP_DRAWS = 1000
 CONFIDENCE_ALPHA = 0.05
 NOTE_MIN_CHARS = 1
 NOTE_MAX_CHARS = 4000
-TOP_LIST_MAX = 924
 JOIN_OVERLAP_FLOOR = 0.95
 
 # --- Fixed values: leakage rules ---

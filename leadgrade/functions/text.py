@@ -52,8 +52,14 @@ def raw_label(content: Column) -> Column:
     cleaned = strip(F.regexp_replace(strip(content), FENCE_PATTERN, ""))
     wrapped = F.concat(F.lit("["), cleaned, F.lit("]"))
     parsed = F.from_json(wrapped, "array<struct<attitude: string>>")
+    # The reader turns numbers into strings; only a JSON string is a label.
+    kind = F.schema_of_variant(
+        F.try_variant_get(F.try_parse_json(wrapped), "$[0].attitude", "variant")
+    )
+    is_text = F.coalesce(kind == "STRING", F.lit(True))
     from_json = F.when(
-        cleaned.startswith("{") & (F.size(parsed) == 1), F.get(parsed, 0)["attitude"]
+        cleaned.startswith("{") & (F.size(parsed) == 1) & is_text,
+        F.get(parsed, 0)["attitude"],
     )
     matches = F.regexp_extract_all(content, F.lit(LABEL_PATTERN), F.lit(1))
     from_text = F.when(F.size(matches) > 0, F.element_at(matches, -1))

@@ -1,11 +1,12 @@
-"""Bootstrap intervals whose cost follows score bins, not rows.
+"""Bootstrap intervals whose cost follows distinct scores, not rows.
 
 A multinomial resample of n rows is close to drawing an independent Poisson count
-for every cell of equal rows. So rows are first counted into at most ``MAX_BINS``
-quantile bins of the score (every row counts; equal scores share a bin), and each
-replicate draws one Poisson number per bin and class. Replicates are spread over
-tasks; a task sees bins, never rows. Inside a bin scores count as tied, which moves
-an AUC by less than the share of one bin.
+for every cell of equal rows. Each cell (a distinct score, or a distinct pair of
+scores) draws the counts of all replicates from a generator keyed by the cell and the
+seed, so a draw depends neither on partitions nor on other cells. Cells are ordered
+in ranges of the score: a task turns one range into a few numbers per replicate, and
+running sums over the ranges put them together. Nothing is binned; only equal
+scores count as tied.
 """
 
 from __future__ import annotations
@@ -14,62 +15,83 @@ from collections.abc import Iterator, Sequence
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from leadgrade import constants as C
 from leadgrade.functions.clean import r6
 from leadgrade.operators.classification import confusion_cells
 from leadgrade.operators.ranking import score_counts
-from leadgrade.plans.ordered import running_totals
-
-MAX_BINS = 1024
-PAIR_BINS = 256
-MAX_CELLS = 1 << 16
+from leadgrade.plans.ordered import in_buckets
+from leadgrade.plans.sizing import written
+
+_RANGE = "_b int, replicate int, pos double, neg double, area double"
+_PART = "_b int, replicate int, part double"
+
+
+def _drawn(cells: pd.DataFrame, draws: int, seed: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Positives and negatives of all replicates for every distinct score, best first."""
+    cells = cells.sort_values(["score", "key"], ascending=False)
+    for _, tied in cells.groupby("score", sort=False):
+        pos, neg = np.zeros(draws), np.zeros(draws)
+        for row in tied.itertuples(index=False):
+            rng = np.random.Generator(np.random.Philox(key=[row.key & (2**64 - 1), seed]))
+            pos += rng.poisson(row.pos, draws)
+            neg += rng.poisson(row.neg, draws)
+        yield pos, neg
+
+
+def _ranges(cells: DataFrame, draws: int, seed: int) -> DataFrame:
+    """Per range and replicate: positives, negatives, and the positives above each
+    negative inside of the range, ties half."""
+
+    def run(part: pd.DataFrame) -> pd.DataFrame:
+        pos, neg, area = np.zeros(draws), np.zeros(draws), np.zeros(draws)
+        for p, n in _drawn(part, draws, seed):
+            area += n * (pos + p / 2)
+            pos += p
+            neg += n
+        number = np.full(draws, part["_b"].iloc[0], np.int32)
+        ids = np.arange(draws, dtype=np.int32)
+        return pd.DataFrame({"_b": number, "replicate": ids, "pos": pos, "neg": neg, "area": area})
+
+    above = Window.partitionBy("replicate").orderBy("_b").rowsBetween(Window.unboundedPreceding, -1)
+    found = cells.groupBy("_b").applyInPandas(run, _RANGE)
+    return written(
+        found.withColumn("pos_above", F.coalesce(F.sum("pos").over(above), F.lit(0.0))).withColumn(
+            "neg_above", F.coalesce(F.sum("neg").over(above), F.lit(0.0))
+        ),
+        "ranges",
+    )
 
 
-def _binned(counts: DataFrame, score: str, bins: int) -> DataFrame:
-    """Add ``bin`` to (score, n, ...): by rank among all rows, from the worst score."""
-    ranked = running_totals(counts, score, ["n"], descending=False)
-    middle = F.col("cum_n") - F.col("n") / F.lit(2.0)
-    number = F.floor(middle / F.col("total_n") * bins).cast("int")
-    return ranked.select(*counts.columns, number.alias("bin"))
+def _auc(ranges: DataFrame, name: str) -> DataFrame:
+    """(replicate, <name>): null where a replicate drew a single class."""
+    pairs = F.nullif(F.sum("pos") * F.sum("neg"), F.lit(0.0))
+    wins = F.sum(F.col("area") + F.col("neg") * F.col("pos_above"))
+    return ranges.groupBy("replicate").agg((wins / pairs).alias(name))
 
 
-def _bin_of(df: DataFrame, score: str, bins: int) -> DataFrame:
-    """(score, bin_<score>) for every distinct value of the column."""
-    counts = df.groupBy(score).agg(F.count("*").alias("n"))
-    return _binned(counts, score, bins).select(
-        score, F.col("bin").alias(f"bin_{score}")
-    )
+def _average_precision(cells: DataFrame, ranges: DataFrame, draws: int, seed: int) -> DataFrame:
+    """(replicate, average_precision), from the same draws once more."""
 
+    def run(part: pd.DataFrame, before: pd.DataFrame) -> pd.DataFrame:
+        before = before.sort_values("replicate")
+        pos, neg = before["pos_above"].to_numpy().copy(), before["neg_above"].to_numpy().copy()
+        total = np.zeros(draws)
+        for p, n in _drawn(part, draws, seed):
+            pos += p
+            neg += n
+            total += p * pos / np.maximum(pos + neg, 1)
+        number = np.full(draws, part["_b"].iloc[0], np.int32)
+        ids = np.arange(draws, dtype=np.int32)
+        return pd.DataFrame({"_b": number, "replicate": ids, "part": total})
 
-def _replicates(cells: DataFrame, draws: int, columns: Sequence[str]) -> DataFrame:
-    """One row per replicate, carrying the whole (bounded) cell table as arrays."""
-    spark = cells.sparkSession
-    ordered = F.array_sort(F.collect_list(F.struct(*columns)))
-    size = F.size("_l")
-    table = cells.limit(MAX_CELLS + 1).agg(ordered.alias("_l"))
-    checked = table.select(
-        F.when(size <= MAX_CELLS, F.col("_l")).otherwise(
-            F.raise_error(F.lit(f"more than {MAX_CELLS} bootstrap cells"))
-        ).alias("_l")
-    ).select(*[F.col("_l")[c].alias(c) for c in columns])
-    # A few replicates per task: each carries the whole table into its Arrow batch.
-    width = max(int(spark.conf.get("spark.sql.shuffle.partitions")), draws // 20)
-    ids = spark.range(draws, numPartitions=max(1, min(draws, width)))
-    return ids.withColumnRenamed("id", "replicate").crossJoin(F.broadcast(checked))
-
-
-def _auc_ap(pos: np.ndarray, neg: np.ndarray) -> tuple[float, float]:
-    """AUC and average precision of bins given best score first."""
-    p, n = pos.sum(), neg.sum()
-    if p == 0 or n == 0:
-        return float("nan"), float("nan")
-    up, un = np.cumsum(pos), np.cumsum(neg)
-    auc = float((neg * (up - pos / 2.0)).sum() / (p * n))
-    seen = np.maximum(up + un, 1)
-    return auc, float((pos * (up / seen)).sum() / p)
+    parts = cells.groupBy("_b").cogroup(ranges.groupBy("_b")).applyInPandas(run, _PART)
+    sums = parts.groupBy("replicate").agg(F.sum("part").alias("part"))
+    classes = ranges.groupBy("replicate").agg(F.sum("pos").alias("p"), F.sum("neg").alias("n"))
+    found = F.when(F.col("n") > 0, F.col("part") / F.nullif("p", F.lit(0.0)))
+    return sums.join(classes, "replicate").select("replicate", found.alias("average_precision"))
 
 
 def interval(draws: DataFrame, metrics: Sequence[str], alpha: float) -> DataFrame:
@@ -79,7 +101,7 @@ def interval(draws: DataFrame, metrics: Sequence[str], alpha: float) -> DataFram
     """
     rows = []
     for m in metrics:
-        value = F.when(~F.isnan(m), F.col(m))
+        value = F.col(m)
         rows.append(
             F.struct(
                 F.lit(m).alias("metric"),
@@ -92,6 +114,17 @@ def interval(draws: DataFrame, metrics: Sequence[str], alpha: float) -> DataFram
     return draws.agg(F.array(*rows).alias("_r")).select(F.inline("_r"))
 
 
+def _rounded(df: DataFrame) -> DataFrame:
+    return df.withColumns({c: r6(c) for c in ("lower", "upper", "mean")})
+
+
+def _ordered(cells: DataFrame, score: str) -> DataFrame:
+    """(key, score, pos, neg, _b): ranges of the score, best first, stored because both
+    passes have to see the same ranges."""
+    keyed = cells.select("key", F.col(score).alias("score"), "pos", "neg").withColumn("_k", -F.col("score"))
+    return written(in_buckets(keyed, "_k").drop("_k"), "cells")
+
+
 def bootstrap_ci(
     df: DataFrame,
     score: str,
@@ -99,36 +132,17 @@ def bootstrap_ci(
     draws: int = C.BOOTSTRAP_DRAWS,
     alpha: float = C.CONFIDENCE_ALPHA,
     seed: int = C.DEFAULT_SEED,
-    bins: int = MAX_BINS,
 ) -> DataFrame:
-    """Intervals of roc_auc and average_precision."""
-    counts = score_counts(df, score, label).withColumn("n", F.col("pos") + F.col("neg"))
-    cells = (
-        _binned(counts, "score", bins)
-        .groupBy((-F.col("bin")).alias("b"))
-        .agg(F.sum("pos").alias("pos"), F.sum("neg").alias("neg"))
-    )
-    table = _replicates(cells, draws, ("b", "pos", "neg"))
-
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for batch in batches:
-            out = []
-            for rep, pos, neg in zip(batch["replicate"], batch["pos"], batch["neg"]):
-                rng = np.random.default_rng([seed, rep])
-                drawn = rng.poisson(np.asarray(pos)), rng.poisson(np.asarray(neg))
-                out.append((rep, *_auc_ap(*drawn)))
-            yield pd.DataFrame(out, columns=["replicate", "roc_auc", "average_precision"])
-
-    drawn = table.select("replicate", "pos", "neg").mapInPandas(
-        run, "replicate long, roc_auc double, average_precision double"
+    """Intervals of roc_auc and average_precision over the rows with score and label."""
+    counts = score_counts(df, score, label).withColumn("key", F.xxhash64("score"))
+    cells = _ordered(counts, "score")
+    ranges = _ranges(cells, draws, seed)
+    drawn = _auc(ranges, "roc_auc").join(
+        _average_precision(cells, ranges, draws, seed), "replicate"
     )
     return _rounded(interval(drawn, ("roc_auc", "average_precision"), alpha))
 
 
-def _rounded(df: DataFrame) -> DataFrame:
-    return df.withColumns({c: r6(c) for c in ("lower", "upper", "mean")})
-
-
 def paired_bootstrap(
     df: DataFrame,
     score_a: str,
@@ -137,49 +151,27 @@ def paired_bootstrap(
     draws: int = C.BOOTSTRAP_DRAWS,
     alpha: float = C.CONFIDENCE_ALPHA,
     seed: int = C.DEFAULT_SEED,
-    bins: int = PAIR_BINS,
 ) -> DataFrame:
     """Interval of AUC(b) - AUC(a), both read off the same resample.
 
-    Rows are counted per pair of bins, so one Poisson draw per pair is shared by
-    the two models.
+    Rows are counted per pair of scores, and a pair draws the same in both orders.
     """
     y = F.col(label).cast("int")
-    scores = df.select(
-        F.col(score_a).cast("double").alias(score_a),
-        F.col(score_b).cast("double").alias(score_b),
-        y.alias("_y"),
-    )
-    per_pair = scores.groupBy(score_a, score_b).agg(
-        F.count_if(F.col("_y") == 1).alias("pos"), F.count_if(F.col("_y") == 0).alias("neg")
-    )
-    a, b = f"bin_{score_a}", f"bin_{score_b}"
+    a, b = F.col(score_a).cast("double"), F.col(score_b).cast("double")
     cells = (
-        per_pair.join(_bin_of(scores, score_a, bins), score_a)
-        .join(_bin_of(scores, score_b, bins), score_b)
-        .groupBy(F.col(a).alias("a"), F.col(b).alias("b"))
-        .agg(F.sum("pos").alias("pos"), F.sum("neg").alias("neg"))
+        df.select(a.alias("a"), b.alias("b"), y.alias("_y"))
+        .where("a is not null and b is not null and _y is not null")
+        .groupBy("a", "b")
+        .agg(F.count_if(F.col("_y") == 1).alias("pos"), F.count_if(F.col("_y") == 0).alias("neg"))
+        .withColumn("key", F.xxhash64("a", "b"))
+    )
+    cells = written(cells, "pairs")
+    sides = [
+        _auc(_ranges(_ordered(cells, side), draws, seed), f"auc_{side}") for side in ("a", "b")
+    ]
+    drawn = sides[0].join(sides[1], "replicate").select(
+        "replicate", (F.col("auc_b") - F.col("auc_a")).alias("auc_difference")
     )
-    table = _replicates(cells, draws, ("a", "b", "pos", "neg"))
-
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for batch in batches:
-            out = []
-            for row in batch.itertuples(index=False):
-                rng = np.random.default_rng([seed, row.replicate])
-                pos = rng.poisson(np.asarray(row.pos))
-                neg = rng.poisson(np.asarray(row.neg))
-                auc = []
-                for side in (row.a, row.b):
-                    place = bins - 1 - np.asarray(side)
-                    folded = [
-                        np.bincount(place, weights=w, minlength=bins) for w in (pos, neg)
-                    ]
-                    auc.append(_auc_ap(*folded)[0])
-                out.append((row.replicate, auc[1] - auc[0]))
-            yield pd.DataFrame(out, columns=["replicate", "auc_difference"])
-
-    drawn = table.mapInPandas(run, "replicate long, auc_difference double")
     result = _rounded(interval(drawn, ("auc_difference",), alpha))
     return result.withColumn("significant", (F.col("lower") > 0) | (F.col("upper") < 0))
 
@@ -193,34 +185,47 @@ def bootstrap_f1(
     alpha: float = C.CONFIDENCE_ALPHA,
     seed: int = C.DEFAULT_SEED,
 ) -> DataFrame:
-    """Interval of macro F1: one Poisson draw per confusion cell."""
+    """Interval of macro F1 over ``labels``: one Poisson draw per confusion cell.
+
+    A null or unknown label is a class of its own: wrong wherever it stands, and not
+    in the mean.
+    """
     codes = F.array(*[F.lit(x) for x in labels])
+    k = len(labels)
 
     def code(name: str) -> Column:
-        return (F.array_position(codes, F.col(name)) - 1).cast("int")
+        at = F.coalesce(F.array_position(codes, F.col(name)), F.lit(0))
+        return F.when(at > 0, at - 1).otherwise(k).cast("int")
 
-    cells = confusion_cells(df, truth, guess).select(
-        code("truth").alias("t"), code("guess").alias("g"), "n"
+    cells = (
+        confusion_cells(df, truth, guess)
+        .groupBy(code("truth").alias("t"), code("guess").alias("g"))
+        .agg(F.sum("n").alias("n"))
+    )
+    # At most (labels + 1) squared cells, in one row.
+    whole = cells.agg(F.array_sort(F.collect_list(F.struct("t", "g", "n"))).alias("cells"))
+    ids = cells.sparkSession.range(draws).withColumnRenamed("id", "replicate")
+    table = ids.crossJoin(F.broadcast(whole)).select(
+        "replicate", *[F.col("cells")[c].alias(c) for c in ("t", "g", "n")]
     )
-    table = _replicates(cells, draws, ("t", "g", "n"))
-    k = len(labels)
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
             out = []
             for row in batch.itertuples(index=False):
                 rng = np.random.default_rng([seed, row.replicate])
-                grid = np.zeros((k, k))
+                grid = np.zeros((k + 1, k + 1))
                 np.add.at(
                     grid,
                     (np.asarray(row.t), np.asarray(row.g)),
                     rng.poisson(np.asarray(row.n)),
                 )
-                both = grid.sum(axis=0) + grid.sum(axis=1)
+                both = (grid.sum(axis=0) + grid.sum(axis=1))[:k]
                 f1 = np.divide(
-                    2 * np.diag(grid), both, out=np.zeros(k), where=both > 0
+                    2 * np.diag(grid)[:k], both, out=np.zeros(k), where=both > 0
                 )
-                out.append((row.replicate, float(f1[both > 0].mean())))
+                value = float(f1[both > 0].mean()) if (both > 0).any() else None
+                out.append((row.replicate, value))
             yield pd.DataFrame(out, columns=["replicate", "f1_macro"])
 
     drawn = table.mapInPandas(run, "replicate long, f1_macro double")

@@ -53,9 +53,10 @@ def cell_crosstab(
 
 
 def crosstab_margins(df: DataFrame, row: str, col: str) -> DataFrame:
-    """Counts with an 'All' row and column."""
+    """Counts with an 'All' row and column, of rows that have both values."""
     return (
-        df.cube(row, col)
+        df.where(F.col(row).isNotNull() & F.col(col).isNotNull())
+        .cube(row, col)
         .agg(
             F.count("*").alias("n"),
             F.grouping(row).alias("_gr"),

@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from leadgrade import constants as C
 from leadgrade.functions.clean import clip_upper, scale
 from leadgrade.plans.ordered import interpolate, quantiles
-from leadgrade.plans.sizing import gathered
+from leadgrade.plans.sizing import written
 
 NUMERIC = (*C.CLIPPED_NUMERIC, *C.RATIO_NUMERIC)
 STATE_VERSION = 1
@@ -149,19 +149,15 @@ class NumericParam:
 class FeatureState:
     """Fitted parameters: seven numeric rows and one table of category slots.
 
-    ``slots_small`` records that the size of ``slots`` was checked, so its lookups
-    may be broadcast; otherwise they are joined by shuffle.
+    ``slots`` is a stored table, so the planner knows its bytes and picks the join of
+    its lookups.
     """
 
     numeric: list[NumericParam]
     slots: DataFrame
-    slots_small: bool
     n_rows: int
     version: int = STATE_VERSION
 
-    def lookup(self, table: DataFrame) -> DataFrame:
-        return F.broadcast(table) if self.slots_small else table
-
     @property
     def spark(self) -> SparkSession:
         return self.slots.sparkSession
@@ -184,7 +180,7 @@ class FeatureState:
         own = self.slots.where(F.col("column") == column).select(
             F.col("value").alias(f"_{column}"), F.col("slot").alias(f"{column}_slot")
         )
-        return self.lookup(own)
+        return own
 
     def transform(self, derived: DataFrame, keep: Sequence[str] = ()) -> DataFrame:
         """Scaled numerics, one slot number per categorical, and the flags.
@@ -211,7 +207,7 @@ class FeatureState:
             key, *[category_column(c).alias(c) for c in C.CATEGORICAL]
         )
         long = filled.unpivot([key], list(C.CATEGORICAL), "column", "value")
-        lookup = self.lookup(self.slots.select("column", "value", "slot_name"))
+        lookup = self.slots.select("column", "value", "slot_name")
         return long.join(lookup, ["column", "value"]).select(key, "column", "slot_name")
 
     def widths(self) -> dict[str, int]:
@@ -305,9 +301,9 @@ def fit(
 ) -> FeatureState:
     """Three aggregation jobs: quantiles, then moments, then category counts.
 
-    Only parameters come back to the driver: seven numeric rows, one row of
-    moments, and the category table up to the broadcast limit. Fit on the training
-    part unless the whole table is meant.
+    Only parameters come back to the driver: seven numeric rows and one row of
+    moments; the category table is stored. Fit on the training part unless the
+    whole table is meant.
     """
     by_name = {r["column"]: r for r in numeric_params(derived, exact).collect()}
     params = [
@@ -320,8 +316,8 @@ def fit(
         p.mean, p.std = moments[f"v_mean_{p.column}"], moments[f"v_std_{p.column}"]
         p.indicator_mean = moments[f"i_mean_{p.column}"]
         p.indicator_std = moments[f"i_std_{p.column}"]
-    slots, is_small = gathered(category_slots(category_frequencies(derived, min_count)))
-    return FeatureState(params, slots, is_small, moments["n_rows"])
+    slots = written(category_slots(category_frequencies(derived, min_count)), "slots")
+    return FeatureState(params, slots, moments["n_rows"])
 
 
 def params_frame(state: FeatureState) -> DataFrame:

@@ -20,7 +20,8 @@ def suspect_auc(
 ) -> DataFrame:
     """In-sample AUC of each column alone, missing taken as a level.
 
-    A level's score is its positive rate. Levels with equal rates are one score.
+    A level's score is its positive rate. Levels with equal rates are one score; a
+    level without a labelled row counts as a level but has no score.
     Absent columns are skipped. Everything after the first groupBy is sized by the
     number of levels.
     """
@@ -43,7 +44,8 @@ def suspect_auc(
             F.sum(F.when(F.col("level") == "Missing", rows)), F.lit(0)
         ).alias("n_missing"),
     )
-    scores = levels.groupBy("column", (F.col("pos") / rows).alias("score")).agg(
+    rate = F.col("pos") / F.nullif(rows, F.lit(0))
+    scores = levels.where(rows > 0).groupBy("column", rate.alias("score")).agg(
         F.sum("pos").alias("pos"), F.sum("neg").alias("neg")
     )
     auc = cumulative(scores, ["column"]).groupBy("column").agg(
@@ -58,12 +60,15 @@ def cv_category_auc(
     """(auc, n_folds): mean out-of-fold AUC of one categorical column.
 
     A level is scored by its positive rate in the other folds; a level they do not
-    hold gets their overall rate. Folds with one class are left out.
+    hold gets their overall rate. Folds with one class are left out, as are rows
+    without a label; a missing value is a level.
     """
+    y = F.col(label).cast("int")
+    level = F.coalesce(F.col(column).cast("string"), F.lit("Missing"))
     folded = splits.kfold(
-        df.select("lead_id", column, F.col(label).cast("int").alias("_y")), ["_y"], k
+        df.where(y.isNotNull()).select("lead_id", level.alias("level"), y.alias("_y")), ["_y"], k
     )
-    cell = folded.groupBy(F.col(column).cast("string").alias("level"), "fold").agg(
+    cell = folded.groupBy("level", "fold").agg(
         F.count_if(F.col("_y") == 1).alias("pos"), F.count_if(F.col("_y") == 0).alias("neg")
     )
     by_level = cell.groupBy("level").agg(
@@ -155,11 +160,12 @@ def _tidy(df: DataFrame, section: str, key, metrics: Sequence[str]) -> DataFrame
 def leakage_report(notes: DataFrame, leads: DataFrame) -> DataFrame:
     """The whole bundle as (section, key, metric, value) rows.
 
-    ``notes`` has lead_id and attitude, ``leads`` the outcome and the suspects. The
-    joined rows are counted once; balance, distribution, association and crosstab
-    all come from those few cells.
+    ``notes`` has lead_id, text and attitude, ``leads`` the outcome and the suspects; empty
+    notes are left out. The joined rows are counted once; balance, distribution,
+    association and crosstab all come from those few cells. The rule flags stand in
+    section ``flag``, by subject, as ``rule:level``.
     """
-    joined = notes.select("lead_id", "attitude").join(
+    joined = notes.where(F.length("text") > 0).select("lead_id", "attitude").join(
         leads.select("lead_id", "converted"), "lead_id"
     )
     cell = contingency.cells(joined, "attitude", "converted")
@@ -189,7 +195,18 @@ def leakage_report(notes: DataFrame, leads: DataFrame) -> DataFrame:
             suspect_auc(leads), "suspect", F.col("column"), ("auc", "n_unique", "n_missing")
         ),
     ]
-    out = parts[0]
-    for p in parts[1:]:
+    flags = leakage_flags(
+        cv_category_auc(joined, "attitude"),
+        contingency.cell_association(cell),
+        contingency.cell_crosstab(cell, "attitude", "converted"),
+        suspect_auc(leads),
+    )
+    out = flags.select(
+        F.lit("flag").alias("section"),
+        F.col("subject").alias("key"),
+        F.concat_ws(":", "rule", "level").alias("metric"),
+        F.col("value").cast("double").alias("value"),
+    )
+    for p in parts:
         out = out.unionByName(p)
     return out

@@ -17,7 +17,6 @@ from leadgrade import constants as C
 from leadgrade.functions.clean import r6
 from leadgrade.operators import ranking, splits
 from leadgrade.operators.features import FeatureState
-from leadgrade.plans.ordered import GROUP_LIMIT
 
 # The search grids.
 LR_GRID = (0.01, 0.1, 1.0, 10.0)
@@ -171,12 +170,11 @@ def model_metrics(
     scored: DataFrame,
     label: str = "converted",
     thresholds: Sequence[float] = C.DECISION_THRESHOLDS,
-    group_limit: int | None = GROUP_LIMIT,
 ) -> DataFrame:
     """(model, split, metric, value) rows from (model, split, label, p_conversion)."""
     groups = ["model", "split"]
     counts = ranking.score_counts(scored, "p_conversion", label, groups)
-    curve = ranking.cumulative(counts, groups, group_limit)
+    curve = ranking.cumulative(counts, groups)
     hits = []
     for t in thresholds:
         above = F.col("score") >= t

@@ -73,21 +73,34 @@ def quarantine(
     return df.withColumn("reject_reason", reason)
 
 
-def check_top_arguments(n: int, min_priority: float) -> None:
-    if not 0 <= n <= C.TOP_LIST_MAX:
-        raise ValueError(f"n must be in [0, {C.TOP_LIST_MAX}]; got {n}")
+def check_top_arguments(n: int, min_priority: float, max_n: int | None = None) -> None:
+    if n < 0 or (max_n is not None and n > max_n):
+        raise ValueError(f"n must be in [0, {'any' if max_n is None else max_n}]; got {n}")
     if not 0.0 <= min_priority <= 1.0:
         raise ValueError(f"min_priority must be in [0, 1]; got {min_priority}")
 
 
-def top_leads(ranked: DataFrame, n: int = 10, min_priority: float = 0.0) -> DataFrame:
-    """First ``n`` leads by priority at or above the floor; ties by id."""
-    check_top_arguments(n, min_priority)
+def top_leads(
+    ranked: DataFrame, n: int = 10, min_priority: float = 0.0, max_n: int | None = None
+) -> DataFrame:
+    """First ``n`` leads by priority at or above the floor; ties by id. A caller that
+    wants to refuse long lists passes ``max_n``."""
+    check_top_arguments(n, min_priority, max_n)
     if min_priority > 0.0:
         ranked = ranked.where(F.col("priority") >= min_priority)
     return ranked.orderBy(F.desc("priority"), "lead_id").limit(n)
 
 
+def top_list(
+    ranked: DataFrame, n: int = 10, min_priority: float = 0.0, max_n: int | None = None
+) -> DataFrame:
+    """``top_leads`` with ``total_available``, the number of all leads. An empty list is one
+    row that holds the total and nulls."""
+    total = ranked.agg(F.count("*").alias("total_available"))
+    top = top_leads(ranked, n, min_priority, max_n)
+    return total.join(top, F.lit(True), "left")
+
+
 def join_overlap(
     leads: DataFrame, predictions: DataFrame, floor: float = C.JOIN_OVERLAP_FLOOR
 ) -> DataFrame:

@@ -133,17 +133,20 @@ def five_numbers(df: DataFrame, column: str, group: str) -> DataFrame:
 def segment_stats(
     ranked: DataFrame, group: str = "predicted_attitude", label: str = "converted"
 ) -> DataFrame:
-    """Rows, mean, median, sample deviation of priority and positive rate per group."""
-    moments = ranked.groupBy(group).agg(
+    """Rows, mean, median, sample deviation of priority and positive rate per group; a
+    null group is a group."""
+    key = F.to_json(F.struct(group))
+    ranked = ranked.withColumn("_key", key)
+    moments = ranked.groupBy("_key", group).agg(
         F.count("*").alias("n"),
         r6(F.avg("priority")).alias("priority_mean"),
         r6(F.stddev_samp("priority")).alias("priority_std"),
         r6(F.avg(F.col(label).cast("double"))).alias("converted_rate"),
     )
-    median = quantiles(ranked, "priority", {"m": 0.5}, [group]).select(
-        group, r9("m").alias("priority_median")
+    median = quantiles(ranked, "priority", {"m": 0.5}, ["_key"]).select(
+        "_key", r9("m").alias("priority_median")
     )
-    return moments.join(median, group)
+    return moments.join(median, "_key", "left").drop("_key")
 
 
 def priority_summary(ranked: DataFrame) -> DataFrame:

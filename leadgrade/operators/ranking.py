@@ -11,7 +11,6 @@ from leadgrade import constants as C
 from leadgrade.functions.clean import r6
 from leadgrade.functions.hashing import hash_bucket, hash_uniform
 from leadgrade.plans.ordered import (
-    GROUP_LIMIT,
     TIE_SEED,
     bucket_count,
     running_rows,
@@ -22,9 +21,9 @@ from leadgrade.plans.ordered import (
 def score_counts(
     df: DataFrame, score: str, label: str, groups: Sequence[str] = ()
 ) -> DataFrame:
-    """(groups, score, pos, neg): one row per distinct score."""
+    """(groups, score, pos, neg): one row per distinct score of the labelled rows."""
     y = F.col(label).cast("int")
-    return df.groupBy(*groups, F.col(score).cast("double").alias("score")).agg(
+    return df.where(y.isNotNull()).groupBy(*groups, F.col(score).cast("double").alias("score")).agg(
         F.count_if(y == 1).alias("pos"), F.count_if(y == 0).alias("neg")
     )
 
@@ -32,10 +31,9 @@ def score_counts(
 def cumulative(
     counts: DataFrame,
     groups: Sequence[str] = (),
-    group_limit: int | None = GROUP_LIMIT,
 ) -> DataFrame:
     """Counts with running and total positives and negatives, best score first."""
-    return running_totals(counts, "score", ["pos", "neg"], groups, group_limit=group_limit)
+    return running_totals(counts, "score", ["pos", "neg"], groups)
 
 
 def roc_auc_expr() -> Column:
@@ -47,7 +45,7 @@ def roc_auc_expr() -> Column:
 
 def average_precision_expr() -> Column:
     """Step-wise sum of precision over recall gains (no interpolation)."""
-    precision = F.col("cum_pos") / (F.col("cum_pos") + F.col("cum_neg"))
+    precision = F.col("cum_pos") / F.nullif(F.col("cum_pos") + F.col("cum_neg"), F.lit(0))
     positives = F.nullif(F.max("total_pos"), F.lit(0))
     return F.sum(F.col("pos") * precision) / positives
 
@@ -79,7 +77,7 @@ def roc_points(df: DataFrame, score: str, label: str) -> DataFrame:
 
 def pr_points(df: DataFrame, score: str, label: str) -> DataFrame:
     """(threshold, precision, recall) per distinct score."""
-    taken = F.col("cum_pos") + F.col("cum_neg")
+    taken = F.nullif(F.col("cum_pos") + F.col("cum_neg"), F.lit(0))
     return cumulative(score_counts(df, score, label)).select(
         F.col("score").alias("threshold"),
         r6(F.col("cum_pos") / taken).alias("precision"),

@@ -19,10 +19,8 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from leadgrade.functions.hashing import hash_bucket, hash_uniform
-from leadgrade.plans.sizing import bounded, small_side
+from leadgrade.plans.sizing import written
 
-EDGE_ACCURACY = 1000
-GROUP_LIMIT = 256
 TIE_SEED = "tie"
 Reaching = tuple[str, Sequence[Column]]
 
@@ -30,12 +28,14 @@ Reaching = tuple[str, Sequence[Column]]
 def bucket_count(spark: SparkSession) -> int:
     """Buckets for one ordering: a power of two that follows the shuffle width."""
     width = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    return 1 << min(12, max(6, math.ceil(math.log2(max(2, width)))))
+    return 1 << max(6, math.ceil(math.log2(max(2, width))))
 
 
 def _edges(df: DataFrame, key: str, groups: Sequence[str], buckets: int) -> DataFrame:
     probs = ", ".join(f"{i / buckets}D" for i in range(1, buckets))
-    sketch = f"percentile_approx({key}, array({probs}), {EDGE_ACCURACY})"
+    # Neighbouring edges have to differ by more than the error of the sketch.
+    accuracy = max(1000, 4 * buckets)
+    sketch = f"percentile_approx({key}, array({probs}), {accuracy})"
     return df.groupBy(*groups).agg(F.expr(sketch).alias("_edges"))
 
 
@@ -48,6 +48,13 @@ def _with_bucket(df: DataFrame, key: str, buckets: int) -> DataFrame:
     return out.drop("_edges")
 
 
+def in_buckets(counts: DataFrame, key: str) -> DataFrame:
+    """``counts`` with ``_b``: ascending ranges of ``key``, about alike in rows."""
+    buckets = bucket_count(counts.sparkSession)
+    rows = _present(counts, [key])
+    return _with_bucket(_attach(rows, _edges(rows, key, (), buckets), (), ()), key, buckets)
+
+
 def _present(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     """Rows whose ordering columns are all set.
 
@@ -64,20 +71,19 @@ def _attach(
     small: DataFrame,
     groups: Sequence[str],
     extra: Sequence[str],
-    group_limit: int | None,
 ) -> DataFrame:
-    """Join per-group facts; hinted only where their number is bounded."""
+    """Join per-group facts. Without groups there is one row, or one a bucket; with
+    groups their number is open, and the planner picks the join."""
     on = [*groups, *extra]
     if not on:
         return big.crossJoin(F.broadcast(small))
-    return big.join(F.broadcast(small) if group_limit or not groups else small, on)
+    return big.join(small if groups else F.broadcast(small), on)
 
 
 def _offsets(
     bucketed: DataFrame,
     sums: dict[str, Column],
     groups: Sequence[str],
-    group_limit: int | None,
     reaching: Reaching | None = None,
 ) -> DataFrame:
     """(groups, _b, _off_<s>, total_<s>): what comes before each bucket.
@@ -91,8 +97,6 @@ def _offsets(
     lists = totals.groupBy(*groups).agg(
         F.array_sort(F.collect_list(F.struct("_b", *sums))).alias("_l")
     )
-    if groups and group_limit:
-        lists = bounded(lists, group_limit, "groups of an ordering")
 
     def prefix(s: str) -> Column:
         """0, first bucket, first two buckets, ... : one entry more than buckets."""
@@ -134,14 +138,12 @@ def running_totals(
     sums: Sequence[str],
     groups: Sequence[str] = (),
     descending: bool = True,
-    group_limit: int | None = GROUP_LIMIT,
     reaching: Reaching | None = None,
 ) -> DataFrame:
     """Add ``cum_<s>`` (inclusive running sum) and ``total_<s>`` per group.
 
     ``counts`` holds one row per (groups, key), both non-null, ``sums`` integer.
-    Groups come from parameter lists or column names; more than ``group_limit`` of
-    them raises, and ``group_limit=None`` joins by shuffle instead of broadcast.
+    There may be any number of groups.
 
     ``reaching=(s, targets)`` keeps only the buckets in which the running sum of
     ``s`` reaches one of the targets (expressions over ``total_<s>``, from 1 up).
@@ -158,21 +160,19 @@ def running_totals(
         "_k", F.when(valid, -order if descending else order)
     )
     edges = _edges(keyed, "_k", groups, buckets)
-    if groups and group_limit:
-        edges = bounded(edges, group_limit, "groups of an ordering")
     bucketed = _with_bucket(
-        _attach(keyed, edges, groups, (), group_limit), "_k", buckets
+        _attach(keyed, edges, groups, ()), "_k", buckets
     )
 
     offsets = _offsets(
-        bucketed, {s: F.col(s) for s in sums}, groups, group_limit, reaching
+        bucketed, {s: F.col(s) for s in sums}, groups, reaching
     )
     window = (
         Window.partitionBy(*groups, "_b")
         .orderBy("_k")
         .rowsBetween(Window.unboundedPreceding, Window.currentRow)
     )
-    joined = _attach(bucketed, offsets, groups, ("_b",), group_limit)
+    joined = _attach(bucketed, offsets, groups, ("_b",))
     return joined.select(
         *counts.columns,
         *[
@@ -188,7 +188,6 @@ def quantiles(
     value: str,
     probs: dict[str, float],
     groups: Sequence[str] = (),
-    group_limit: int | None = GROUP_LIMIT,
 ) -> DataFrame:
     """Exact quantiles with linear interpolation, one row per group.
 
@@ -207,10 +206,8 @@ def quantiles(
     )
     buckets = bucket_count(df.sparkSession)
     edges = _edges(rows, "_v", groups, buckets)
-    if groups and group_limit:
-        edges = bounded(edges, group_limit, "groups of an ordering")
     bucketed = _with_bucket(
-        _attach(rows, edges, groups, (), group_limit), "_v", buckets
+        _attach(rows, edges, groups, ()), "_v", buckets
     )
     total = F.col("total__c")
     ranks = {
@@ -219,9 +216,9 @@ def quantiles(
         for suffix, rounded in (("lo", F.floor), ("hi", F.ceil))
     }
     offsets = _offsets(
-        bucketed, {"_c": F.lit(1)}, groups, group_limit, ("_c", list(ranks.values()))
+        bucketed, {"_c": F.lit(1)}, groups, ("_c", list(ranks.values()))
     )
-    inside = _attach(bucketed, offsets, groups, ("_b",), group_limit)
+    inside = _attach(bucketed, offsets, groups, ("_b",))
     counts = inside.groupBy(*groups, "_b", "_v", "_off__c", "total__c").agg(
         F.count("*").alias("_c")
     )
@@ -254,7 +251,6 @@ def running_rows(
     row_id: str,
     sums: dict[str, Column],
     groups: Sequence[str] = (),
-    group_limit: int | None = GROUP_LIMIT,
     seed: int | str = TIE_SEED,
 ) -> DataFrame:
     """Add running sums over single rows, best score first.
@@ -276,7 +272,7 @@ def running_rows(
     base = _present(base, [*groups, "_s", row_id])
     cells = base.groupBy(*cell).agg(*[F.sum(f"_v_{n}").alias(n) for n in names])
     per_score = cells.groupBy(*groups, "_s").agg(*[F.sum(n).alias(n) for n in names])
-    ranked = running_totals(per_score, "_s", names, groups, group_limit=group_limit)
+    ranked = running_totals(per_score, "_s", names, groups)
     before = ranked.select(
         *groups,
         "_s",
@@ -322,7 +318,8 @@ def cut_by_quota(
 
     ``quotas`` are cumulative row counts as expressions over ``n_stratum`` and
     ``n_total``. The result has an integer column ``part``: 0 for the first
-    ``quotas[0]`` rows of the stratum, 1 up to ``quotas[1]``, and so on.
+    ``quotas[0]`` rows of the stratum, 1 up to ``quotas[1]``, and so on. Rows whose
+    stratum is null are a stratum of their own.
 
     The table itself is never shuffled. One aggregation counts rows per (stratum,
     hash bucket); a second pass ranks only the buckets a cut falls into, to find
@@ -361,11 +358,12 @@ def cut_by_quota(
             (F.col("_quota") - (F.col("_cum") - F.col("_c"))).alias("_need"),
         )
     )
-    cuts = small_side(cuts)
+    cuts = written(_renamed(cuts, strata), "cuts")
     rank = Window.partitionBy(*strata, "_tb", "_cut").orderBy("_u", row_id)
     limits = (
         drawn.select(*strata, "_tb", "_u", row_id)
-        .join(cuts, [*strata, "_tb"])
+        .withColumnRenamed("_tb", "_hb")
+        .join(cuts, _same(strata) & (F.col("_hb") == F.col("_tb")))
         .withColumn("_r", F.row_number().over(rank))
         .where(F.col("_r") == F.col("_need"))
         .select(*strata, "_cut", F.struct("_u", row_id).alias("_limit"))
@@ -377,9 +375,21 @@ def cut_by_quota(
             ]
         )
     )
-    joined = drawn.join(small_side(limits), strata, "left")
+    joined = drawn.join(written(_renamed(limits, strata), "limits"), _same(strata), "left")
     here = F.struct("_u", row_id)
     number = F.lit(len(quotas))
     for i in reversed(range(len(quotas))):
         number = F.when(here <= F.col(f"_l{i}"), F.lit(i)).otherwise(number)
     return joined.select(*df.columns, number.alias(part))
+
+
+def _renamed(table: DataFrame, strata: Sequence[str]) -> DataFrame:
+    return table.withColumnsRenamed({c: f"_of_{c}" for c in strata})
+
+
+def _same(strata: Sequence[str]) -> Column:
+    """Equal strata; a null is a stratum like any other."""
+    same = F.lit(True)
+    for c in strata:
+        same = same & F.col(c).eqNullSafe(F.col(f"_of_{c}"))
+    return same

@@ -1,69 +1,41 @@
-"""Size checks for broadcast sides, and durable scratch space."""
+"""Durable scratch space, and join sides whose size Spark knows."""
 
 from __future__ import annotations
 
 import os
 import tempfile
 import uuid
+from functools import lru_cache
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
-SMALL_SIDE_ROWS = 100_000
 
-
-def bounded(df: DataFrame, max_rows: int, what: str) -> DataFrame:
-    """``df`` unchanged, or a run-time error when it has more than ``max_rows``.
-
-    Stays lazy, so the caller's plan still shares its exchanges. At most
-    ``max_rows + 1`` rows are ever gathered.
-    """
-    one = df.limit(max_rows + 1).agg(F.collect_list(F.struct("*")).alias("_rows"))
-    message = F.lit(f"{what}: more than {max_rows} rows; pass group_limit=None")
-    checked = F.when(F.size("_rows") <= max_rows, F.col("_rows")).otherwise(
-        F.raise_error(message)
-    )
-    return one.select(F.inline(checked))
-
-
-def gathered(
-    df: DataFrame, max_rows: int = SMALL_SIDE_ROWS
-) -> tuple[DataFrame, bool]:
-    """A table whose size depends on the data, read once and measured.
-
-    Up to ``max_rows`` rows it becomes a local relation (True), whose exact size
-    the planner knows; beyond that the plan itself is returned (False). At most
-    ``max_rows + 1`` rows are read.
-    """
-    rows = df.limit(max_rows + 1).toArrow()
-    if rows.num_rows > max_rows:
-        return df, False
-    return df.sparkSession.createDataFrame(rows, df.schema), True
-
-
-def small_side(df: DataFrame, max_rows: int = SMALL_SIDE_ROWS) -> DataFrame:
-    """Join side: broadcast when ``gathered`` finds it small, else joined by shuffle."""
-    table, is_small = gathered(df, max_rows)
-    return F.broadcast(table) if is_small else table
+@lru_cache(maxsize=1)
+def _local_root() -> str:
+    return tempfile.mkdtemp(prefix="run-")
 
 
 def work_dir(spark: SparkSession, name: str) -> str:
     """A fresh folder below ``spark.checkpoint.dir``, the cluster's shared folder.
 
-    Only a local session without that setting gets a temporary folder.
+    Only a local session without that setting gets a temporary folder; the session's
+    settings are never changed.
     """
     root = spark.conf.get("spark.checkpoint.dir", None)
     if not root:
         if not spark.sparkContext.master.startswith("local"):
             raise RuntimeError("set spark.checkpoint.dir to a shared folder")
-        root = tempfile.mkdtemp(prefix="run-")
-        spark.conf.set("spark.checkpoint.dir", root)
+        root = _local_root()
     return os.path.join(root, f"{name}-{uuid.uuid4().hex}")
 
 
 def written(df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` to the shared folder and read it back, which cuts lineage and
-    survives the loss of an executor."""
+    survives the loss of an executor.
+
+    The planner knows the bytes of a written table: as a join side it is broadcast
+    below Spark's own threshold and shuffled above it.
+    """
     path = work_dir(df.sparkSession, name)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)

@@ -17,7 +17,12 @@ from leadgrade.registry.core import register
 from leadgrade.registry.feature_queries import DERIVED, STATE, derived_leads
 from leadgrade.registry.views import with_ctes
 from leadgrade.sources import readers, sinks, state_store
-from leadgrade.sources.schema import NOTE_SCHEMA, PREDICTION_SCHEMA, require_columns
+from leadgrade.sources.schema import (
+    NOTE_SCHEMA,
+    PREDICTION_SCHEMA,
+    missing_columns,
+    require_columns,
+)
 from leadgrade.streaming import jobs
 
 _HEADERS = {alias: name for name, alias in C.RAW_COLUMNS.items()}
@@ -35,7 +40,11 @@ def read_leads_csv(spark, sf):
     text = leads.select(
         *[F.coalesce(F.col(c).cast("string"), F.lit("NA")).alias(_HEADERS[c]) for c in RAW_ORDER]
     )
-    sinks.csv_writer(text).csv(path)
+    # Two exports whose columns stand in another order.
+    even = F.col(_HEADERS["lead_id"]).cast("long") % 2 == 0
+    sinks.csv_writer(text.where(even)).csv(path)
+    turned = text.where(~even).select(*[f"`{c}`" for c in reversed(text.columns)])
+    sinks.csv_writer(turned).mode("append").csv(path)
     return readers.read_leads_csv(spark, path).select(*RAW_ORDER)
 
 
@@ -176,17 +185,22 @@ def state_roundtrip(spark, sf):
 
 @register(
     "schema_guard",
-    with_ctes(*DERIVED) + "SELECT count(*) AS n, CAST(sum(is_high_intent_activity) AS BIGINT) AS high FROM derived",
+    with_ctes(*V.LEADS)
+    + """SELECT 'leads' AS source, 'city,country' AS missing, count(*) AS n FROM leads
+    UNION ALL SELECT 'whole leads', '', count(*) FROM leads""",
 )
 def schema_guard(spark, sf):
     """The checks pass on whole tables and name what is absent on a cut one."""
     leads = V.raw_leads(spark, sf)
-    require_columns(leads, C.REQUIRED_RAW, "leads")
     require_columns(V.predictions(spark, sf), PREDICTION_SCHEMA.fieldNames()[:-1], "predictions")
-    return derived_leads(spark, sf).agg(
-        F.count("*").alias("n"),
-        F.sum("is_high_intent_activity").cast("bigint").alias("high"),
-    )
+    out = None
+    for name, table in (("leads", leads.drop("city", "country")), ("whole leads", leads)):
+        absent = ",".join(sorted(missing_columns(table, C.REQUIRED_RAW)))
+        rows = table.agg(F.count("*").alias("n")).select(
+            F.lit(name).alias("source"), F.lit(absent).alias("missing"), "n"
+        )
+        out = rows if out is None else out.unionByName(rows)
+    return out
 
 
 # --- streams, each run to the end of its input ---
@@ -202,10 +216,14 @@ def _formula(leads):
     with_ctes(*V.SCORED)
     + f"""SELECT CAST(lead_id AS VARCHAR) AS lead_id, p_conversion, predicted_attitude AS attitude,
       unavailable AS sentiment_unavailable,
-      round(CAST(0.6 AS DOUBLE) * p_conversion + CAST(0.4 AS DOUBLE) * {V.SCORE_CASE}, 6) AS priority
+      round(CAST(0.6 AS DOUBLE) * p_conversion + CAST(0.4 AS DOUBLE) * {V.SCORE_CASE}, 6) AS priority,
+      CAST(NULL AS VARCHAR) AS reject_reason
       FROM (SELECT *, lead_id % 5 = 2 AS unavailable, CASE WHEN lead_id % 5 = 2 THEN 'neutral'
           WHEN lead_id % 4 = 1 THEN 'objection' ELSE 'positive_engagement' END AS predicted_attitude
-        FROM scored WHERE lead_id % 17 <> 0 AND lead_id % 13 <> 0)""",
+        FROM scored WHERE lead_id % 17 <> 0 AND lead_id % 13 <> 0)
+      UNION ALL SELECT CAST(lead_id AS VARCHAR), NULL, NULL, NULL, NULL, CASE WHEN lead_id % 17 = 0
+        THEN 'missing_lead_columns' ELSE 'bad_note_length' END
+      FROM scored WHERE lead_id % 17 = 0 OR lead_id % 13 = 0""",
 )
 def stream_score(spark, sf):
     """Request files as a stream; broken requests are set aside, not scored."""
@@ -213,9 +231,9 @@ def stream_score(spark, sf):
     request_lines(spark, sf).write.text(source)
     query = jobs.score_stream(spark, source, target, work_dir(spark, "stream-state"), _formula)
     query.awaitTermination()
-    return spark.read.parquet(target).select(
-        "lead_id", "p_conversion", "attitude", "sentiment_unavailable", "priority"
-    )
+    columns = ("lead_id", "p_conversion", "attitude", "sentiment_unavailable", "priority", "reject_reason")
+    refused = spark.read.parquet(f"{target}-rejects").select("lead_id", "reject_reason")
+    return spark.read.parquet(target).select(*columns).unionByName(refused, allowMissingColumns=True)
 
 
 def event_stream(spark, sf):

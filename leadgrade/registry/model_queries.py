@@ -67,7 +67,7 @@ def feature_importance(spark, sf):
 def score_leads(spark, sf):
     """All leads scored by a trained model, joined with attitudes, with versions."""
     leads, state, table = prepared(spark, sf)
-    trained = models.train_logistic(table, grid=(1.0,))
+    trained = models.train_logistic(table)
     scored = models.score(trained.model, state.vectors(leads, ["lead_id"]), ["lead_id"])
     attitudes = V.predictions(spark, sf).select("lead_id", "language", "predicted_attitude")
     ranked = priority.priority_table(scored, attitudes)

@@ -165,7 +165,8 @@ def limit_ordered(spark, sf):
 
 LABELLED_SQL = """
 labelled AS (
-  SELECT notes.lead_id, attitude, converted FROM notes JOIN leads ON leads.lead_id = notes.lead_id)"""
+  SELECT notes.lead_id, attitude, converted FROM notes JOIN leads ON leads.lead_id = notes.lead_id
+  WHERE length(text) > 0)"""
 LABELLED = (V.LEADS_SQL, V.NOTES_SQL, LABELLED_SQL)
 
 
@@ -297,10 +298,7 @@ def cv_category_auc(spark, sf):
     return leakage.cv_category_auc(labelled(spark, sf), "attitude")
 
 
-@register(
-    "leakage_flags",
-    with_ctes(*LABELLED, ASSOCIATION_SQL, CV_SQL, suspects_sql(), f"crosstab AS ({_CROSSTAB})")
-    + """SELECT 'attitude_auc' AS rule, 'attitude' AS subject,
+FLAGS_SQL = """SELECT 'attitude_auc' AS rule, 'attitude' AS subject,
       CASE WHEN auc > 0.85 THEN 'leakage' WHEN auc < 0.55 THEN 'weak' ELSE 'healthy' END AS level,
       auc AS value FROM cv
     UNION ALL SELECT 'cramers_v', 'attitude', CASE WHEN cramers_v > 0.4 THEN 'too_high'
@@ -308,7 +306,13 @@ def cv_category_auc(spark, sf):
     UNION ALL SELECT 'one_sided_class', attitude, 'leakage', CAST(0 AS DOUBLE) FROM crosstab
       WHERE converted_0 = 0 OR converted_1 = 0
     UNION ALL SELECT 'suspect_column', "column", 'drop', auc FROM (
-      SELECT * FROM suspects ORDER BY auc DESC, "column" LIMIT 1) WHERE auc > 0.9""",
+      SELECT * FROM suspects ORDER BY auc DESC, "column" LIMIT 1) WHERE auc > 0.9"""
+
+
+@register(
+    "leakage_flags",
+    with_ctes(*LABELLED, ASSOCIATION_SQL, CV_SQL, suspects_sql(), f"crosstab AS ({_CROSSTAB})")
+    + FLAGS_SQL,
 )
 def leakage_flags(spark, sf):
     rows = labelled(spark, sf)
@@ -339,9 +343,12 @@ def _tidy_sql(section: str, key: str, source: str, metrics: tuple[str, ...]) ->
         """balance AS (SELECT count(*) AS n,
           round(avg(CAST(converted AS DOUBLE)), 6) AS positive_rate FROM labelled)""",
         "attitudes AS (SELECT attitude, count(*) AS n FROM labelled GROUP BY attitude)",
+        f"flags AS ({FLAGS_SQL})",
     )
     + " UNION ALL ".join(
         [
+            "SELECT 'flag' AS section, subject AS key, rule || ':' || level AS metric,"
+            " CAST(value AS DOUBLE) AS value FROM flags",
             _tidy_sql("balance", "'all'", "balance", ("n", "positive_rate")),
             _tidy_sql("attitude", "attitude", "attitudes", ("n",)),
             _tidy_sql(
@@ -363,7 +370,7 @@ def _tidy_sql(section: str, key: str, source: str, metrics: tuple[str, ...]) ->
 )
 def leakage_report(spark, sf):
     return leakage.leakage_report(
-        V.notes(spark, sf, ("lead_id", "attitude")),
+        V.notes(spark, sf, ("lead_id", "attitude", "text")),
         V.raw_leads(spark, sf, ("lead_id", *SUSPECT_INPUTS)),
     )
 
@@ -454,6 +461,27 @@ def top_leads_min_priority(spark, sf):
     return top.crossJoin(F.broadcast(total))
 
 
+@register(
+    "top_list_any_length",
+    with_ctes(*V.PRIORITY)
+    + f"SELECT {', '.join(PRIORITY_COLUMNS)}, (SELECT count(*) FROM ranked) AS total_available"
+    + " FROM (SELECT * FROM ranked ORDER BY priority DESC, lead_id LIMIT 5000)",
+)
+def top_list_any_length(spark, sf):
+    ranked = V.priority_rows(spark, sf)
+    return priority.top_list(ranked, 5000).select(*PRIORITY_COLUMNS, "total_available")
+
+
+@register(
+    "top_list_empty",
+    with_ctes(*V.PRIORITY)
+    + "SELECT (SELECT count(*) FROM ranked) AS total_available, CAST(NULL AS BIGINT) AS lead_id",
+)
+def top_list_empty(spark, sf):
+    """No lead asked for: the total is still there."""
+    return priority.top_list(V.priority_rows(spark, sf), 0).select("total_available", "lead_id")
+
+
 @register(
     "validate_scores",
     with_ctes(*V.PRIORITY)

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import csv
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -34,7 +35,8 @@ def typed_leads(df: DataFrame) -> DataFrame:
         elif isinstance(field.dataType, T.DoubleType):
             typed = nan_to_null(text.cast("double"))
         else:
-            typed = text.cast("double").cast(field.dataType)
+            # Whole numbers directly, so that none is rounded; "1.0" by way of a double.
+            typed = F.coalesce(text.try_cast(field.dataType), text.cast("double").cast(field.dataType))
         out.append(typed.alias(field.name))
     return df.select(*out)
 
@@ -42,22 +44,56 @@ def typed_leads(df: DataFrame) -> DataFrame:
 def read_leads_csv(
     spark: SparkSession, path: str, line_breaks: bool = False
 ) -> DataFrame:
-    """CRM export with a header row. Columns are matched by name, in any order.
+    """CRM export of one or more files with a header row each. Columns are matched by
+    name, in any order, file by file; files with other columns than the rest are refused.
 
     Every cell is read as text, the known missing tokens become null, and only
     then are numbers cast, because the reader itself takes one null token. Cells
     may hold line breaks only with ``line_breaks=True``, which reads each file in
     one task; without it files are split, and a broken row fails the query.
     """
-    header = (
+    reader = (
         spark.read.option("header", True)
         .option("inferSchema", False)
         .option("multiLine", line_breaks)
         .option("escape", '"')
         .option("mode", "FAILFAST")
-        .csv(path)
     )
-    return typed_leads(header.withColumnsRenamed(C.RAW_COLUMNS))
+    files = _files_by_header(spark, path)
+    if len(files) < 2:
+        return typed_leads(reader.csv(path).withColumnsRenamed(C.RAW_COLUMNS))
+    first = sorted(next(iter(files)))
+    if odd := [f[0] for names, f in files.items() if sorted(names) != first]:
+        raise ValueError(f"{odd[0]}: its columns differ from those of the other files")
+    parts = [reader.csv(found).select(*first) for found in files.values()]
+    out = parts[0]
+    for part in parts[1:]:
+        out = out.unionByName(part)
+    return typed_leads(out.withColumnsRenamed(C.RAW_COLUMNS))
+
+
+def _files_by_header(spark: SparkSession, path: str) -> dict[tuple[str, ...], list[str]]:
+    """The files of ``path`` by the names in their first line; blank files are left out.
+
+    One job reads the first split of each file as text; the driver gets one line a file.
+    """
+    lines = (
+        spark.read.text(path)
+        .where("_metadata.file_block_start = 0")
+        .select(
+            F.col("_metadata.file_path").alias("file"),
+            F.monotonically_increasing_id().alias("at"),
+            F.col("value").alias("line"),
+        )
+        .groupBy("file")
+        .agg(F.min_by("line", "at").alias("line"))
+    )
+    found: dict[tuple[str, ...], list[str]] = {}
+    for row in sorted(lines.collect()):
+        names = next(csv.reader([row["line"].lstrip("\ufeff")]), [])
+        if names:
+            found.setdefault(tuple(names), []).append(row["file"])
+    return found
 
 
 def read_columns(spark: SparkSession, path: str, columns: Sequence[str]) -> DataFrame:

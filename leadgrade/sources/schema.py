@@ -53,8 +53,12 @@ class MissingColumnsError(ValueError):
     """Raised with the names of all absent columns."""
 
 
+def missing_columns(df: DataFrame, names: Iterable[str]) -> list[str]:
+    return [name for name in names if name not in df.columns]
+
+
 def require_columns(df: DataFrame, names: Iterable[str], what: str) -> None:
     """Plan-time check; names every missing column at once and starts no job."""
-    missing = [name for name in names if name not in df.columns]
+    missing = missing_columns(df, names)
     if missing:
         raise MissingColumnsError(f"{what}: missing columns {missing}")

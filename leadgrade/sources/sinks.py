@@ -53,6 +53,13 @@ def pending(wanted: DataFrame, done: DataFrame, key: str = "lead_id") -> DataFra
     return wanted.join(done.select(key), key, "left_anti")
 
 
+def one_each(df: DataFrame, *newest: str, key: str = "lead_id") -> DataFrame:
+    """One row per key: the last by ``newest``, then by the other columns in order."""
+    rest = [c for c in df.columns if c not in (*newest, key)]
+    row = F.max(F.struct(*newest, *rest)).alias("_row")
+    return df.groupBy(key).agg(row).select(key, "_row.*").select(*df.columns)
+
+
 def append_predictions(
     spark: SparkSession, new: DataFrame, path: str, force_refresh: bool = False
 ) -> None:
@@ -67,7 +74,8 @@ def append_predictions(
     )
     typed = stamped.select(
         *[F.col(f.name).cast(f.dataType).alias(f.name) for f in PREDICTION_SCHEMA]
-    ).dropDuplicates(["lead_id"])
+    )
+    typed = one_each(typed, "timestamp_utc")
     if force_refresh:
         typed.write.mode("overwrite").parquet(path)
         return

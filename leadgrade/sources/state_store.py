@@ -14,7 +14,6 @@ from leadgrade.operators.features import (
     NumericParam,
     params_frame,
 )
-from leadgrade.plans.sizing import gathered
 
 MODEL_VERSION = 1
 MODEL_KINDS = ("logistic_regression", "boosted_trees")
@@ -41,8 +40,8 @@ def load_state(spark: SparkSession, path: str) -> FeatureState:
     _check_version(meta["version"], STATE_VERSION, path)
     rows = {r["column"]: r for r in spark.read.parquet(f"{path}/numeric").collect()}
     numeric = [NumericParam(**rows[c].asDict()) for c in NUMERIC]
-    slots, is_small = gathered(spark.read.parquet(f"{path}/slots"))
-    return FeatureState(numeric, slots, is_small, meta["n_rows"], meta["version"])
+    slots = spark.read.parquet(f"{path}/slots")
+    return FeatureState(numeric, slots, meta["n_rows"], meta["version"])
 
 
 def save_model(

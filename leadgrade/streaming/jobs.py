@@ -18,7 +18,7 @@ from leadgrade.operators.notes import with_fallback
 from leadgrade.operators.priority import quarantine, with_priority
 from leadgrade.sources.readers import absent_keys, lead_records
 from leadgrade.sources.schema import NOTE_SCHEMA
-from leadgrade.sources.sinks import append_predictions, pending, stored_predictions
+from leadgrade.sources.sinks import append_predictions, one_each, pending, stored_predictions
 
 Scorer = Callable[[DataFrame], DataFrame]
 
@@ -54,12 +54,20 @@ def parse_requests(lines: DataFrame) -> DataFrame:
         F.when(missing, "missing_lead_columns")
         .when(~length.between(C.NOTE_MIN_CHARS, C.NOTE_MAX_CHARS), "bad_note_length")
         .alias("reject_reason"),
-    ).select("_lead.*", "predicted_attitude", "status", "reject_reason")
+        F.col("value").alias("request"),
+    ).select("_lead.*", "predicted_attitude", "status", "reject_reason", "request")
+
+
+def rejected_requests(parsed: DataFrame) -> DataFrame:
+    """(lead_id, reject_reason, request) of the rows that failed the checks."""
+    return parsed.where(F.col("reject_reason").isNotNull()).select(
+        "lead_id", "reject_reason", "request"
+    )
 
 
 def scored_requests(parsed: DataFrame, scorer: Scorer) -> DataFrame:
     """Score the rows that passed the checks, with the attitude fallback."""
-    good = with_fallback(parsed.where(F.col("reject_reason").isNull()))
+    good = with_fallback(parsed.where(F.col("reject_reason").isNull()).drop("request"))
     priced = with_priority(scorer(good), label="attitude")
     checked = quarantine(priced, label="attitude")
     return checked.select(
@@ -74,28 +82,35 @@ def scored_requests(parsed: DataFrame, scorer: Scorer) -> DataFrame:
     )
 
 
-def _start(df: DataFrame, path: str, checkpoint: str, once: bool) -> StreamingQuery:
-    writer = (
-        df.writeStream.format("parquet")
-        .outputMode("append")
-        .option("checkpointLocation", checkpoint)
-    )
-    if once:
-        writer = writer.trigger(availableNow=True)
-    return writer.start(path)
-
-
 def score_stream(
     spark: SparkSession,
     source: str,
     target: str,
     checkpoint: str,
     scorer: Scorer,
+    rejects: str | None = None,
     once: bool = True,
 ) -> StreamingQuery:
-    """Request files (one JSON object per line) -> scored leads, append only."""
+    """Request files (one JSON object per line) -> scored leads in ``target``, and the
+    requests that failed the checks, with reason and whole text, in ``rejects`` (default:
+    ``<target>-rejects``).
+
+    A batch writes to a folder named after it, so a replayed batch overwrites itself.
+    """
+    rejects = rejects or f"{target.rstrip('/')}-rejects"
     lines = spark.readStream.format("text").load(source)
-    return _start(scored_requests(parse_requests(lines), scorer), target, checkpoint, once)
+
+    def run(batch: DataFrame, number: int) -> None:
+        parsed = parse_requests(batch)
+        scored = scored_requests(parsed, scorer)
+        scored.write.mode("overwrite").parquet(f"{target}/batch={number}")
+        refused = rejected_requests(parsed)
+        refused.write.mode("overwrite").parquet(f"{rejects}/batch={number}")
+
+    writer = lines.writeStream.foreachBatch(run).option("checkpointLocation", checkpoint)
+    if once:
+        writer = writer.trigger(availableNow=True)
+    return writer.start()
 
 
 def latest_note_stream(
@@ -185,7 +200,7 @@ def resume_stream(
 
     def run(batch: DataFrame, _: int) -> None:
         session = batch.sparkSession
-        todo = pending(batch.dropDuplicates(["lead_id"]), stored_predictions(session, target))
+        todo = pending(one_each(batch), stored_predictions(session, target))
         append_predictions(session, classify(todo), target)
 
     notes = spark.readStream.schema(NOTE_SCHEMA).parquet(source)

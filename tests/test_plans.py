@@ -5,6 +5,7 @@ import re
 import pytest
 
 import __spark_entry__ as entry
+from leadgrade.registry import all_queries
 
 EAGER = {
     "train_lr",
@@ -21,8 +22,10 @@ EAGER = {
     "stream_score",
     "stream_latest_note",
     "stream_resume",
+    "bootstrap_ci",
+    "paired_bootstrap",
 }
-LAZY = sorted(set(entry.queries()) - EAGER)
+LAZY = sorted(set(all_queries.QUERIES) - EAGER)
 
 
 def lines_of(df):

@@ -74,10 +74,17 @@ def test_top_list(spark):
     assert priority.top_leads(rows, 30, 0.999999).count() == 0
 
 
-@pytest.mark.parametrize("n,floor", [(-1, 0.0), (C.TOP_LIST_MAX + 1, 0.0), (5, -0.1), (5, 1.1)])
-def test_top_arguments(spark, n, floor):
+@pytest.mark.parametrize("n,floor,most", [(-1, 0.0, None), (11, 0.0, 10), (5, -0.1, None), (5, 1.1, None)])
+def test_top_arguments(spark, n, floor, most):
     with pytest.raises(ValueError):
-        priority.top_leads(ranked(spark), n, floor)
+        priority.top_leads(ranked(spark), n, floor, most)
+
+
+def test_a_list_of_any_length_and_the_total_of_an_empty_one(spark):
+    assert priority.top_leads(ranked(spark, 2000), 1500).count() == 1500
+    row = priority.top_list(ranked(spark), 0).collect()
+    assert [(r["total_available"], r["lead_id"]) for r in row] == [(30, None)]
+    assert priority.top_list(ranked(spark), 3).where("total_available = 30").count() == 3
 
 
 def test_ties_in_the_top_list_go_by_id(spark):

@@ -44,6 +44,12 @@ def test_score_stream(spark, tmp_path):
 
     got = run()
     assert set(got) == {"ok", "limited", "hard"}
+    refused = {r["lead_id"]: r for r in spark.read.parquet(f"{target}-rejects").collect()}
+    assert {k: r["reject_reason"] for k, r in refused.items()} == {
+        "empty": "bad_note_length",
+        "cut": "missing_lead_columns",
+    }
+    assert json.loads(refused["empty"]["request"])["attitude"] == "neutral"
     assert got["ok"]["priority"] == 0.56 and got["ok"]["reject_reason"] is None
     assert got["limited"]["attitude"] == "neutral" and got["limited"]["priority"] == 0.46
     assert got["limited"]["fallback_reason"] == "openrouter_rate_limit"
