@@ -170,6 +170,7 @@ def leakage_report(notes: DataFrame, leads: DataFrame) -> DataFrame:
     )
     cell = contingency.cells(joined, "attitude", "converted")
     whole = F.lit("all")
+    folded, suspects = cv_category_auc(joined, "attitude"), suspect_auc(leads)
     balance = cell.agg(
         F.sum("o").alias("n"),
         r6(F.sum(F.col("o") * F.col("col")) / F.sum("o")).alias("positive_rate"),
@@ -190,16 +191,14 @@ def leakage_report(notes: DataFrame, leads: DataFrame) -> DataFrame:
             F.col("attitude"),
             ("converted_0", "converted_1", "converted_0_pct", "converted_1_pct"),
         ),
-        _tidy(cv_category_auc(joined, "attitude"), "cv", whole, ("auc",)),
-        _tidy(
-            suspect_auc(leads), "suspect", F.col("column"), ("auc", "n_unique", "n_missing")
-        ),
+        _tidy(folded, "cv", whole, ("auc",)),
+        _tidy(suspects, "suspect", F.col("column"), ("auc", "n_unique", "n_missing")),
     ]
     flags = leakage_flags(
-        cv_category_auc(joined, "attitude"),
+        folded,
         contingency.cell_association(cell),
         contingency.cell_crosstab(cell, "attitude", "converted"),
-        suspect_auc(leads),
+        suspects,
     )
     out = flags.select(
         F.lit("flag").alias("section"),
