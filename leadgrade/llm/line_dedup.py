@@ -26,22 +26,24 @@ SPACE = r"[ \t\x0B\f\r]+"
 
 
 def _lines(docs: DataFrame) -> DataFrame:
-    """(key, line_no, leaf, tokens) for each line that isn't blank."""
+    """(key, line_no, leaf, line) for each line that isn't blank; its tokens stand apart by
+    single spaces, those with a digit as ``FIELD``."""
     rows = docs.where("text is not null").select(
-        F.unhex(F.md5("text")).alias("key"), F.posexplode(F.split("text", "\n")).alias("line_no", "line")
-    )
-    line = F.when(
-        F.col("line").rlike("[0-9]"), F.regexp_replace("line", r"[^ \t\x0B\f\r]*[0-9][^ \t\x0B\f\r]*", FIELD)
-    ).otherwise(F.col("line"))
-    tokens = F.split(F.trim(F.regexp_replace(line, SPACE, " ")), " ")
-    leaf = F.concat_ws(
-        " ", F.size("tokens").cast("string"), F.slice("tokens", 1, LEADING)
-    )
-    return (
-        rows.select("key", "line_no", tokens.alias("tokens"))
-        .where("tokens[0] <> ''")
-        .select("key", "line_no", leaf.alias("leaf"), F.array_join("tokens", " ").alias("line"))
+        F.unhex(F.md5("text")).alias("key"), F.posexplode(F.split("text", "\n")).alias("line_no", "raw")
     )
+    raw = F.col("raw")
+    # Plain searches first: few lines need the replacements.
+    uneven = F.contains(raw, F.lit("  "))
+    for odd in "\t\x0b\f\r":
+        uneven = uneven | F.contains(raw, F.lit(odd))
+    even = F.when(uneven, F.regexp_replace(raw, SPACE, " ")).otherwise(raw)
+    rows = rows.withColumn("line", F.trim(even)).where("line <> ''").drop("raw")
+    digits = F.col("line").rlike("[0-9]")
+    masked = F.when(digits, F.regexp_replace("line", "[^ ]*[0-9][^ ]*", FIELD)).otherwise(F.col("line"))
+    rows = rows.withColumn("line", masked)
+    size = F.octet_length("line") - F.octet_length(F.replace("line", F.lit(" "), F.lit(""))) + 1
+    leaf = F.concat_ws(" ", size.cast("string"), F.substring_index("line", " ", LEADING))
+    return rows.select("key", "line_no", leaf.alias("leaf"), "line")
 
 
 def recurring_lines(docs: DataFrame, min_texts: int = MIN_TEXTS) -> DataFrame:
