@@ -17,6 +17,8 @@ import zstandard as zstd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from leadgrade.llm.words import pieces
+
 UNKNOWN = "und"
 #: The learner's bound: slices of so many characters per language.
 SLICES, SLICE_CHARS = 192, 640
@@ -100,7 +102,7 @@ def _identified(model: LanguageModel):
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         short, long = _compressors(model, True), _compressors(model, False)
-        for batch in batches:
+        for batch in (part for whole in batches for part in pieces(whole, "_text")):
             texts = batch["_text"].cast(pa.large_binary())
             usable = batch["_usable"].to_pylist()
             best = np.zeros(batch.num_rows, np.int64)
