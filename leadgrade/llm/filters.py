@@ -10,11 +10,14 @@ from leadgrade.plans.sizing import written
 BITS = 1 << 24
 
 
-def maybe_in(df: DataFrame, key: Column, wanted: DataFrame, bits: int = BITS) -> DataFrame:
-    """The rows of ``df`` whose ``key`` may be in the only column of ``wanted``.
+def parted(
+    df: DataFrame, key: Column, wanted: DataFrame, bits: int = BITS
+) -> tuple[DataFrame, DataFrame]:
+    """The rows of ``df`` whose ``key`` may be in the only column of ``wanted``, and those
+    whose key surely isn't.
 
-    None that is there is lost; a few others pass, more as ``wanted`` grows, so a join
-    has to follow. What is broadcast has ``bits`` bits whatever the tables hold.
+    The second part needs no join with ``wanted``; the first holds a few others too, more as
+    ``wanted`` grows. What is broadcast has ``bits`` bits whatever the tables hold.
     """
     spark = df.sparkSession
     slot = F.pmod(F.xxhash64("k"), F.lit(bits))
@@ -24,13 +27,21 @@ def maybe_in(df: DataFrame, key: Column, wanted: DataFrame, bits: int = BITS) ->
         .groupBy(F.shiftright("slot", 6).alias("id"))
         .agg(F.expr("bit_or(shiftleft(1L, cast(slot & 63 as int)))").alias("word"))
     )
+    word = F.coalesce("word", F.lit(0).cast("long")).alias("word")
     dense = (
         spark.range(0, bits >> 6, 1, 4)
         .join(words, "id", "left")
-        .agg(F.sort_array(F.collect_list(F.struct("id", F.coalesce("word", F.lit(0).cast("long")).alias("word")))).alias("all"))
+        .agg(F.sort_array(F.collect_list(F.struct("id", word))).alias("all"))
         .select(F.col("all.word").alias("_bits"))
     )
     dense = written(dense, "filter")
     own = df.withColumn("_slot", F.pmod(F.xxhash64(key), F.lit(bits)))
-    known = F.expr("getbit(_bits[cast(_slot >> 6 as int)], cast(_slot & 63 as int)) = 1")
-    return own.join(F.broadcast(dense), known).drop("_slot", "_bits")
+    known = F.expr("getbit(_bits[cast(_slot >> 6 as int)], cast(_slot & 63 as int))")
+    return tuple(
+        own.join(F.broadcast(dense), known == bit).drop("_slot", "_bits") for bit in (1, 0)
+    )
+
+
+def maybe_in(df: DataFrame, key: Column, wanted: DataFrame, bits: int = BITS) -> DataFrame:
+    """The first part of ``parted``: none that is wanted is lost, and a join has to follow."""
+    return parted(df, key, wanted, bits)[0]

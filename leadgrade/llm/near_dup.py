@@ -17,12 +17,12 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from leadgrade.llm.components import components
-from leadgrade.llm.filters import maybe_in
-from leadgrade.llm.words import counted, mix, pieces, seeded, shingles, word_hashes
+from leadgrade.llm.filters import maybe_in, parted
+from leadgrade.llm.words import WORD_PATTERN, counted, mix, pieces, seeded, shingles, word_hashes
 from leadgrade.plans.sizing import written
 
 BANDS, ROWS = 20, 5
@@ -139,10 +139,12 @@ def _verified(threshold: float):
 
 
 def _chunk_links(threshold: float):
-    """Rows (strays, others), each a list of (node, component, text), to links.
+    """Rows (bucket, strays, others, both), the lists of (node, component, text, buckets), to
+    links; ``both`` says that the others are strays too.
 
-    Every stray meets every text of another component, until their components meet;
-    the shared weight bounds the similarity from above, so few pairs are worked out.
+    Every stray meets every text of another component, until their components meet.
+    Texts that share several buckets meet in the first of them only. The shared
+    weight bounds the similarity from above, so few pairs are worked out.
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -152,7 +154,8 @@ def _chunk_links(threshold: float):
                     pa.RecordBatch.from_struct_array(batch[c][i].values)
                     for c in ("strays", "others")
                 )
-                found = list(_across(strays, others, threshold))
+                bucket, both = batch["bucket"][i].as_py(), batch["both"][i].as_py()
+                found = list(_across(strays, others, bucket, both, threshold))
                 yield pa.RecordBatch.from_arrays(
                     [
                         pa.array([x[0] for x in found], pa.binary()),
@@ -165,7 +168,7 @@ def _chunk_links(threshold: float):
     return run
 
 
-def _across(strays: pa.RecordBatch, others: pa.RecordBatch, threshold: float):
+def _across(strays: pa.RecordBatch, others: pa.RecordBatch, bucket: int, both: bool, threshold: float):
     left, right = _weighted(strays["text"]), _weighted(others["text"])
     mass = np.array([w.sum() for _, w in right], float)
     keys = np.concatenate([k for k, _ in right])
@@ -181,6 +184,8 @@ def _across(strays: pa.RecordBatch, others: pa.RecordBatch, threshold: float):
         return c
 
     names = [others["component"].to_pylist(), others["node"].to_pylist()]
+    own_buckets = [set(x) for x in strays["buckets"].to_pylist()]
+    other_buckets = [set(x) for x in others["buckets"].to_pylist()]
     for i, (own, weight) in enumerate(left):
         a, b = np.searchsorted(keys, own, "left"), np.searchsorted(keys, own, "right")
         n = b - a
@@ -195,6 +200,8 @@ def _across(strays: pa.RecordBatch, others: pa.RecordBatch, threshold: float):
         for j in likely[np.argsort(-bound[likely], kind="stable")]:
             if top(mine) == top(names[0][j]) or node == names[1][j]:
                 continue
+            if both and node > names[1][j] or min(own_buckets[i] & other_buckets[j]) != bucket:
+                continue
             likeness = probability_jaccard(left[i], right[j])
             if likeness >= threshold:
                 root[top(mine)] = top(names[0][j])
@@ -223,7 +230,8 @@ def text_classes(docs: DataFrame, threshold: float = SIMILARITY) -> DataFrame:
         .where("pivot <> last").select("bucket", "pivot"),
         "buckets",
     )
-    members = written(rows.join(shared, "bucket").distinct(), "members")
+    members = maybe_in(rows, F.col("bucket"), shared.select("bucket"))
+    members = written(members.join(shared, "bucket").distinct(), "members")
     stars = (
         members.where("node <> pivot")
         .groupBy("node")
@@ -316,22 +324,23 @@ def _rest(apart: DataFrame, texts: DataFrame, threshold: float) -> DataFrame:
         .withColumn("stray", F.expr("component <> main")),
         "open",
     )
+    own = body.groupBy("node").agg(F.collect_set("bucket").alias("buckets"))
     sized = body.groupBy("bucket", "stray").agg(
         F.greatest(
             F.ceil(F.count("*") / CHUNK_ROWS), F.ceil(F.sum(F.length("text")) / CHUNK_CHARS)
         ).alias("chunks")
     )
-    cut = body.join(sized, ["bucket", "stray"]).withColumn(
+    cut = body.join(own, "node").join(sized, ["bucket", "stray"]).withColumn(
         "chunk", F.pmod(F.xxhash64("node"), F.col("chunks"))
     )
     packed = written(
         cut.groupBy("bucket", "stray", "chunk").agg(
-            F.collect_list(F.struct("node", "component", "text")).alias("list")
+            F.collect_list(F.struct("node", "component", "text", "buckets")).alias("list")
         ),
         "chunks",
     )
     left = packed.where("stray").select("bucket", F.col("list").alias("strays"))
-    right = packed.select("bucket", F.col("list").alias("others"))
+    right = packed.select("bucket", F.col("list").alias("others"), F.col("stray").alias("both"))
     return left.join(right, "bucket").mapInArrow(_chunk_links(threshold), LINK)
 
 
@@ -372,22 +381,40 @@ def keep_one(docs: DataFrame, threshold: float = SIMILARITY) -> DataFrame:
     Of equal rows (same doc_id and text) one stays.
     """
     parts = text_classes(docs.select("doc_id", "text"), threshold)
-    node = F.unhex(F.md5("text"))
-    wordless = F.coalesce(F.length(F.regexp_replace("text", r"[\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+", "")), F.lit(0)) == 0
-    rows = docs.where(~wordless).withColumn("_node", node)
-    texts = rows.groupBy("_node").agg(F.min("doc_id").alias("_id"))
-    named = texts.join(parts.toDF("_node", "_part"), "_node", "left").withColumn(
-        "_class", F.coalesce("_part", "_node")
+    # Only the rows that go, or that are there more than once, are looked up.
+    ids = docs.where(~_wordless()).select("doc_id", F.unhex(F.md5("text")).alias("node"))
+    ids = ids.groupBy("doc_id", "node").agg(F.count("*").alias("n"))
+    named = written(
+        ids.join(parts, "node", "left").withColumn("class", F.coalesce("component", "node")), "named"
     )
-    first = F.struct(F.col("_id").isNull(), "_id", "_node")
-    best = named.groupBy("_class").agg(F.min(first).alias("_f")).select("_f.*")
-    best = written(best.select("_node", "_id"), "kept")
-    kept = (
-        rows.join(best, "_node", "left_semi")
-        .join(best.select(F.col("_node").alias("_n"), "_id"), F.col("_node") == F.col("_n"))
-        .where(F.col("doc_id").eqNullSafe(F.col("_id")))
-        .drop("_n", "_id")
+    first = F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "node")
+    best = named.groupBy("class").agg(F.min(first).alias("best"))
+    odd = written(
+        named.join(best, "class")
+        .withColumn("gone", first != F.col("best"))
+        .where("gone or n > 1")
+        .select(F.xxhash64("doc_id", "node").alias("_key"), F.col("doc_id").alias("_odd_id"), F.col("node").alias("_odd_node"), F.col("gone").alias("_gone")),
+        "odd",
     )
-    others = [c for c in docs.columns]
-    kept = kept.groupBy("_node").agg(F.min(F.struct(*others)).alias("_r")).select("_r.*")
-    return kept.union(docs.where(wordless))
+    rows = docs.where(~_wordless()).withColumn("_node", F.unhex(F.md5("text")))
+    some, rest = parted(rows, F.xxhash64("doc_id", "_node"), odd.select("_key"))
+    same = (F.col("_node") == F.col("_odd_node")) & F.col("doc_id").eqNullSafe(F.col("_odd_id"))
+    some = some.join(odd.drop("_key"), same, "left").where("_gone is null or not _gone")
+    twice = (
+        some.where("_gone is not null")
+        .groupBy("_node")
+        .agg(F.min(F.struct(*docs.columns)).alias("_row"))
+        .select("_row.*")
+    )
+    return (
+        rest.select(*docs.columns)
+        .union(some.where("_gone is null").select(*docs.columns))
+        .union(twice)
+        .union(docs.where(_wordless()))
+    )
+
+
+def _wordless() -> Column:
+    """Null, or nothing but ASCII punctuation and white space."""
+    words = F.regexp_like("text", F.lit(WORD_PATTERN))
+    return ~F.coalesce(words, F.lit(False))
