@@ -96,9 +96,14 @@ def top_list(
 ) -> DataFrame:
     """``top_leads`` with ``total_available``, the number of all leads. An empty list is one
     row that holds the total and nulls."""
-    total = ranked.agg(F.count("*").alias("total_available"))
+    total = ranked.agg(
+        F.count("*").alias("total_available"),
+        F.count_if(F.col("priority") >= min_priority).alias("_above"),
+    )
     top = top_leads(ranked, n, min_priority, max_n)
-    return total.join(top, F.lit(True), "left")
+    nothing = total.where((F.col("_above") == 0) | F.lit(n == 0))
+    listed = top.crossJoin(F.broadcast(total))
+    return listed.unionByName(nothing, allowMissingColumns=True).drop("_above")
 
 
 def join_overlap(
