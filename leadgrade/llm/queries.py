@@ -11,6 +11,7 @@ from leadgrade.llm import (
     line_dedup,
     mixing,
     near_dup,
+    oracles,
     passages,
     quality,
     tokens,
@@ -105,3 +106,8 @@ QUERIES |= {
     "op9_repeated_passages": op9_repeated_passages,
     "op10_line_dedup": op10_line_dedup,
 }
+
+ORACLES |= {
+    "op2_decontamination": oracles.DECONTAMINATION,
+    "op10_line_dedup": oracles.LINE_DEDUP,
+}
