@@ -46,6 +46,24 @@ def derived_columns() -> dict[str, Column]:
     }
 
 
+def dropped_columns(raw: DataFrame) -> DataFrame:
+    """(column, reason, n_present) of the raw columns that are no features: why each is left
+    out, and in how many rows it has a value. Absent columns are skipped."""
+    reasons = {
+        **dict.fromkeys(C.ID_COLUMNS, "identifier"),
+        **dict.fromkeys(C.POST_OUTCOME_COLUMNS, "known only after the outcome"),
+        **dict.fromkeys(C.DEAD_FLAGS, "constant"),
+    }
+    rows = [
+        F.struct(
+            F.lit(c).alias("column"), F.lit(why).alias("reason"), F.count(c).alias("n_present")
+        )
+        for c, why in reasons.items()
+        if c in raw.columns
+    ]
+    return raw.agg(F.array(*rows).alias("_r")).select(F.inline("_r"))
+
+
 def derive_features(leads: DataFrame, keep: Sequence[str] = ()) -> DataFrame:
     """``keep`` columns, then the 25 derived columns in their fixed order.
 

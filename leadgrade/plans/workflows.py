@@ -171,9 +171,11 @@ def rank_leads(
     model = state_store.load_model(spark, model_path)
     meta = state_store.model_meta(spark, model_path)
     priority.require_overlap(leads, predictions)
-    derived = derive_features(leads, ["lead_id"])
-    scored = models.score(model, state.vectors(derived, ["lead_id"]), ["lead_id"])
     pred = predictions.select("lead_id", "language", "predicted_attitude")
+    # Only leads with an attitude are ranked, so no other is scored.
+    wanted = leads.join(pred.select("lead_id"), "lead_id", "left_semi")
+    derived = derive_features(wanted, ["lead_id"])
+    scored = models.score(model, state.vectors(derived, ["lead_id"]), ["lead_id"])
     ranked = priority.checked_priority(
         scored.join(pred, "lead_id"), weight_conversion, weight_sentiment
     )

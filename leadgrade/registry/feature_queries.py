@@ -8,6 +8,7 @@ from leadgrade import constants as C
 from leadgrade.functions.clean import r6, r9
 from leadgrade.operators import features, models, segments
 from leadgrade.operators.derive import derive_features
+from leadgrade.operators.derive import dropped_columns as drop_reasons
 from leadgrade.operators.features import NUMERIC
 from leadgrade.registry import views as V
 from leadgrade.registry.core import register
@@ -358,6 +359,26 @@ def feature_catalog(spark, sf):
     return catalog.groupBy("kind").agg(F.count("*").alias("n"))
 
 
+_DROPPED = {
+    **dict.fromkeys(C.ID_COLUMNS, "identifier"),
+    **dict.fromkeys(C.POST_OUTCOME_COLUMNS, "known only after the outcome"),
+    **dict.fromkeys(C.DEAD_FLAGS, "constant"),
+}
+
+
+@register(
+    "dropped_columns",
+    with_ctes(V.LEADS_SQL)
+    + " UNION ALL ".join(
+        f"SELECT '{c}' AS \"column\", '{why}' AS reason, count({c}) AS n_present FROM leads"
+        for c, why in _DROPPED.items()
+    ),
+)
+def dropped_columns(spark, sf):
+    """Why raw columns are no features, and how often they hold a value."""
+    return drop_reasons(V.raw_leads(spark, sf))
+
+
 COEFFICIENTS = {
     "total_visits": 0.5,
     "total_time_spent": 0.8,
