@@ -13,6 +13,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import zstandard as zstd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -30,6 +31,9 @@ SHORT_BYTES = 512
 #: A block that hardly shrinks is stored as it is; a run behind a short text prevents that.
 PADDING = bytes(256)
 
+_FOUND = ("_lang", "_score", "_margin")
+_NARROW = f"_lang = '{UNKNOWN}' or _margin < {NARROW}"
+
 
 @dataclass(frozen=True)
 class LanguageModel:
@@ -102,8 +106,8 @@ def _identified(model: LanguageModel):
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         short, long = _compressors(model, True), _compressors(model, False)
-        for batch in (part for whole in batches for part in pieces(whole, "_text")):
-            texts = batch["_text"].cast(pa.large_binary())
+        for batch in (part for whole in batches for part in pieces(whole, "text")):
+            texts = pc.utf8_lower(batch["text"]).cast(pa.large_binary())
             usable = batch["_usable"].to_pylist()
             best = np.zeros(batch.num_rows, np.int64)
             score, margin = np.zeros(batch.num_rows), np.zeros(batch.num_rows)
@@ -124,10 +128,8 @@ def _identified(model: LanguageModel):
                 score[i] = 1 / np.exp2(-8.0 * more).sum()
                 margin[i] = more[1] / size.min() if len(more) > 1 else 1.0
             named = pa.array([*names, UNKNOWN]).take(pa.array(best))
-            columns = batch.columns[:-2] + [named, pa.array(score), pa.array(margin)]
-            yield pa.RecordBatch.from_arrays(
-                columns, [*batch.schema.names[:-2], "lang_pred", "score", "margin"]
-            )
+            columns = batch.columns[:-1] + [named, pa.array(score), pa.array(margin)]
+            yield pa.RecordBatch.from_arrays(columns, [*batch.schema.names[:-1], *_FOUND])
 
     return run
 
@@ -141,19 +143,21 @@ def identify(docs: DataFrame, model: LanguageModel) -> DataFrame:
     the runner-up's extra bytes over the best's bytes; the first of equal languages
     wins. rejected: ``und``, or a margin below ``NARROW``.
     """
-    added = ("lang_pred", "score", "margin", "rejected")
-    kept = docs.drop(*added)
-    fields = [f"`{f.name}` {f.dataType.simpleString()}" for f in kept.schema.fields]
-    schema = ", ".join([*fields, "lang_pred string", "score double", "margin double"])
+    found = _marked(docs.drop("lang_pred", "score", "margin", "rejected"), model)
+    names = dict(zip(_FOUND, ("lang_pred", "score", "margin"), strict=True))
+    return found.withColumn("rejected", F.expr(_NARROW)).withColumnsRenamed(names)
+
+
+def _marked(docs: DataFrame, model: LanguageModel) -> DataFrame:
+    """``docs`` with ``_FOUND``. The text goes to Python once, as it is."""
+    fields = [f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema.fields]
+    kinds = [f"{n} {t}" for n, t in zip(_FOUND, ("string", "double", "double"), strict=True)]
     usable = F.coalesce(F.col("text").rlike(r"\p{L}"), F.lit(False))
-    found = kept.select("*", F.lower("text").alias("_text"), usable.alias("_usable")).mapInArrow(
-        _identified(model), schema
+    return docs.select("*", usable.alias("_usable")).mapInArrow(
+        _identified(model), ", ".join([*fields, *kinds])
     )
-    narrow = (F.col("lang_pred") == UNKNOWN) | (F.col("margin") < NARROW)
-    return found.withColumn("rejected", narrow)
 
 
 def keep_identified(docs: DataFrame, model: LanguageModel) -> DataFrame:
     """The rows of ``docs`` whose language isn't rejected, with their own columns."""
-    found = identify(docs.select(F.struct("*").alias("_row"), "text"), model)
-    return found.where(~F.col("rejected")).select("_row.*")
+    return _marked(docs, model).where(f"not ({_NARROW})").select(*docs.columns)
