@@ -13,7 +13,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from leadgrade.llm.filters import maybe_in
+from leadgrade.llm.filters import maybe_in, parted
 from leadgrade.plans.sizing import written
 
 FIELD = "<*>"
@@ -126,7 +126,13 @@ def drop_lines(docs: DataFrame, min_texts: int = MIN_TEXTS) -> DataFrame:
 def _marked(docs: DataFrame, min_texts: int) -> DataFrame:
     """``docs`` with the numbers of the lines to drop, null if there are none."""
     dropped = recurring_lines(docs, min_texts).toDF("_key", "_dropped")
-    return docs.withColumn("_key", F.unhex(F.md5("text"))).join(dropped, "_key", "left")
+    rows = docs.withColumn("_key", F.unhex(F.md5("text")))
+    # Texts that surely keep all lines stay out of the join. A null text needs some key here.
+    known = F.coalesce("_key", F.unhex(F.lit("00")))
+    some, rest = parted(rows, known, dropped.select("_key"))
+    return some.join(dropped, "_key", "left").select(*rows.columns, "_dropped").union(
+        rest.select(*rows.columns, F.lit(None).cast("array<int>").alias("_dropped"))
+    )
 
 
 def _left() -> Column:
