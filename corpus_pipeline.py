@@ -16,8 +16,8 @@ def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 
 
 def drop_recurring_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """All documents, without the lines that recur across texts."""
-    return line_dedup.drop_lines(docs)
+    """All documents, without the lines that recur across texts. Rows of numbers stay."""
+    return line_dedup.drop_lines(docs, fields_alone=False)
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -46,9 +46,14 @@ def _lines(docs: DataFrame) -> DataFrame:
     return rows.select("key", "line_no", leaf.alias("leaf"), "line")
 
 
-def recurring_lines(docs: DataFrame, min_texts: int = MIN_TEXTS) -> DataFrame:
+def recurring_lines(docs: DataFrame, min_texts: int = MIN_TEXTS, fields_alone: bool = True) -> DataFrame:
     """(key, dropped): the md5 of a text and the numbers (from 0) of its lines whose
-    template is found in at least ``min_texts`` different texts."""
+    template is found in at least ``min_texts`` different texts. Without ``fields_alone``, a
+    line with tokens that hold digits needs the fixed tokens of a template, however often
+    it is found."""
+    own = F.col("n") >= min_texts
+    if not fields_alone:
+        own = own & ~F.array_contains(F.split("line", " "), FIELD)
     lines = _lines(docs)
     # A leaf with fewer lines holds no template: few leaves and lines go on.
     leaves = written(
@@ -81,7 +86,7 @@ def recurring_lines(docs: DataFrame, min_texts: int = MIN_TEXTS) -> DataFrame:
         .select(
             "leaf",
             "line",
-            F.when(F.col("n") >= min_texts, F.col("line"))
+            F.when(own, F.col("line"))
             .when(
                 (F.col("fixed") >= MIN_FIXED) & (F.col("fixed") >= FIXED_SHARE * F.col("size")),
                 F.array_join(F.transform("parts", lambda p: p["part"]), " "),
@@ -110,7 +115,7 @@ def recurring_lines(docs: DataFrame, min_texts: int = MIN_TEXTS) -> DataFrame:
     )
 
 
-def drop_lines(docs: DataFrame, min_texts: int = MIN_TEXTS) -> DataFrame:
+def drop_lines(docs: DataFrame, min_texts: int = MIN_TEXTS, fields_alone: bool = True) -> DataFrame:
     """``docs`` with recurring lines taken out of ``text``; all rows and columns stay.
 
     Lines end at a line feed. Blank lines and the order of the rest are kept. Copies of
@@ -118,14 +123,14 @@ def drop_lines(docs: DataFrame, min_texts: int = MIN_TEXTS) -> DataFrame:
     recurring. A line that recurs itself is dropped as it is; one that differs between texts
     in tokens with digits, or in at most a quarter of its tokens, is dropped as a
     template. A null text stays null; a text of recurring lines alone becomes
-    empty. Empty tables stay empty.
+    empty. Empty tables stay empty. ``fields_alone`` is that of ``recurring_lines``.
     """
-    return _marked(docs, min_texts).withColumn("text", _left()).drop("_key", "_dropped")
+    return _marked(docs, min_texts, fields_alone).withColumn("text", _left()).drop("_key", "_dropped")
 
 
-def _marked(docs: DataFrame, min_texts: int) -> DataFrame:
+def _marked(docs: DataFrame, min_texts: int, fields_alone: bool = True) -> DataFrame:
     """``docs`` with the numbers of the lines to drop, null if there are none."""
-    dropped = recurring_lines(docs, min_texts).toDF("_key", "_dropped")
+    dropped = recurring_lines(docs, min_texts, fields_alone).toDF("_key", "_dropped")
     rows = docs.withColumn("_key", F.unhex(F.md5("text")))
     # Texts that surely keep all lines stay out of the join. A null text needs some key here.
     known = F.coalesce("_key", F.unhex(F.lit("00")))
