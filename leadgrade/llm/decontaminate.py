@@ -26,8 +26,8 @@ FILTER_BITS = 1 << 23
 
 
 def size_class(n: int) -> int:
-    """The partition of an item with ``n`` shingles: the next power of two, 8 at least."""
-    return max(8, 1 << (int(n) - 1).bit_length())
+    """The partition of an item with ``n`` shingles: the next power of two."""
+    return 1 << (int(n) - 1).bit_length()
 
 
 def _item_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
