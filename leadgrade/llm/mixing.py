@@ -19,6 +19,8 @@ TOTAL_SHARE = 1.5
 MOST_PASSES = 2.0
 SEED = 20240613
 RANGES, LEVELS = 1024, 3
+#: Logarithms of all keys lie in this range: a key is between 2^-54 and 53 ln 2 / 0.05.
+LEAST_LOG, MOST_LOG = -38.0, 7.0
 
 
 def words(text: Column) -> Column:
@@ -73,13 +75,15 @@ def targets(sizes: DataFrame, weights: tuple[float, ...] = WEIGHTS) -> DataFrame
 
 def _measured(docs: DataFrame, seed: int) -> DataFrame:
     added = ("size", "source_size", "target", "taken")
-    key = -F.log1p(-_uniform(seed)) / quality_weight(F.col("text"))
+    drawn = F.least(_uniform(seed), F.lit(1 - 2.0**-53))
+    key = -F.log1p(-drawn) / quality_weight(F.col("text"))
     rows = docs.drop(*added).withColumn("size", words(F.col("text")))
-    return rows.withColumn("_at", 1 - F.exp(-key)).withColumn("_tie", F.md5("text"))
+    return rows.withColumn("_at", key).withColumn("_tie", F.md5("text"))
 
 
 def _cell(level: int) -> Column:
-    return F.floor(F.col("_at") * float(RANGES**level)).cast("long")
+    place = (F.log("_at") - LEAST_LOG) / (MOST_LOG - LEAST_LOG)
+    return F.floor(place * float(RANGES**level)).cast("long")
 
 
 def _cut(rows: DataFrame, goal: DataFrame) -> DataFrame:
@@ -97,17 +101,17 @@ def _cut(rows: DataFrame, goal: DataFrame) -> DataFrame:
         )
         upto = Window.partitionBy("_source").orderBy("_cell")
         sums = sums.withColumn("upto", F.col("_before") + F.sum("n").over(upto))
+        cell = F.struct("_cell", (F.col("upto") - F.col("n")).alias("words"))
         over = (
-            sums.where(F.col("upto") > F.col("_budget"))
-            .groupBy("_source")
-            .agg(F.min(F.struct("_cell", (F.col("upto") - F.col("n")).alias("words"))).alias("cut"))
-            .toDF("_s", "cut")
+            sums.groupBy("_source")
+            .agg(F.min(F.when(F.col("upto") > F.col("_budget"), cell)).alias("cut"), F.max("upto").alias("all"))
+            .toDF("_s", "cut", "all")
         )
         state = written(
             state.join(over, F.col("_source").eqNullSafe(F.col("_s")), "left")
-            .withColumn("_before", F.coalesce("cut.words", "_before"))
+            .withColumn("_before", F.coalesce("cut.words", "all", "_before"))
             .withColumn("_edge", F.coalesce("cut._cell", F.lit(RANGES**level).cast("long")))
-            .drop("_s", "cut"),
+            .drop("_s", "cut", "all"),
             "cut",
         )
     return state
