@@ -17,12 +17,12 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from leadgrade.llm.components import components
 from leadgrade.llm.filters import maybe_in, parted
-from leadgrade.llm.words import WORD_PATTERN, counted, mix, pieces, seeded, shingles, word_hashes
+from leadgrade.llm.words import counted, mix, pieces, seeded, shingles, word_hashes
 from leadgrade.plans.sizing import written
 
 BANDS, ROWS = 20, 5
@@ -376,13 +376,13 @@ def near_duplicates(docs: DataFrame, threshold: float = SIMILARITY) -> DataFrame
 
 def keep_one(docs: DataFrame, threshold: float = SIMILARITY) -> DataFrame:
     """The rows of ``docs`` with all their columns, one of each class: the one with the
-    smallest doc_id, then the smallest text. Rows with a null text or a text without
-    any word are kept as they are, since nothing can be said of their likeness.
+    smallest doc_id, then the smallest text. Texts without any word equal only
+    themselves. Rows with a null text are kept as they are, since they equal nothing.
     Of equal rows (same doc_id and text) one stays.
     """
     parts = text_classes(docs.select("doc_id", "text"), threshold)
     # Only the rows that go, or that are there more than once, are looked up.
-    ids = docs.where(~_wordless()).select("doc_id", F.unhex(F.md5("text")).alias("node"))
+    ids = docs.where("text is not null").select("doc_id", F.unhex(F.md5("text")).alias("node"))
     ids = ids.groupBy("doc_id", "node").agg(F.count("*").alias("n"))
     named = written(
         ids.join(parts, "node", "left").withColumn("class", F.coalesce("component", "node")), "named"
@@ -396,7 +396,7 @@ def keep_one(docs: DataFrame, threshold: float = SIMILARITY) -> DataFrame:
         .select(F.xxhash64("doc_id", "node").alias("_key"), F.col("doc_id").alias("_odd_id"), F.col("node").alias("_odd_node"), F.col("gone").alias("_gone")),
         "odd",
     )
-    rows = docs.where(~_wordless()).withColumn("_node", F.unhex(F.md5("text")))
+    rows = docs.where("text is not null").withColumn("_node", F.unhex(F.md5("text")))
     some, rest = parted(rows, F.xxhash64("doc_id", "_node"), odd.select("_key"))
     same = (F.col("_node") == F.col("_odd_node")) & F.col("doc_id").eqNullSafe(F.col("_odd_id"))
     some = some.join(odd.drop("_key"), same, "left").where("_gone is null or not _gone")
@@ -410,11 +410,5 @@ def keep_one(docs: DataFrame, threshold: float = SIMILARITY) -> DataFrame:
         rest.select(*docs.columns)
         .union(some.where("_gone is null").select(*docs.columns))
         .union(twice)
-        .union(docs.where(_wordless()))
+        .union(docs.where("text is null"))
     )
-
-
-def _wordless() -> Column:
-    """Null, or nothing but ASCII punctuation and white space."""
-    words = F.regexp_like("text", F.lit(WORD_PATTERN))
-    return ~F.coalesce(words, F.lit(False))
