@@ -38,4 +38,20 @@ def written(df: DataFrame, name: str) -> DataFrame:
     """
     path = work_dir(df.sparkSession, name)
     df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    table = df.sparkSession.read.schema(df.schema).parquet(path)
+    table._scratch = path
+    return table
+
+
+def release(*tables: DataFrame) -> None:
+    """Delete what ``written`` stored for ``tables``, once nothing reads them any more.
+
+    Call it after the table that took their place is written: a task that runs again then
+    reads the newer one. Frames derived from a written table aren't touched.
+    """
+    for table in tables:
+        path = table.__dict__.pop("_scratch", None)
+        if path:
+            spark = table.sparkSession
+            at = spark._jvm.org.apache.hadoop.fs.Path(path)
+            at.getFileSystem(spark._jsc.hadoopConfiguration()).delete(at, True)
