@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from leadgrade.llm import cascade, clusters, negatives
 from leadgrade.llm.decontaminate import CONTAINMENT
 from leadgrade.llm.line_dedup import FIXED_SHARE, MIN_FIXED, MIN_TEXTS
 from leadgrade.llm.words import WORD_PATTERN
@@ -55,3 +56,100 @@ left_over AS (
   FROM raw_lines LEFT JOIN gone USING (k, line_no) GROUP BY k)
 SELECT doc_id, l.text, coalesce(n_lines, 0) AS n_lines, coalesce(n_dropped, 0) AS n_dropped
 FROM documents d LEFT JOIN left_over l ON l.k = md5(d.text)"""
+
+
+_USABLE = """embedding IS NOT NULL AND len(embedding) > 0
+    AND list_bool_and(list_transform(embedding, lambda x: x IS NOT NULL AND isfinite(x)))"""
+
+#: Every anchor against every row.
+HARD_NEGATIVES = f"""
+WITH kept AS MATERIALIZED (
+  SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+    list_transform(embedding, lambda x: floor({negatives.SCALE} * CAST(x AS DOUBLE))) AS v
+  FROM embeddings WHERE vec_id IS NOT NULL AND label IS NOT NULL AND {_USABLE}),
+scored AS MATERIALIZED (
+  SELECT a.vec_id AS anchor_id, c.vec_id, a.label = c.label AS same,
+    CAST(list_dot_product(a.v, c.v) AS BIGINT) AS score
+  FROM kept a JOIN kept c ON a.vec_id % 50 = 0 AND a.vec_id <> c.vec_id AND len(a.v) = len(c.v)),
+positives AS (
+  SELECT anchor_id, vec_id AS positive_id, score AS positive_score FROM scored WHERE same
+  QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, vec_id) <= {negatives.POSITIVES}),
+ranked AS (
+  SELECT anchor_id, positive_id, CAST(row_number() OVER (
+    PARTITION BY anchor_id, positive_id ORDER BY score DESC, vec_id) AS INT) AS rank,
+    vec_id AS negative_id, positive_score, score AS negative_score
+  FROM positives JOIN scored USING (anchor_id)
+  WHERE NOT same AND {negatives.LOW} * positive_score <= 100 * score
+    AND 100 * score <= {negatives.HIGH} * positive_score)
+SELECT * FROM ranked WHERE rank <= {negatives.NEGATIVES}"""
+
+
+def clustering() -> str:
+    """All distances in each round, and sums by cluster and component between rounds."""
+    k, key = clusters.CENTROIDS, f"sha256('{clusters.SEED}:' || CAST(vec_id AS VARCHAR))"
+    steps = [
+        f"""kept AS MATERIALIZED (
+  SELECT row_number() OVER () AS r, vec_id,
+    list_transform(embedding, lambda x: CAST(floor({clusters.SCALE} * CAST(x AS DOUBLE)) AS BIGINT)) AS v
+  FROM embeddings WHERE len(embedding) = {clusters.DIM} AND {_USABLE}),
+c0 AS MATERIALIZED (
+  SELECT row_number() OVER (ORDER BY {key}) - 1 AS cluster, v AS m FROM kept ORDER BY {key} LIMIT {k})"""
+    ]
+    for i in range(clusters.ROUNDS + 1):
+        steps.append(
+            f"""a{i} AS MATERIALIZED (
+  SELECT r, min(list_sum(list_transform(list_zip(v, m), lambda p: (p[1] - p[2]) * (p[1] - p[2]))) * {k}
+    + cluster) AS best FROM kept, c{i} GROUP BY r)"""
+        )
+        if i < clusters.ROUNDS:
+            steps.append(
+                f"""s{i} AS (
+  SELECT best % {k} AS cluster, place, sum(x) AS x, count(*) AS n FROM (
+    SELECT best, unnest(v) AS x, unnest(range(len(v))) AS place FROM kept JOIN a{i} USING (r)) GROUP BY ALL),
+m{i} AS (
+  SELECT cluster, list((x - ((x % n) + n) % n) // n ORDER BY place) AS m FROM s{i} GROUP BY cluster),
+c{i + 1} AS MATERIALIZED (
+  SELECT c.cluster, CAST(coalesce(n.m, c.m) AS BIGINT[]) AS m FROM c{i} c LEFT JOIN m{i} n USING (cluster))"""
+            )
+    last = clusters.ROUNDS
+    return f"""WITH {", ".join(steps)},
+found AS (SELECT vec_id, best % {k} AS cluster, CAST(best // {k} AS BIGINT) AS distance FROM kept JOIN a{last} USING (r))
+SELECT vec_id, CAST(cluster AS INT) AS cluster, distance,
+  CAST(sum(distance) OVER (PARTITION BY cluster) AS BIGINT) AS cluster_inertia,
+  CAST(sum(distance) OVER () AS BIGINT) AS inertia, sha256(array_to_string(m, ',')) AS centroid_sha256
+FROM found JOIN c{last} USING (cluster)"""
+
+
+def quality_rules() -> str:
+    """All measures and all rules of every document."""
+    size = cascade.WINDOW
+    rules = " OR ".join(f"({r.sql})" for r in cascade.RULES)
+    return f"""
+WITH docs AS MATERIALIZED (
+  SELECT row_number() OVER () AS r, doc_id, coalesce(text, '') AS text FROM documents),
+worded AS MATERIALIZED (
+  SELECT *, {cascade._WORDS} AS words, {cascade._WORDED} AS lines FROM docs),
+runs AS (
+  SELECT r, place, count(*) OVER (PARTITION BY r, run) AS n FROM (
+    SELECT r, unnest(range(1, len(words) - {size - 2})) AS place,
+      unnest(list_transform(range(1, len(words) - {size - 2}),
+        lambda i: array_to_string(words[i:i + {size - 1}], ' '))) AS run FROM worded)),
+repeated AS (
+  SELECT r, count(DISTINCT place + step) AS n FROM (
+    SELECT r, place, unnest(range({size})) AS step FROM runs WHERE n > 1) GROUP BY r),
+measured AS (
+  SELECT doc_id, text, words, CAST(len(words) AS BIGINT) AS n_words,
+    CAST(coalesce(list_sum(list_transform(words, lambda x: length(x))), 0) AS BIGINT) AS word_chars,
+    CAST(length(regexp_replace(text, '[^#*$%&|<>]', '', 'g')) AS BIGINT) AS n_symbols,
+    CAST(len(lines) - len(list_distinct(lines)) AS BIGINT) AS n_dup_lines,
+    CAST(coalesce(n, 0) AS BIGINT) AS n_repeat_words
+  FROM worded LEFT JOIN repeated USING (r)),
+based AS (
+  SELECT *, n_words < {cascade.LEAST_WORDS}
+    OR 100 * n_repeat_words > {cascade.MOST_REPEATED} * n_words AS base_failed FROM measured)
+SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
+  NOT base_failed AND NOT ({rules}) AS kept FROM based"""
+
+
+CLUSTERING = clustering()
+QUALITY_RULES = quality_rules()

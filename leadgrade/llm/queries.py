@@ -3,14 +3,18 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from leadgrade.llm import (
+    cascade,
+    clusters,
     decontaminate,
     extract,
     lang_id,
     line_dedup,
     mixing,
     near_dup,
+    negatives,
     oracles,
     passages,
     quality,
@@ -94,6 +98,25 @@ def op10_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return line_dedup.line_report(_table(spark, sf_dir, "documents"))
 
 
+def op11_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Negatives of every fiftieth vector that score close below its positives."""
+    vectors = _table(spark, sf_dir, "embeddings").select("vec_id", "label", "embedding")
+    moved = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    vectors = vectors.withColumn("label", moved)
+    return negatives.hard_negatives(vectors, vectors.where("vec_id % 50 = 0"))
+
+
+def op12_centroid_clusters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Cluster of every vector after three rounds over sixteen centroids."""
+    return clusters.cluster(_table(spark, sf_dir, "embeddings").select("vec_id", "embedding"))
+
+
+def op13_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Measures of every document, and whether the cascade of rules keeps it."""
+    docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
+    return cascade.assess(docs).select("doc_id", *cascade.BASE, "base_failed", "kept")
+
+
 QUERIES |= {
     "op1_language_id": op1_language_id,
     "op2_decontamination": op2_decontamination,
@@ -105,9 +128,15 @@ QUERIES |= {
     "op8_line_quality": op8_line_quality,
     "op9_repeated_passages": op9_repeated_passages,
     "op10_line_dedup": op10_line_dedup,
+    "op11_hard_negatives": op11_hard_negatives,
+    "op12_centroid_clusters": op12_centroid_clusters,
+    "op13_quality_rules": op13_quality_rules,
 }
 
 ORACLES |= {
     "op2_decontamination": oracles.DECONTAMINATION,
     "op10_line_dedup": oracles.LINE_DEDUP,
+    "op11_hard_negatives": oracles.HARD_NEGATIVES,
+    "op12_centroid_clusters": oracles.CLUSTERING,
+    "op13_quality_rules": oracles.QUALITY_RULES,
 }

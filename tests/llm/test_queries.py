@@ -17,6 +17,11 @@ COLUMNS = {
     "op8_": ["doc_id", "held_out", "score", "predicted"],
     "op9_": ["doc_id", "start_word", "end_word", "class_id"],
     "op10_": ["doc_id", "text", "n_lines", "n_dropped"],
+    "op11_": ["anchor_id", "positive_id", "rank", "negative_id", "positive_score", "negative_score"],
+    "op12_": ["vec_id", "cluster", "distance", "cluster_inertia", "inertia", "centroid_sha256"],
+    "op13_": [
+        "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept"
+    ],
 }
 
 
@@ -42,7 +47,8 @@ def test_pipeline_stages(spark, sf_dir):
     assert counts[4] < counts[3] and {"size", "source_size", "target", "taken"} <= set(docs.columns)
 
 
-@pytest.mark.parametrize("name", ["op2_decontamination", "op6_source_mixing", "op8_line_quality"])
+@pytest.mark.parametrize("name", ["op2_decontamination", "op6_source_mixing", "op8_line_quality", "op11_hard_negatives",
+                                  "op12_centroid_clusters", "op13_quality_rules"])
 def test_columns(spark, sf_dir, name):
     found = queries.QUERIES[name](spark, sf_dir).columns
     assert set(COLUMNS[name.split("_")[0] + "_"]) <= set(found)
