@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from leadgrade import constants as C
@@ -496,19 +497,161 @@ def model_metrics(spark, sf):
     return models.model_metrics(one.unionByName(two))
 
 
-@register("bootstrap_ci")
+# The draws in SQL: the same whole-number steps in 128-bit arithmetic.
+
+
+def _step_sql(name: str, source: str, x: str, keep: str) -> str:
+    """CTEs that mix ``x`` of ``source`` into a column ``name``, one step each."""
+    out, at = [], source
+    for i, (shift, factor) in enumerate(bootstrap.MIX):
+        inner = x if i == 0 else f"{name}_{i - 1}"
+        out.append(
+            f"{name}{i} AS (SELECT {keep}, ((xor(v, v >> {shift}) * CAST({factor} AS HUGEINT)) % 4294967296)::BIGINT"
+            f" AS {name}_{i} FROM (SELECT {keep}, {inner} AS v FROM {at}))"
+        )
+        at = f"{name}{i}"
+    return ", ".join(out)
+
+
+def draw_sql(cells: str, keep: str, draws: int = C.BOOTSTRAP_DRAWS, seed: int = C.DEFAULT_SEED) -> str:
+    """CTEs ending in drawn(<keep>, kind, replicate, drawn): a Poisson count for each row
+    (key, kind, n, <keep>) of ``cells`` with n above zero, and every replicate."""
+    start = seed * bootstrap.STEP % (1 << 32)
+    own = f"{keep}, key, kind, n"
+    mixes = [
+        f"replicates AS (SELECT range AS replicate, ((range + {start}) % 4294967296)::BIGINT AS x FROM range({draws}))",
+        _step_sql("ra", "replicates", "x", "replicate"),
+        f"crossed AS MATERIALIZED (SELECT {own}, replicate, ra_2 AS turn, "
+        f"xor(xor(key & 4294967295, kind * {bootstrap.KIND}), ra_2) AS x FROM {cells}, ra2 WHERE n > 0)",
+        _step_sql("da", "crossed", "x", f"{own}, replicate, turn"),
+        f"halves AS MATERIALIZED (SELECT {own}, replicate, xor(((key >> 32) + da_2) & 4294967295, "
+        f"((turn * CAST({bootstrap.STEP} AS HUGEINT)) % 4294967296)::BIGINT) AS x FROM da2)",
+        _step_sql("db", "halves", "x", f"{own}, replicate"),
+        f"""tables AS MATERIALIZED (
+          SELECT n, list(p ORDER BY k) AS steps FROM (
+            SELECT n, k, sum(exp(k * ln(n) - n - lgamma(k + 1))) OVER (PARTITION BY n ORDER BY k ROWS UNBOUNDED PRECEDING) AS p
+            FROM (SELECT n, unnest(range(n + CAST(floor(12 * sqrt(n)) AS BIGINT) + 21)) AS k
+              FROM (SELECT DISTINCT n FROM {cells} WHERE n > 0)))
+          GROUP BY n)""",
+        f"""drawn AS MATERIALIZED (
+          SELECT {keep}, kind, replicate,
+            len(list_filter(steps, lambda p: p <= (db_2 + CAST(0.5 AS DOUBLE)) / 4294967296)) AS drawn
+          FROM db2 JOIN tables USING (n))""",
+    ]
+    return ", ".join(mixes)
+
+
+def _score_key(columns: list[str]) -> Column:
+    """Key of scores with at most six decimals, the same in any SQL engine."""
+    parts = [F.round(F.col(c) * 1000000).cast("bigint").cast("string") for c in columns]
+    return F.conv(F.substring(F.md5(F.concat_ws(":", *parts)), 1, 15), 16, 10).cast("bigint")
+
+
+def _score_key_sql(columns: list[str]) -> str:
+    parts = " || ':' || ".join(f"CAST(CAST(round({c} * 1000000) AS BIGINT) AS VARCHAR)" for c in columns)
+    return f"CAST('0x' || substr(md5({parts}), 1, 15) AS BIGINT)"
+
+
+def _interval_sql(metric: str, source: str) -> str:
+    half = C.CONFIDENCE_ALPHA / 2
+    return (
+        f"SELECT '{metric}' AS metric, round(quantile_cont({metric}, {half}), 6) AS lower, "
+        f"round(quantile_cont({metric}, {1 - half}), 6) AS upper, round(avg({metric}), 6) AS mean, "
+        f"count({metric}) AS n_draws FROM {source}"
+    )
+
+
+_KINDS = "(VALUES (0, 1), (1, 0)) AS k(kind, wanted)"
+_WIDE = """sum(CASE WHEN kind = 0 THEN drawn ELSE 0 END) AS pos,
+            sum(CASE WHEN kind = 1 THEN drawn ELSE 0 END) AS neg"""
+
+
+@register(
+    "bootstrap_ci",
+    with_ctes(
+        *V.SCORED,
+        f"""cells AS MATERIALIZED (
+          SELECT p_conversion AS score, {_score_key_sql(["p_conversion"])} AS key, kind,
+            count(*) FILTER (WHERE converted = wanted) AS n
+          FROM scored, {_KINDS} WHERE converted IS NOT NULL AND p_conversion IS NOT NULL GROUP BY 1, 2, 3)""",
+        draw_sql("cells", "score"),
+        f"""per_score AS (SELECT replicate, score, {_WIDE} FROM drawn GROUP BY 1, 2)""",
+        """curve AS (SELECT *, sum(pos) OVER w AS cum_pos, sum(neg) OVER w AS cum_neg FROM per_score
+          WINDOW w AS (PARTITION BY replicate ORDER BY score DESC ROWS UNBOUNDED PRECEDING))""",
+        """metrics AS (
+          SELECT replicate,
+            sum(neg * (cum_pos - CAST(pos AS DOUBLE) / 2)) / nullif(CAST(sum(pos) AS DOUBLE) * sum(neg), 0) AS roc_auc,
+            CASE WHEN sum(neg) > 0 THEN sum(CAST(pos AS DOUBLE) * cum_pos / greatest(cum_pos + cum_neg, 1)) / nullif(sum(pos), 0) END
+              AS average_precision
+          FROM curve GROUP BY replicate)""",
+    )
+    + _interval_sql("roc_auc", "metrics")
+    + " UNION ALL "
+    + _interval_sql("average_precision", "metrics"),
+)
 def bootstrap_ci(spark, sf):
-    return bootstrap.bootstrap_ci(V.scored(spark, sf), "p_conversion", "converted")
+    key = _score_key(["score"])
+    return bootstrap.bootstrap_ci(V.scored(spark, sf), "p_conversion", "converted", key=key)
 
 
-@register("paired_bootstrap")
+def _side_sql(name: str, score: str) -> str:
+    return f"""per_{name} AS (SELECT replicate, {score} AS score, {_WIDE} FROM drawn GROUP BY 1, 2),
+        {name} AS (
+          SELECT replicate, sum(neg * (cum_pos - CAST(pos AS DOUBLE) / 2)) / nullif(CAST(sum(pos) AS DOUBLE) * sum(neg), 0) AS auc
+          FROM (SELECT *, sum(pos) OVER (PARTITION BY replicate ORDER BY score DESC ROWS UNBOUNDED PRECEDING) AS cum_pos FROM per_{name})
+          GROUP BY replicate)"""
+
+
+@register(
+    "paired_bootstrap",
+    with_ctes(
+        *V.SCORED,
+        f"""both_scores AS (
+          SELECT p_conversion AS b, converted, round(CAST(0.7 AS DOUBLE) * p_conversion
+            + CAST(0.3 AS DOUBLE) * {V.u_sql('lead_id', 'alt')}, 6) AS a FROM scored)""",
+        f"""cells AS MATERIALIZED (
+          SELECT a, b, {_score_key_sql(["a", "b"])} AS key, kind,
+            count(*) FILTER (WHERE converted = wanted) AS n
+          FROM both_scores, {_KINDS} WHERE converted IS NOT NULL AND a IS NOT NULL AND b IS NOT NULL GROUP BY 1, 2, 3, 4)""",
+        draw_sql("cells", "a, b"),
+        _side_sql("side_a", "a"),
+        _side_sql("side_b", "b"),
+        "metrics AS (SELECT side_b.auc - side_a.auc AS auc_difference FROM side_a JOIN side_b USING (replicate))",
+        f"result AS ({_interval_sql('auc_difference', 'metrics')})",
+    )
+    + "SELECT *, lower > 0 OR upper < 0 AS significant FROM result",
+)
 def paired_bootstrap(spark, sf):
     return bootstrap.paired_bootstrap(
-        two_models(spark, sf), "p_other", "p_conversion", "converted"
+        two_models(spark, sf), "p_other", "p_conversion", "converted", key=_score_key(["a", "b"])
     )
 
 
-@register("bootstrap_f1")
+_CODES = "list_position([" + ", ".join(f"'{a}'" for a in C.ATTITUDES) + "], {})"
+
+
+@register(
+    "bootstrap_f1",
+    with_ctes(
+        *V.PREDICTIONS,
+        f"""cells AS MATERIALIZED (
+          SELECT coalesce({_CODES.format("true_attitude")} - 1, {len(C.ATTITUDES)}) AS t,
+            coalesce({_CODES.format("predicted_attitude")} - 1, {len(C.ATTITUDES)}) AS g,
+            CAST(0 AS BIGINT) AS kind, count(*) AS n,
+            CAST(t * {len(C.ATTITUDES) + 1} + g AS BIGINT) AS key
+          FROM predictions GROUP BY 1, 2)""",
+        draw_sql("cells", "t, g"),
+        """ends AS (
+          SELECT replicate, t AS label, drawn, t = g AS hit FROM drawn UNION ALL SELECT replicate, g, drawn, false FROM drawn),
+        f1 AS (
+          SELECT replicate, label, CAST(2 * sum(drawn) FILTER (WHERE hit) AS DOUBLE) / sum(drawn) AS f1 FROM ends
+          WHERE label < """
+        + str(len(C.ATTITUDES))
+        + """ GROUP BY 1, 2 HAVING sum(drawn) > 0),
+        metrics AS (SELECT replicate, avg(coalesce(f1, 0)) AS f1_macro FROM f1 GROUP BY replicate)""",
+    )
+    + _interval_sql("f1_macro", "metrics"),
+)
 def bootstrap_f1(spark, sf):
     return bootstrap.bootstrap_f1(
         V.predictions(spark, sf), "true_attitude", "predicted_attitude"
