@@ -17,7 +17,7 @@ from pyspark.ml.linalg import DenseVector, Vectors
 from pyspark.ml.param import Param, Params, TypeConverters
 from pyspark.ml.tuning import ParamGridBuilder
 from pyspark.ml.util import DefaultParamsReadable, DefaultParamsWritable
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from leadgrade import constants as C
@@ -286,20 +286,38 @@ def score(model: PipelineModel, vectors: DataFrame, keep: Sequence[str]) -> Data
     return model.transform(vectors).select(*keep, p.alias("p_conversion"))
 
 
+def feature_names(state: FeatureState) -> DataFrame:
+    """(position, feature) of every vector element, numbered without collecting names."""
+    catalog = state.catalog().groupBy("block", "major", "slot", "name").count()
+    # Widths of the groups (block, major): a handful of rows, whatever the slots.
+    widths = catalog.groupBy("block", "major").agg(F.count("*").alias("width"))
+    order = Window.orderBy("block", "major").rowsBetween(Window.unboundedPreceding, -1)
+    starts = widths.withColumn("start", F.coalesce(F.sum("width").over(order), F.lit(0)))
+    first = F.when(F.col("block") == 1, F.col("slot")).otherwise(0)
+    position = F.col("start") + first
+    return catalog.join(F.broadcast(starts), ["block", "major"]).select(
+        position.cast("int").alias("position"), F.col("name").alias("feature")
+    )
+
+
 def feature_importance(
     model: PipelineModel, state: FeatureState, top: int = 15
 ) -> DataFrame:
     """Gain per feature name, largest first (one number per feature, not per row)."""
-    spark = state.spark
     gains = model.stages[-1].featureImportances.toArray()
-    names = [
-        r["name"] for r in state.catalog().orderBy("block", "major", "slot").collect()
-    ]
-    rows = [(n, float(g)) for n, g in zip(names, gains, strict=True)]
-    table = spark.createDataFrame(rows, "feature string, gain double")
+    rows = state.spark.createDataFrame(
+        [(i, float(g)) for i, g in enumerate(gains)], "position int, gain double"
+    )
+    table = rows.join(feature_names(state), "position").select("feature", "gain")
     return table.orderBy(F.desc("gain"), "feature").limit(top)
 
 
+def named_contributions(explained: DataFrame, state: FeatureState) -> DataFrame:
+    """(feature, mean_abs, n): mean absolute contribution by name."""
+    found = attribution.mean_absolute(explained).join(feature_names(state), "position")
+    return found.select("feature", r6("mean_abs").alias("mean_abs"), "n")
+
+
 def linear_attribution(
     df: DataFrame, coefficients: Mapping[str, float], means: Mapping[str, float] | None = None
 ) -> DataFrame:
