@@ -253,7 +253,7 @@ def event_stream(spark, sf):
       WHERE r = 1""",
 )
 def stream_latest_note(spark, sf):
-    """Newest event per user, kept up to date by a stream."""
+    """Newest event per user, kept up to date by a stream whose state is bounded in time."""
     target = work_dir(spark, "latest")
     query = jobs.keep_latest(
         event_stream(spark, sf),
@@ -263,6 +263,7 @@ def stream_latest_note(spark, sf):
         ["event_type", "value"],
         target,
         work_dir(spark, "latest-state"),
+        delay="7 days",
     )
     query.awaitTermination()
     newest = jobs.read_latest(spark, target, "user_id", "ts", "event_id")

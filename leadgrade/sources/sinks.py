@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, DataFrameWriter, SparkSession
 from pyspark.sql import functions as F
 
+from leadgrade.sources import keyed
 from leadgrade.sources.readers import read_predictions
 from leadgrade.sources.schema import PREDICTION_SCHEMA, require_columns
 
@@ -36,14 +37,8 @@ def write_report(df: DataFrame, path: str) -> None:
     df.write.mode("overwrite").json(path)
 
 
-def path_exists(spark: SparkSession, path: str) -> bool:
-    hadoop_path = spark._jvm.org.apache.hadoop.fs.Path(path)
-    fs = hadoop_path.getFileSystem(spark._jsc.hadoopConfiguration())
-    return fs.exists(hadoop_path)
-
-
 def stored_predictions(spark: SparkSession, path: str) -> DataFrame:
-    if path_exists(spark, path):
+    if keyed.path_exists(spark, path):
         return read_predictions(spark, path)
     return spark.createDataFrame([], PREDICTION_SCHEMA)
 
@@ -60,14 +55,7 @@ def one_each(df: DataFrame, *newest: str, key: str = "lead_id") -> DataFrame:
     return df.groupBy(key).agg(row).select(key, "_row.*").select(*df.columns)
 
 
-def append_predictions(
-    spark: SparkSession, new: DataFrame, path: str, force_refresh: bool = False
-) -> None:
-    """Append predictions of leads the table does not hold yet.
-
-    ``force_refresh`` replaces the table instead. One write is one checkpoint: a
-    run that dies leaves the committed batches, and the next run resumes.
-    """
+def _typed(new: DataFrame, path: str) -> DataFrame:
     require_columns(new, [c for c in PREDICTION_SCHEMA.fieldNames() if c != "timestamp_utc"], path)
     stamped = new if "timestamp_utc" in new.columns else new.withColumn(
         "timestamp_utc", F.current_timestamp()
@@ -75,9 +63,22 @@ def append_predictions(
     typed = stamped.select(
         *[F.col(f.name).cast(f.dataType).alias(f.name) for f in PREDICTION_SCHEMA]
     )
-    typed = one_each(typed, "timestamp_utc")
-    if force_refresh:
-        typed.write.mode("overwrite").parquet(path)
-        return
-    todo = pending(typed, stored_predictions(spark, path))
-    todo.write.mode("append").parquet(path)
+    return one_each(typed, "timestamp_utc")
+
+
+def pending_predictions(spark: SparkSession, wanted: DataFrame, path: str) -> DataFrame:
+    """Rows of ``wanted`` whose lead the table at ``path`` doesn't hold; only the files that
+    may hold one are read."""
+    return keyed.absent(spark, wanted, path, "lead_id")
+
+
+def append_predictions(
+    spark: SparkSession, new: DataFrame, path: str, force_refresh: bool = False
+) -> int:
+    """Append predictions of leads the table does not hold yet; returns how many stored
+    folders had to be read for that.
+
+    ``force_refresh`` replaces the table instead. One write is one checkpoint: a
+    run that dies leaves the committed batches, and the next run resumes.
+    """
+    return keyed.append(spark, _typed(new, path), path, "lead_id", force_refresh)

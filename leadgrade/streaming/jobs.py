@@ -18,7 +18,7 @@ from leadgrade.operators.notes import with_fallback
 from leadgrade.operators.priority import quarantine, with_priority
 from leadgrade.sources.readers import absent_keys, lead_records
 from leadgrade.sources.schema import NOTE_SCHEMA
-from leadgrade.sources.sinks import append_predictions, one_each, pending, stored_predictions
+from leadgrade.sources.sinks import append_predictions, one_each, pending_predictions
 
 Scorer = Callable[[DataFrame], DataFrame]
 
@@ -114,15 +114,27 @@ def score_stream(
 
 
 def latest_note_stream(
-    events: DataFrame, key: str, time: str, tie: str, *columns: str
+    events: DataFrame,
+    key: str,
+    time: str,
+    tie: str,
+    *columns: str,
+    delay: str | None = None,
+    width: str = "1 day",
 ) -> DataFrame:
     """Newest row per key of an event stream (update output).
 
-    One row per key is kept as state, whatever the number of events.
+    Without ``delay`` one row per key is kept as state for ever. With it, one row per key
+    and time window is kept until the newest event seen is ``delay`` past the window; rows
+    that come later than that are dropped. The newest of a key is then the newest of its
+    windows, which ``read_latest`` takes from what is stored.
     """
     row = F.struct(*columns)
     newest = F.max_by(row, F.struct(time, tie)).alias("_row")
-    return events.groupBy(key).agg(newest).select(key, "_row.*")
+    if delay is None:
+        return events.groupBy(key).agg(newest).select(key, "_row.*")
+    late = events.withWatermark(time, delay)
+    return late.groupBy(F.window(time, width), key).agg(newest).select(key, "_row.*")
 
 
 def keep_latest(
@@ -134,13 +146,18 @@ def keep_latest(
     target: str,
     checkpoint: str,
     once: bool = True,
+    delay: str | None = None,
+    width: str = "1 day",
 ) -> StreamingQuery:
     """Store the newest row of every key that a micro-batch changed.
 
     A batch writes only its changed keys, into a folder named after the batch, so a
-    replayed batch overwrites itself and nothing else is rewritten.
+    replayed batch overwrites itself and nothing else is rewritten. ``delay`` and ``width``
+    bound the state, see ``latest_note_stream``; what is stored stays.
     """
-    newest = latest_note_stream(events, key, time, tie, time, tie, *columns)
+    newest = latest_note_stream(
+        events, key, time, tie, time, tie, *columns, delay=delay, width=width
+    )
 
     def run(batch: DataFrame, number: int) -> None:
         batch.write.mode("overwrite").parquet(f"{target}/batch={number}")
@@ -165,6 +182,16 @@ def read_latest(
     return changes.groupBy(key).agg(newest).select(key, "_row.*")
 
 
+def compact_latest(
+    spark: SparkSession, target: str, compacted: str, key: str, time: str, tie: str
+) -> DataFrame:
+    """The stored changes as one row per key, in a table of its own that ``read_latest`` reads
+    like the changes; the changes can then be archived."""
+    newest = read_latest(spark, target, key, time, tie)
+    newest.withColumn("batch", F.lit(-1)).write.mode("overwrite").partitionBy("batch").parquet(compacted)
+    return spark.read.parquet(compacted)
+
+
 def note_windows(
     events: DataFrame, key: str, time: str, tie: str, delay: str, width: str, *columns: str
 ) -> DataFrame:
@@ -200,7 +227,7 @@ def resume_stream(
 
     def run(batch: DataFrame, _: int) -> None:
         session = batch.sparkSession
-        todo = pending(one_each(batch), stored_predictions(session, target))
+        todo = pending_predictions(session, one_each(batch), target)
         append_predictions(session, classify(todo), target)
 
     notes = spark.readStream.schema(NOTE_SCHEMA).parquet(source)
