@@ -8,17 +8,20 @@ from dataclasses import dataclass
 
 from pyspark.ml import PipelineModel
 from pyspark.ml.feature import OneHotEncoder, VectorAssembler
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from leadgrade import constants as C
 from leadgrade.functions.clean import clip_upper, scale
 from leadgrade.plans.ordered import interpolate, quantiles
+from leadgrade.plans.selection import numbered, wide_quantiles
 from leadgrade.plans.sizing import written
 
 NUMERIC = (*C.CLIPPED_NUMERIC, *C.RATIO_NUMERIC)
 STATE_VERSION = 1
 SKETCH_ACCURACY = 10_000
+#: Slot tables up to this size are looked up as maps; larger ones by joins over salted copies.
+MAP_BYTES, SALTS = 1 << 18, 16
 
 
 def _long(df: DataFrame, columns: Sequence[str], dtype: str) -> DataFrame:
@@ -40,21 +43,30 @@ def numeric_params(derived: DataFrame, exact: bool = True) -> DataFrame:
     column that is null throughout imputes zero. ``exact=False`` reads both
     quantiles off one mergeable sketch instead.
     """
-    long = _long(derived, NUMERIC, "double")
-    nulls = long.groupBy("column").agg(F.count_if(F.col("value").isNull()).alias("_n"))
-    clipped = F.col("column").isin(*C.CLIPPED_NUMERIC)
     if exact:
-        probs = {"clip": C.CLIP_QUANTILE, "median": 0.5}
-        stats = quantiles(long, "value", probs, ["column"])
-        clip = F.when(clipped, F.col("clip"))
+        wanted = {c: (C.CLIP_QUANTILE, 0.5) if c in C.CLIPPED_NUMERIC else (0.5,) for c in NUMERIC}
+        found = wide_quantiles(derived, wanted)
+        at = lambda p, c: F.max(F.when(F.col("prob") == p, F.col(c)))
+        stats = found.groupBy("column").agg(
+            F.max("n").alias("n"),
+            F.max("n_null").alias("_n"),
+            at(C.CLIP_QUANTILE, "quantile").alias("clip"),
+            at(0.5, "lo").alias("median_lo"),
+            at(0.5, "hi").alias("median_hi"),
+        )
+        clip = F.col("clip")
         lo, hi = F.least("median_lo", clip), F.least("median_hi", clip)
         median = interpolate(lo, hi, F.col("n"), 0.5)
     else:
+        long = _long(derived, NUMERIC, "double")
         sketch = F.percentile_approx("value", [C.CLIP_QUANTILE, 0.5], SKETCH_ACCURACY)
-        stats = long.groupBy("column").agg(sketch.alias("_q"))
-        clip = F.when(clipped, F.get("_q", 0))
+        stats = long.groupBy("column").agg(
+            sketch.alias("_q"), F.count_if(F.col("value").isNull()).alias("_n")
+        )
+        clip = F.when(F.col("column").isin(*C.CLIPPED_NUMERIC), F.get("_q", 0))
         median = F.least(F.get("_q", 1), clip)
-    return nulls.join(stats, "column", "left").select(
+    clipped = F.col("column").isin(*C.CLIPPED_NUMERIC)
+    return stats.select(
         "column",
         clip.alias("clip"),
         F.coalesce(median, F.lit(0.0)).alias("impute"),
@@ -86,13 +98,9 @@ def category_slots(frequencies: DataFrame) -> DataFrame:
     """Add ``slot`` (0-based within the column) and ``slot_name``.
 
     Frequent values take slots in sorted order; all rare known values share the
-    slot after them. A column has at most n / min_count frequent values; ordering
-    is per column, and only the frequent values are ordered.
+    slot after them. Values are numbered by ranges, so no task holds a whole column.
     """
-    order = Window.partitionBy("column").orderBy("value")
-    frequent = frequencies.where("is_frequent").withColumn(
-        "slot", F.row_number().over(order) - 1
-    )
+    frequent = numbered(frequencies.where("is_frequent"), "column", "value")
     widths = frequent.groupBy("column").agg(F.count("*").cast("int").alias("_width"))
     rare = (
         frequencies.where(~F.col("is_frequent"))
@@ -175,23 +183,48 @@ class FeatureState:
             **{p.column: p.scaled() for p in tail},
         }
 
-    def column_slots(self, column: str) -> DataFrame:
-        """Lookup (value -> slot) of one column."""
-        own = self.slots.where(F.col("column") == column).select(
-            F.col("value").alias(f"_{column}"), F.col("slot").alias(f"{column}_slot")
-        )
-        return own
+    def lookup_bytes(self) -> int:
+        """Bytes of the slot table's values, measured on the stored table."""
+        size = F.sum(F.octet_length("value") + F.lit(16))
+        return self.slots.agg(F.coalesce(size, F.lit(0)).alias("n")).first()["n"]
+
+    def with_slots(self, derived: DataFrame) -> DataFrame:
+        """``derived`` with ``<column>_slot`` of every categorical, null for unknown values.
+
+        A table of at most ``MAP_BYTES`` goes to all tasks as one row of maps, and all columns
+        are looked up in the same projection. A larger one is joined column by column, with
+        each slot in ``SALTS`` copies, so that a frequent value is spread over tasks.
+        """
+        if self.lookup_bytes() <= MAP_BYTES:
+            entry = F.struct("value", "slot")
+            maps = self.slots.agg(
+                *[
+                    F.map_from_entries(F.collect_list(F.when(F.col("column") == c, entry))).alias(f"_map_{c}")
+                    for c in C.CATEGORICAL
+                ]
+            )
+            found = {
+                f"{c}_slot": F.try_element_at(f"_map_{c}", category_column(c)) for c in C.CATEGORICAL
+            }
+            wide = derived.crossJoin(F.broadcast(maps)).withColumns(found)
+            return wide.drop(*[f"_map_{c}" for c in C.CATEGORICAL])
+        salt = F.pmod(F.xxhash64(*C.CATEGORICAL, *NUMERIC), F.lit(SALTS)).cast("int")
+        out = derived.withColumn("_salt", salt)
+        copies = self.slots.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
+        for c in C.CATEGORICAL:
+            own = copies.where(F.col("column") == c).select(
+                F.col("value").alias("_value"), "_salt", F.col("slot").alias(f"{c}_slot")
+            )
+            out = out.withColumn("_value", category_column(c)).join(own, ["_value", "_salt"], "left")
+            out = out.drop("_value")
+        return out.drop("_salt")
 
     def transform(self, derived: DataFrame, keep: Sequence[str] = ()) -> DataFrame:
         """Scaled numerics, one slot number per categorical, and the flags.
 
         The slot is null for a value that was not seen when the state was fitted.
         """
-        out = derived.withColumns(
-            {f"_{c}": category_column(c) for c in C.CATEGORICAL}
-        )
-        for c in C.CATEGORICAL:
-            out = out.join(self.column_slots(c), f"_{c}", "left")
+        out = self.with_slots(derived)
         numeric = self.numeric_columns()
         return out.select(
             *keep,
