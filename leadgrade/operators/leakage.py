@@ -11,6 +11,7 @@ from leadgrade import constants as C
 from leadgrade.functions.clean import r6
 from leadgrade.operators import contingency, splits
 from leadgrade.operators.ranking import cumulative, roc_auc_expr
+from leadgrade.plans.sizing import written
 
 
 def suspect_auc(
@@ -168,9 +169,11 @@ def leakage_report(notes: DataFrame, leads: DataFrame) -> DataFrame:
     joined = notes.where(F.length("text") > 0).select("lead_id", "attitude").join(
         leads.select("lead_id", "converted"), "lead_id"
     )
-    cell = contingency.cells(joined, "attitude", "converted")
+    # Cells, folds and suspects feed a section and the flags each, so they are stored.
+    cell = written(contingency.cells(joined, "attitude", "converted"), "cells")
     whole = F.lit("all")
-    folded, suspects = cv_category_auc(joined, "attitude"), suspect_auc(leads)
+    folded = written(cv_category_auc(joined, "attitude"), "folds")
+    suspects = written(suspect_auc(leads), "suspects")
     balance = cell.agg(
         F.sum("o").alias("n"),
         r6(F.sum(F.col("o") * F.col("col")) / F.sum("o")).alias("positive_rate"),

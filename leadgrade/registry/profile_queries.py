@@ -8,11 +8,13 @@ from leadgrade import constants as C
 from leadgrade.functions.clean import r6
 from leadgrade.functions.scoring import attitude_score
 from leadgrade.functions.text import token_total
-from leadgrade.operators import contingency, leakage, priority, profile
+from leadgrade.operators import contingency, leakage, priority, profile, sketches
 from leadgrade.operators.ranking import argmax_row
+from leadgrade.plans.sizing import work_dir, written
 from leadgrade.registry import views as V
 from leadgrade.registry.core import register
 from leadgrade.registry.views import with_ctes
+from leadgrade.sources import ranked as ranked_store
 
 RAW_AUDIT = tuple(a for a in C.RAW_COLUMNS.values())
 
@@ -472,6 +474,46 @@ def top_list_any_length(spark, sf):
     return priority.top_list(ranked, 5000).select(*PRIORITY_COLUMNS, "total_available")
 
 
+@register(
+    "top_leads_stored",
+    with_ctes(*V.PRIORITY)
+    + f"SELECT {', '.join(PRIORITY_COLUMNS)}, (SELECT count(*) FROM ranked) AS total_available,"
+    + " (SELECT count(*) FROM ranked WHERE priority >= 0.6) AS above_floor"
+    + " FROM ranked WHERE priority >= 0.6 ORDER BY priority DESC, lead_id LIMIT 100",
+)
+def top_leads_stored(spark, sf):
+    """The list out of the stored ranking, of which it reads few files."""
+    path = work_dir(spark, "ranked")
+    ranked_store.write_ranked(V.priority_rows(spark, sf), path)
+    top = ranked_store.top_leads(spark, path, 100, 0.6)
+    above = ranked_store.count_above(spark, path, 0.6)
+    return top.select(*PRIORITY_COLUMNS, "total_available", F.lit(above).cast("long").alias("above_floor"))
+
+
+COUNTED = ("lead_source", "last_activity", "city", "total_time_spent", "lead_id")
+
+
+@register(
+    "distinct_kept",
+    with_ctes(*V.LEADS)
+    + " UNION ALL ".join(
+        f"SELECT '{c}' AS \"column\", count(DISTINCT {c}) AS n_distinct, TRUE AS within_two_percent FROM leads"
+        for c in COUNTED
+    ),
+)
+def distinct_kept(spark, sf):
+    """Distinct values exactly, and from sketches that four loads have left."""
+    leads = V.raw_leads(spark, sf, COUNTED).withColumn("load", F.pmod(F.xxhash64("lead_id"), F.lit(4)))
+    kept = written(sketches.distinct_sketches(leads, COUNTED, "load"), "sketches")
+    long = leads.select(*[F.col(c).cast("string").alias(c) for c in COUNTED])
+    exact = long.unpivot([], list(COUNTED), "column", "value").where("value is not null")
+    exact = exact.distinct().groupBy("column").agg(F.count("*").alias("n_distinct"))
+    off = F.abs(F.col("n_estimate") - F.col("n_distinct")) <= 0.02 * F.col("n_distinct")
+    return exact.join(sketches.distinct_counts(kept), "column").select(
+        "column", "n_distinct", off.alias("within_two_percent")
+    )
+
+
 @register(
     "top_list_empty",
     with_ctes(*V.PRIORITY)
