@@ -5,6 +5,8 @@ from __future__ import annotations
 import os
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 from functools import lru_cache
 
 from pyspark.sql import DataFrame, SparkSession
@@ -29,6 +31,39 @@ def work_dir(spark: SparkSession, name: str) -> str:
     return os.path.join(root, f"{name}-{uuid.uuid4().hex}")
 
 
+class _Scope:
+    def __init__(self):
+        self.tables: list[DataFrame] = []
+        self.kept: list[DataFrame] = []
+
+    def keep(self, table: DataFrame) -> DataFrame:
+        """A table from ``written`` that outlives the scope."""
+        self.kept.append(table)
+        return table
+
+
+_SCOPES: list[_Scope] = []
+
+
+@contextmanager
+def scope() -> Iterator[_Scope]:
+    """Tables that ``written`` stores inside are deleted at the end, but for the kept ones.
+
+    What is kept has to be stored itself, not planned over tables of the scope. A kept
+    table belongs to the scope around, if there is one.
+    """
+    own = _Scope()
+    _SCOPES.append(own)
+    try:
+        yield own
+    finally:
+        _SCOPES.remove(own)
+        held = [id(t) for t in own.kept]
+        release(*[t for t in own.tables if id(t) not in held])
+        if _SCOPES:
+            _SCOPES[-1].tables += own.kept
+
+
 def written(df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` to the shared folder and read it back, which cuts lineage and
     survives the loss of an executor.
@@ -40,6 +75,8 @@ def written(df: DataFrame, name: str) -> DataFrame:
     df.write.parquet(path)
     table = df.sparkSession.read.schema(df.schema).parquet(path)
     table._scratch = path
+    if _SCOPES:
+        _SCOPES[-1].tables.append(table)
     return table
 
 
