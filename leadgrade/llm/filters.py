@@ -8,6 +8,13 @@ from pyspark.sql import functions as F
 from leadgrade.plans.sizing import written
 
 BITS = 1 << 24
+#: The largest filter, whatever the number of keys: 16 MB.
+MOST_BITS = 1 << 27
+
+
+def bits_for(keys: int) -> int:
+    """Bits of a filter that is sparse for so many keys, up to ``MOST_BITS``."""
+    return min(MOST_BITS, max(1 << 16, 1 << (16 * keys).bit_length()))
 
 
 def parted(

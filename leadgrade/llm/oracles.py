@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from leadgrade.llm import cascade, clusters, negatives
+from leadgrade.llm import cascade, clusters, negatives, top_k
 from leadgrade.llm.decontaminate import CONTAINMENT
-from leadgrade.llm.line_dedup import FIXED_SHARE, MIN_FIXED, MIN_TEXTS
+from leadgrade.llm.line_dedup import DIGITS_SHARE, FIXED_SHARE, MIN_FIXED, MIN_TEXTS
 from leadgrade.llm.words import WORD_PATTERN
 
 _SHINGLES = "unnest(list_transform(range(1, len(w) - 3), lambda i: array_to_string(w[i:i + 4], ' ')))"
@@ -37,19 +37,25 @@ known AS (SELECT leaf, line, count(DISTINCT k) AS n FROM placed GROUP BY leaf, l
 tokens AS (
   SELECT leaf, line, n, unnest(t) AS token, unnest(range(len(t))) AS place
   FROM (SELECT *, string_split(line, ' ') AS t FROM known)),
+sizes AS (SELECT leaf, count(*) AS m FROM known GROUP BY leaf),
 fixed AS (
-  SELECT leaf, place, token FROM tokens WHERE token <> '<*>' GROUP BY ALL HAVING sum(n) >= {MIN_TEXTS}),
+  SELECT leaf, place, token FROM tokens JOIN sizes USING (leaf) WHERE token <> '<*>'
+  GROUP BY leaf, place, token, m HAVING 2 * count(*) > m),
 general AS (
   SELECT t.leaf, t.line, any_value(t.n) AS n, count(*) AS size, count(f.token) AS n_fixed,
+    count(*) FILTER (WHERE t.token <> '<*>') AS n_plain,
     string_agg(coalesce(f.token, '<*>'), ' ' ORDER BY t.place) AS template
   FROM tokens t LEFT JOIN fixed f ON f.leaf = t.leaf AND f.place = t.place AND f.token = t.token
   GROUP BY t.leaf, t.line),
+judged AS (
+  SELECT *, n >= {MIN_TEXTS} AND (n_plain = size
+    OR (n_plain >= {MIN_FIXED} AND n_plain >= {DIGITS_SHARE} * size)) AS as_it_is FROM general),
 templates AS (
-  SELECT leaf, line, CASE WHEN n >= {MIN_TEXTS} THEN line ELSE template END AS template FROM general
-  WHERE n >= {MIN_TEXTS} OR (n_fixed >= {MIN_FIXED} AND n_fixed >= {FIXED_SHARE} * size)),
-named AS (SELECT k, line_no, leaf, template FROM placed JOIN templates USING (leaf, line)),
-often AS (SELECT leaf, template FROM named GROUP BY ALL HAVING count(DISTINCT k) >= {MIN_TEXTS}),
-gone AS (SELECT k, line_no, 1 AS gone FROM named JOIN often USING (leaf, template)),
+  SELECT leaf, line, as_it_is, CASE WHEN as_it_is THEN line ELSE template END AS template FROM judged
+  WHERE as_it_is OR (n_fixed >= {MIN_FIXED} AND n_fixed >= {FIXED_SHARE} * size)),
+named AS (SELECT k, line_no, leaf, as_it_is, template FROM placed JOIN templates USING (leaf, line)),
+often AS (SELECT leaf, as_it_is, template FROM named GROUP BY ALL HAVING count(DISTINCT k) >= {MIN_TEXTS}),
+gone AS (SELECT k, line_no, 1 AS gone FROM named JOIN often USING (leaf, as_it_is, template)),
 left_over AS (
   SELECT k, coalesce(string_agg(raw, chr(10) ORDER BY line_no) FILTER (WHERE gone IS NULL), '') AS text,
     count(*) AS n_lines, count(gone) AS n_dropped
@@ -84,6 +90,20 @@ ranked AS (
 SELECT * FROM ranked WHERE rank <= {negatives.NEGATIVES}"""
 
 
+#: Every query against every row.
+TOP_K = f"""
+WITH kept AS MATERIALIZED (
+  SELECT vec_id, list_transform(embedding, lambda x: floor({top_k.SCALE} * CAST(x AS DOUBLE))) AS v
+  FROM embeddings WHERE vec_id IS NOT NULL AND {_USABLE}),
+scored AS (
+  SELECT q.vec_id AS query_id, c.vec_id, CAST(list_dot_product(q.v, c.v) AS BIGINT) AS score
+  FROM kept q JOIN kept c ON q.vec_id % 20 = 0 AND q.vec_id <> c.vec_id AND len(q.v) = len(c.v)),
+ranked AS (
+  SELECT query_id, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS INT) AS rank,
+    vec_id, score FROM scored)
+SELECT * FROM ranked WHERE rank <= {top_k.TOP}"""
+
+
 def clustering() -> str:
     """All distances in each round, and sums by cluster and component between rounds."""
     k, key = clusters.CENTROIDS, f"sha256('{clusters.SEED}:' || CAST(vec_id AS VARCHAR))"

@@ -135,6 +135,7 @@ QUERIES |= {
 
 ORACLES |= {
     "op2_decontamination": oracles.DECONTAMINATION,
+    "op4_exact_top_k": oracles.TOP_K,
     "op10_line_dedup": oracles.LINE_DEDUP,
     "op11_hard_negatives": oracles.HARD_NEGATIVES,
     "op12_centroid_clusters": oracles.CLUSTERING,

@@ -157,20 +157,23 @@ def brute_lines(texts, least):
             words = re.sub(r"\S*[0-9]\S*", "<*>", line).split()
             if words:
                 lines[(len(words), *words[:2]), tuple(words)].add((k, i))
-    fixed = Counter()
-    for (leaf, words), where in lines.items():
+    fixed, size = Counter(), Counter()
+    for leaf, words in lines:
+        size[leaf] += 1
         for at, w in enumerate(words):
-            fixed[leaf, at, w] += len({k for k, _ in where}) * (w != "<*>")
+            fixed[leaf, at, w] += w != "<*>"
     template, texts_of = {}, defaultdict(set)
     for (leaf, words), where in lines.items():
-        parts = tuple(w if fixed[leaf, at, w] >= least else "<*>" for at, w in enumerate(words))
-        n = sum(p != "<*>" for p in parts)
-        if len({k for k, _ in where}) >= least:
+        parts = tuple(w if 2 * fixed[leaf, at, w] > size[leaf] else "<*>" for at, w in enumerate(words))
+        n, plain = (sum(p != "<*>" for p in x) for x in (parts, words))
+        own = len({k for k, _ in where}) >= least
+        own = own and (plain == len(words) or (plain >= 4 and plain >= 0.5 * len(words)))
+        if own:
             parts = words
         elif n < 4 or n < 0.75 * len(words):
             continue
-        template[leaf, words] = leaf, parts
-        texts_of[leaf, parts] |= {k for k, _ in where}
+        template[leaf, words] = leaf, own, parts
+        texts_of[leaf, own, parts] |= {k for k, _ in where}
     gone = defaultdict(set)
     for key, name in template.items():
         if len(texts_of[name]) >= least:
@@ -204,6 +207,42 @@ def test_recurring_lines_against_whole_lists(spark):
     assert line_dedup.drop_lines(copies).where("text = ''").count() == 0
 
 
+@pytest.mark.parametrize("part", [1, 1 << 14])
+def test_templates_do_not_change_when_lines_are_multiplied(spark, monkeypatch, part):
+    monkeypatch.setattr(line_dedup, "PART", part)
+    rng = np.random.default_rng(9)
+    names, months = [f"name{'abcdefghijklmnop'[i % 16]}{'xyz'[i % 3]}" for i in range(30)], ["may", "june", "july", "march"]
+
+    def texts(copies):
+        out = []
+        for c in range(copies):
+            for i, name in enumerate(names):
+                line = f"This article was written by {name} in {months[(i + c) % 4]}"
+                out.append(f"{' '.join(prose(rng, 9))}\n{line}\n{' '.join(prose(rng, 7))}\n{c} {i} {i * 3}")
+        return out
+
+    for copies in (1, 12):
+        rows = texts(copies)
+        docs = spark.createDataFrame(rows_of(rows), SCHEMA)
+        got = {r["doc_id"]: r["text"] for r in line_dedup.drop_lines(docs).collect()}
+        want = brute_lines(rows, 10)
+        for i, t in enumerate(rows):
+            assert got[i] == want[t] == "\n".join(x for n, x in enumerate(t.split("\n")) if n != 1)
+
+
+def test_lines_of_odd_and_very_long_texts(spark):
+    long = "\n".join(f"a very long text with line {i} of its own kind" for i in range(30_000))
+    texts = ["x" * 3_000_000, long, "\t\x0b one  two\tthree\r", " one two three", "\n\none two three\n", "", "7", "7 8 9"]
+    rows = [(i, t, "_k", "_d") for i, t in enumerate(texts)] + [(99, None, "_k", "_d")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, _key string, _dropped string")
+    out = line_dedup.drop_lines(docs, 3)
+    assert out.columns == docs.columns
+    got = {r["doc_id"]: r for r in out.collect()}
+    want = brute_lines(texts, 3)
+    assert all(got[i]["text"] == want[t] for i, t in enumerate(texts)) and got[99]["text"] is None
+    assert got[2]["text"] == "" and got[4]["text"] == "\n\n" and got[0]["_key"] == "_k" and got[0]["_dropped"] == "_d"
+
+
 def test_passages_are_found_and_short_ones_left(spark):
     rng = np.random.default_rng(9)
     shared, edited, short = prose(rng, 60), prose(rng, 120), prose(rng, 30)
