@@ -137,8 +137,8 @@ def _salts() -> Column:
 
 
 def recurring_lines(docs: DataFrame, min_texts: int = MIN_TEXTS) -> DataFrame:
-    """(key, dropped): the md5 of a text and the numbers (from 0) of its lines whose template
-    is found in at least ``min_texts`` different texts."""
+    """(key, dropped): the md5 of a text and a bitmap of its lines whose template is found in
+    at least ``min_texts`` different texts: line i is bit i % 64 of word i / 64."""
     with scope() as kept:
         return kept.keep(_recurring(docs, min_texts))
 
@@ -186,11 +186,14 @@ def _recurring(docs: DataFrame, min_texts: int) -> DataFrame:
     )
     gone = templates.where("found").select("leaf", "line")
     gone = written(gone.union(likely.join(often, ["leaf", "template"]).select("leaf", "line")), "gone")
-    return written(
-        lines.select("key", "line_no", "leaf", "line").join(gone, ["leaf", "line"])
-        .groupBy("key").agg(F.array_sort(F.collect_set("line_no")).alias("dropped")),
-        "dropped",
-    )
+    rows = lines.select("key", "line_no", "leaf", "line").join(gone, ["leaf", "line"])
+    bit = F.expr("shiftleft(1L, line_no & 63)")
+    words = rows.groupBy("key", F.shiftright("line_no", 6).alias("at")).agg(F.bit_or(bit).alias("word"))
+    lists = words.groupBy("key").agg(
+        F.max("at").alias("last"), F.map_from_entries(F.collect_list(F.struct("at", "word"))).alias("found")
+    )
+    dense = F.transform(F.sequence(F.lit(0), "last"), lambda i: F.coalesce(F.try_element_at("found", i), F.lit(0)))
+    return written(lists.select("key", dense.cast("array<long>").alias("dropped")), "dropped")
 
 
 def drop_lines(docs: DataFrame, min_texts: int = MIN_TEXTS) -> DataFrame:
@@ -216,7 +219,7 @@ def _free(docs: DataFrame, name: str) -> str:
 
 
 def _marked(docs: DataFrame, min_texts: int) -> tuple[DataFrame, str]:
-    """``docs`` with the numbers of the lines to drop, null if there are none, and the name
+    """``docs`` with the bitmap of the lines to drop, null if there are none, and the name
     of that column."""
     key, own = _free(docs, "_key"), _free(docs, "_dropped")
     dropped = recurring_lines(docs, min_texts).toDF(key, own)
@@ -225,13 +228,17 @@ def _marked(docs: DataFrame, min_texts: int) -> tuple[DataFrame, str]:
     known = F.coalesce(key, F.unhex(F.lit("00")))
     some, rest = parted(rows, known, dropped.select(key), bits_for(dropped.count()))
     marked = some.join(dropped, key, "left").select(*docs.columns, own).union(
-        rest.select(*docs.columns, F.lit(None).cast("array<int>").alias(own))
+        rest.select(*docs.columns, F.lit(None).cast("array<long>").alias(own))
     )
     return marked, own
 
 
 def _left(dropped: str) -> Column:
-    kept = F.filter(F.split("text", "\n"), lambda _, i: ~F.array_contains(dropped, i))
+    def stays(_, i: Column) -> Column:
+        word = F.coalesce(F.try_element_at(dropped, F.shiftright(i, 6) + 1), F.lit(0).cast("long"))
+        return F.getbit(word, i.bitwiseAND(63)) == 0
+
+    kept = F.filter(F.split("text", "\n"), stays)
     return F.when(F.col(dropped).isNull(), F.col("text")).otherwise(F.array_join(kept, "\n"))
 
 
@@ -240,7 +247,8 @@ def line_report(docs: DataFrame, min_texts: int = MIN_TEXTS) -> DataFrame:
     number of lines it had (null text: 0) and of those dropped."""
     marked, dropped = _marked(docs.select("doc_id", "text"), min_texts)
     n_lines = F.coalesce(F.size(F.split("text", "\n")), F.lit(0)).cast("long")
-    n_dropped = F.coalesce(F.size(dropped), F.lit(0)).cast("long")
+    ones = F.aggregate(dropped, F.lit(0).cast("long"), lambda a, w: a + F.bit_count(w))
+    n_dropped = F.coalesce(ones, F.lit(0)).cast("long")
     return marked.select(
         "doc_id", _left(dropped).alias("text"), n_lines.alias("n_lines"), n_dropped.alias("n_dropped")
     )
