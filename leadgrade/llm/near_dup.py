@@ -21,9 +21,9 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from leadgrade.llm.components import components
-from leadgrade.llm.filters import maybe_in, parted
+from leadgrade.llm.filters import bits_for, maybe_in, parted
 from leadgrade.llm.words import counted, mix, pieces, seeded, shingles, word_hashes
-from leadgrade.plans.sizing import written
+from leadgrade.plans.sizing import release, scope, written
 
 BANDS, ROWS = 20, 5
 SIMILARITY = 0.8
@@ -218,8 +218,13 @@ def text_classes(docs: DataFrame, threshold: float = SIMILARITY) -> DataFrame:
     Each text is first tested against the smallest node of its buckets (up to
     ``PIVOTS`` different ones). Texts that share a bucket and are still apart then
     meet in chunks of bounded size, so no link within a bucket is lost and no group is
-    gathered in one task.
+    gathered in one task. What the steps store is deleted at the end.
     """
+    with scope() as kept:
+        return kept.keep(written(_text_classes(docs, threshold), "classes"))
+
+
+def _text_classes(docs: DataFrame, threshold: float) -> DataFrame:
     texts = docs.select(F.md5("text").alias("hex"), F.lower("text").alias("text")).where(
         "text is not null"
     )
@@ -230,8 +235,9 @@ def text_classes(docs: DataFrame, threshold: float = SIMILARITY) -> DataFrame:
         .where("pivot <> last").select("bucket", "pivot"),
         "buckets",
     )
-    members = maybe_in(rows, F.col("bucket"), shared.select("bucket"))
+    members = maybe_in(rows, F.col("bucket"), shared.select("bucket"), bits_for(shared.count()))
     members = written(members.join(shared, "bucket").distinct(), "members")
+    release(rows, shared)
     stars = (
         members.where("node <> pivot")
         .groupBy("node")
@@ -240,8 +246,9 @@ def text_classes(docs: DataFrame, threshold: float = SIMILARITY) -> DataFrame:
     )
     stars = written(stars, "stars")
     wanted = written(members.select("node").distinct(), "wanted")
-    likely = maybe_in(texts, F.col("node"), wanted)
-    texts = written(likely.join(wanted, "node", "left_semi").dropDuplicates(["node"]), "texts")
+    # An inner join: a semi join would be pushed below the filter, and shuffle all texts.
+    likely = maybe_in(texts, F.col("node"), wanted, bits_for(wanted.count()))
+    texts = written(likely.join(wanted, "node").dropDuplicates(["node"]), "texts")
     links = written(_verify(stars, texts, threshold), "links")
     parts = components(links)
     apart = _apart(members, parts, stars)
