@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable, Iterator
 
 import pandas as pd
-from pyspark.ml import Pipeline, PipelineModel
+from pyspark.ml import PipelineModel
 from pyspark.ml.classification import LogisticRegression
 from pyspark.ml.feature import IDF, HashingTF, IndexToString, RegexTokenizer, StringIndexer
 from pyspark.sql import Column, DataFrame
@@ -23,6 +23,7 @@ from leadgrade.functions.text import (
     reply_struct,
     reply_tokens,
 )
+from leadgrade.plans.sizing import release, written
 
 
 def note_length_gate(
@@ -118,25 +119,22 @@ def classify_with(
 def train_note_classifier(
     notes: DataFrame, label: str = "attitude", features: int = 1 << 14
 ) -> PipelineModel:
-    """Bag-of-words attitude model; hashing needs no vocabulary on the driver."""
-    stages = [
-        StringIndexer(
-            inputCol=label, outputCol="_y", stringOrderType="alphabetAsc"
-        ),
-        RegexTokenizer(
-            inputCol="text", outputCol="_words", pattern=r"[^\p{L}\p{N}]+"
-        ),
-        HashingTF(inputCol="_words", outputCol="_tf", numFeatures=features),
-        IDF(inputCol="_tf", outputCol="_x"),
-        LogisticRegression(
-            featuresCol="_x", labelCol="_y", predictionCol="_p", regParam=0.01, maxIter=20
-        ),
-    ]
-    model = Pipeline(stages=stages).fit(notes)
-    back = IndexToString(
-        inputCol="_p", outputCol="predicted_attitude", labels=model.stages[0].labels
-    )
-    return PipelineModel([*model.stages[1:], back])
+    """Bag-of-words attitude model; hashing needs no vocabulary on the driver.
+
+    Texts are tokenised and hashed once; the steps that learn read the stored vectors.
+    """
+    words = RegexTokenizer(inputCol="text", outputCol="_words", pattern=r"[^\p{L}\p{N}]+")
+    hashed = HashingTF(inputCol="_words", outputCol="_tf", numFeatures=features)
+    text = PipelineModel([words, hashed])
+    stored = written(text.transform(notes).select(label, "_tf"), "hashed-notes")
+    index = StringIndexer(inputCol=label, outputCol="_y", stringOrderType="alphabetAsc").fit(stored)
+    weights = IDF(inputCol="_tf", outputCol="_x").fit(stored)
+    regression = LogisticRegression(
+        featuresCol="_x", labelCol="_y", predictionCol="_p", regParam=0.01, maxIter=20
+    ).fit(weights.transform(index.transform(stored)))
+    release(stored)
+    back = IndexToString(inputCol="_p", outputCol="predicted_attitude", labels=index.labels)
+    return PipelineModel([words, hashed, weights, regression, back])
 
 
 def classify_notes(model: PipelineModel, notes: DataFrame) -> DataFrame:
