@@ -22,6 +22,13 @@ BLOCK = frozenset(
     "figcaption figure footer form h1 h2 h3 h4 h5 h6 header hgroup html li main menu nav ol p "
     "pre section summary table tbody td tfoot th thead tr ul".split()
 )
+#: All that may stand in a head; anything else ends it, said or not.
+HEAD = frozenset(
+    "base basefont bgsound head html link meta noframes noscript script style template title".split()
+)
+#: Elements without text of their own that other elements may follow; one that is never
+#: closed takes nothing else with it.
+OPEN_ENDED = frozenset("svg math object select noscript template".split())
 #: A start tag that ends an open element, and up to which ancestor it is looked for.
 ENDS = {
     "li": (("li",), ("ul", "ol", "menu")),
@@ -58,6 +65,8 @@ class Page:
                 return
 
     def _start(self, name: str, attributes: str) -> None:
+        if name not in HEAD:
+            self._close(("head",), ("body",))
         if name in BLOCK:
             self._close(("p",), ("button", "td", "th", "article", "section", "div", "li"))
         if name in ENDS:
@@ -90,6 +99,8 @@ class Page:
             if name is None:
                 piece = m.group()
                 if piece[0] != "<" or piece == "<":
+                    if self.tag[self._open[-1]] == "head" and piece.strip():
+                        self._open.pop()
                     self.text.append((self._open[-1], piece))
                 continue
             name = name.lower()
@@ -104,7 +115,7 @@ class Page:
                 continue
             if name in RAW:
                 end = re.compile(rf"</{re.escape(name)}(?=[\s/>])[^>]*>", re.I).search(source, at)
-                at = end.end() if end else n
+                at = end.end() if end else at if name in OPEN_ENDED else n
                 continue
             self._open.append(len(self.tag) - 1)
 

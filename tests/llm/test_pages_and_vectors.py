@@ -14,6 +14,14 @@ KEPT = {
     "<a href=x>l</a": "l",
     "": "",
     "<td> 1 \n\t 2 <td>3": "1 2\n3",
+    "<html><head><title>t</title><meta x><body><p>a": "a",
+    "<head><link href=x><p>a</p><p>b": "a\nb",
+    "<html><head><style>s</style> <div>a</div>b</html>": "a\nb",
+    "<head><title>t</title>plain <b>text</b>": "plain text",
+    "<html><body><p>a<p>b</html>": "a\nb",
+    "<table><tr><td>a<table><tr><td>b<td>c</table>d<td>e</table>f": "a\nb\nc\nd\ne\nf",
+    "<p>a<select><option>x</p><p>b</p>": "ax\nb",
+    "<p>a<select><option>x</select>c</p><p>b</p>": "ac\nb",
 }
 
 
@@ -54,6 +62,16 @@ def test_articles_of_the_table(spark, sf_dir, tree_model):
         assert r["text"] == page.blocks(inside) and r["n_chars"] == len(r["text"])
 
 
+def test_a_page_without_the_end_of_its_head(spark, tree_model):
+    body = "".join(f"<p>Here is sentence {i} of a report that goes on for quite a while.</p>" for i in range(8))
+    whole = f"<html><head><title>T</title><meta charset=u></head><body><article><h1>R</h1>{body}</article></body></html>"
+    cut = whole.replace("</head>", "").replace("</body></html>", "")
+    bare = cut.replace("<body>", "")
+    table = spark.createDataFrame([(i, "u", s) for i, s in enumerate((whole, cut, bare))], "page_id long, url string, html string")
+    texts = {r["text"] for r in extract.extract(table, tree_model).collect()}
+    assert len(texts) == 1 and "sentence 7" in texts.pop()
+
+
 def test_other_layouts(spark, tree_model):
     body = "".join(f"<p>This is paragraph {i} of the story, and it goes on for a while.</p>" for i in range(6))
     source = (
