@@ -35,9 +35,12 @@ _ROWS = "x array<double>, label double, weight double, fold int"
 
 
 def rows_of(table: DataFrame) -> DataFrame:
-    """(label, features, weight, fold) with plain arrays, stored: every step reads it."""
+    """(label, features, weight, fold) with plain arrays, stored: every step reads it. A small
+    table is dealt out, so that all slots share the steps."""
+    slots = table.sparkSession.sparkContext.defaultParallelism
+    spread = table if table.rdd.getNumPartitions() >= slots else table.repartition(slots)
     return written(
-        table.select(
+        spread.select(
             vector_to_array("features").alias("x"), F.col("label").cast("double").alias("label"),
             F.col("weight").cast("double").alias("weight"), F.col("fold").cast("int").alias("fold"),
         ), "rows",

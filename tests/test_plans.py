@@ -8,6 +8,13 @@ import __spark_entry__ as entry
 from leadgrade.registry import all_queries
 
 EAGER = {
+    "trained_splits",
+    "tree_contributions",
+    "contributions_add_up",
+    "model_bundle",
+    "model_bundle_sizes",
+    "scored_leads",
+    "classified_notes",
     "train_lr",
     "train_gbt",
     "feature_importance",
