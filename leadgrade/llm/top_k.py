@@ -1,10 +1,11 @@
 """Exact top-k inner products by the threshold algorithm.
 
 Vectors become small integers. Candidates lie in blocks; a block has a list of its
-vectors for every dimension, sorted by their value there. A query reads its lists from
-the end that its sign favours. What no list has shown down to a depth can't score above
-the sum of the query's weights times the values at that depth; as soon as that bound
-is below the query's k-th best so far, the rest of the block is left.
+vectors for every dimension, sorted by their value there. A query reads its lists in
+rounds from the end that its sign favours, deeper where its weight is larger. Rows that a
+list shows for the first time are scored whole (a random access). What no list has shown
+can't score above the sum of the query's weights times the next unread values; as soon as
+that bound is below the query's k-th best, the rest of the block is left.
 """
 
 from __future__ import annotations
@@ -21,10 +22,14 @@ from leadgrade.plans.sizing import written
 
 SCALE = 64.0
 TOP = 20
-BLOCK, QUERY_BLOCK = 4096, 1024
+#: Rows of a block at most, and its bytes.
+BLOCK, QUERY_BLOCK = 1 << 16, 256
+BYTES = 32 << 20
 #: Candidate blocks that one task goes through for a block of queries.
-STRIPE = 4
-DEPTHS = (0, 4, 16, 64, 256, 1024)
+STRIPE = 2
+#: A round reads at least so many entries of the list of the largest weight, then a quarter of
+#: those read so far, and at most this part of the list.
+STEP, PART = 16, 64
 _EXACT = float(1 << 53)
 _LONG = (1 << 63) - 1
 
@@ -45,7 +50,7 @@ def quantised(vectors: DataFrame, scale: float = SCALE) -> DataFrame:
 
 
 def _blocked(limit: int):
-    """Rows to blocks (dim, ids, values) of at most ``limit`` vectors of one length."""
+    """Rows to blocks (dim, ids, values) of at most ``limit`` vectors of one length and ``BYTES``."""
 
     def block(dim: int, parts: list) -> pa.RecordBatch:
         ids = np.concatenate([p[0] for p in parts])
@@ -67,12 +72,13 @@ def _blocked(limit: int):
                 at = pa.array(np.flatnonzero(dims == dim))
                 ids = batch["vec_id"].take(at).to_numpy()
                 values = batch["values"].take(at).flatten().to_numpy().reshape(-1, dim)
+                most = max(1, min(limit, BYTES // (8 * int(dim))))
                 while len(ids):
-                    room = limit - count.get(dim, 0)
+                    room = most - count.get(dim, 0)
                     held.setdefault(int(dim), []).append((ids[:room], values[:room]))
                     count[dim] = count.get(dim, 0) + min(room, len(ids))
                     ids, values = ids[room:], values[room:]
-                    if count[dim] == limit:
+                    if count[dim] == most:
                         yield block(int(dim), held.pop(int(dim)))
                         count[dim] = 0
         for dim, parts in held.items():
@@ -101,7 +107,10 @@ def _matrix(values: bytes, dim: int) -> np.ndarray:
 
 
 def _products(q: np.ndarray, c: np.ndarray) -> np.ndarray:
-    """Exact inner products of all rows; those out of the range of long stop at its end."""
+    """Exact inner products of all rows; those out of the range of long stop at its end.
+    Rows in double are known to stay exact."""
+    if q.dtype == c.dtype == np.float64:
+        return (q @ c.T).astype(np.int64)
     most = float(np.abs(q.astype(float)).max(initial=0)) * float(np.abs(c.astype(float)).max(initial=0))
     if most * q.shape[1] < _EXACT:
         return (q.astype(np.float64) @ c.astype(np.float64).T).astype(np.int64)
@@ -127,32 +136,57 @@ class _Best:
             self.floor[i] = float(self.scores[i][-1])
 
 
-def _search(q: np.ndarray, own: np.ndarray, c: np.ndarray, ids: np.ndarray, best: _Best) -> None:
-    """Put the block (c, ids) into the best of the queries (q, own)."""
-    n, dim = c.shape
-    order = np.argsort(c, axis=0, kind="stable")
-    up, down = np.maximum(q, 0).astype(float), np.minimum(q, 0).astype(float)
-    depth = np.full(len(q), n)
-    slack = 1e-9 * (np.abs(q).astype(float) @ np.abs(c).astype(float).max(axis=0)) + 0.5
-    for t in reversed([d for d in DEPTHS if d < n]):
-        # The value at which each list stands after t entries, from above and from below.
-        high = c[order[n - 1 - t], np.arange(dim)].astype(float)
-        low = c[order[t], np.arange(dim)].astype(float)
-        bound = up @ high + down @ low + slack
-        depth[bound < best.floor] = t
-    for t in np.unique(depth):
-        who = np.flatnonzero(depth == t)
-        if t == 0:
-            continue
-        if t == n:
-            _merge(q[who], own[who], who, c, ids, best)
-            continue
-        for i in who:
-            shown = np.unique(
-                np.concatenate([order[n - t :, q[i] > 0].ravel(), order[:t, q[i] < 0].ravel()])
-            )
-            if len(shown):
-                _merge(q[i : i + 1], own[i : i + 1], np.array([i]), c[shown], ids[shown], best)
+class _Lists:
+    """The rows of a block, and for every dimension their places in order of value."""
+
+    def __init__(self, c: np.ndarray, ids: np.ndarray):
+        self.ids, self.n = ids, len(c)
+        self.most = float(np.abs(c.astype(float)).max(initial=0))
+        self.whole, self.double = c, c.astype(np.float64)
+        self.places = np.stack([np.argsort(x, kind="stable").astype(np.int32) for x in c.T])
+
+
+def _search(q: np.ndarray, own: np.ndarray, c: np.ndarray, ids: np.ndarray, best: _Best) -> np.ndarray:
+    """Put the block (c, ids) into the best of the queries (q, own); the sorted and random
+    accesses of every query."""
+    lists = _Lists(c, ids)
+    return np.array([_read(q[i : i + 1], own[i : i + 1], i, lists, best) for i in range(len(q))]).reshape(-1, 2)
+
+
+def _read(q: np.ndarray, own: np.ndarray, i: int, lists: _Lists, best: _Best) -> tuple[int, int]:
+    """The threshold algorithm for one query over one block."""
+    n, weight = lists.n, np.abs(q[0].astype(float))
+    exact = float(weight.max()) * lists.most * len(weight) < _EXACT
+    q, rows = (q.astype(np.float64), lists.double) if exact else (q, lists.whole)
+    slack = 0.0 if exact else 1e-9 * float(weight.sum()) * lists.most + 0.5
+    if not weight.any():
+        # All scores are 0, so one list, read whole, decides by the ids.
+        weight[0] = 1.0
+    used = np.flatnonzero(weight)
+    share, places = weight[used] / weight.max(), lists.places[used]
+    up, signed = q[0][used] > 0, q[0][used].astype(float)
+    shown = np.zeros(n, bool)
+    reach, depth = 0, np.zeros(len(used), np.int64)
+    sorted_reads = random_reads = 0
+    while random_reads < n:
+        unread = places[np.arange(len(used)), np.where(up, n - 1 - depth, depth)]
+        if float(signed @ lists.double[unread, used]) + slack < best.floor[i]:
+            break
+        reach = min(n, reach + max(STEP, min(reach // 4, n // PART)))
+        deeper = np.minimum(np.ceil(share * reach).astype(np.int64), n)
+        parts = [
+            x[n - b : n - a] if high else x[a:b]
+            for x, high, a, b in zip(places, up, depth.tolist(), deeper.tolist(), strict=True)
+        ]
+        sorted_reads += int((deeper - depth).sum())
+        depth = deeper
+        seen = np.concatenate(parts)
+        fresh = np.unique(seen[~shown[seen]])
+        if len(fresh):
+            shown[fresh] = True
+            random_reads += len(fresh)
+            _merge(q, own, [i], rows[fresh], lists.ids[fresh], best)
+    return sorted_reads, random_reads
 
 
 def _merge(q, own, who, c, ids, best: _Best) -> None:
@@ -167,8 +201,9 @@ def _merge(q, own, who, c, ids, best: _Best) -> None:
             best.add(i, line[near], ids[near])
 
 
-FOUND = "query_id long, vec_id long, score long"
+FOUND = "query_id long, vec_id long, score long, sorted_accesses long, random_accesses long, candidates long"
 RANKED = "query_id long, rank int, vec_id long, score long"
+ACCESSES = ("sorted_accesses", "random_accesses", "candidates")
 
 
 def _stripe(k: int):
@@ -176,19 +211,24 @@ def _stripe(k: int):
         out = []
         for q in queries.itertuples():
             own, values = np.frombuffer(q.ids, np.int64), _matrix(q.values, q.dim)
-            best = _Best(len(own), k)
+            best, reads = _Best(len(own), k), np.zeros((len(own), 3), np.int64)
             for b in blocks.sort_values("cblock").itertuples():
                 if b.dim == q.dim:
-                    _search(values, own, _matrix(b.values, b.dim), np.frombuffer(b.ids, np.int64), best)
+                    ids = np.frombuffer(b.ids, np.int64)
+                    reads[:, :2] += _search(values, own, _matrix(b.values, b.dim), ids, best)
+                    reads[:, 2] += len(ids)
             for i, found in enumerate(best.ids):
-                out.append((np.full(len(found), own[i]), found, best.scores[i]))
-        columns = [np.concatenate(x) for x in zip(*out, strict=True)] if out else [[], [], []]
-        return pd.DataFrame(dict(zip(("query_id", "vec_id", "score"), columns, strict=True)), dtype="int64")
+                # Accesses stand at the first row of a query, so that their sum counts them once.
+                counts = np.zeros((len(found), 3), np.int64)
+                counts[:1] = reads[i]
+                out.append((np.full(len(found), own[i]), found, best.scores[i], *counts.T))
+        columns = [np.concatenate(x) for x in zip(*out, strict=True)] if out else [[]] * 6
+        return pd.DataFrame(dict(zip(("query_id", "vec_id", "score", *ACCESSES), columns, strict=True)), dtype="int64")
 
     return run
 
 
-def top_k(vectors: DataFrame, queries: DataFrame, k: int = TOP) -> DataFrame:
+def top_k(vectors: DataFrame, queries: DataFrame, k: int = TOP, accesses: bool = False) -> DataFrame:
     """(query_id, rank, vec_id, score): the ``k`` best of ``vectors`` for each of ``queries``
     (both vec_id, embedding), without those that have the query's own id.
 
@@ -196,21 +236,28 @@ def top_k(vectors: DataFrame, queries: DataFrame, k: int = TOP) -> DataFrame:
     vec_id; fewer candidates give fewer rows. Only vectors of the query's length
     are compared. Left-out vectors: see ``quantised``. Equal rows are candidates each;
     a query id that occurs more than once is answered from all of its rows together.
-    Blocks of queries meet stripes of candidate blocks, one pair a task.
+    Blocks of queries meet stripes of candidate blocks, one pair a task; a block's lists are
+    whole, and a later block of a stripe starts from the k-th best of those before it.
+    With ``accesses`` each row also has its query's sorted_accesses (entries read from lists),
+    random_accesses (rows scored) and candidates (rows in the blocks it met).
     """
     c = _numbered(_blocks(quantised(vectors), BLOCK, "block"), "cblock")
     q = _numbered(_blocks(quantised(queries), QUERY_BLOCK, "block"), "qblock")
     c = c.withColumn("stripe", F.floor(F.col("cblock") / STRIPE))
+    more = ACCESSES if accesses else ()
     n_queries, n_stripes = q.count(), -(-c.count() // STRIPE)
     if not n_queries or not n_stripes:
-        return q.sparkSession.createDataFrame([], RANKED)
+        return q.sparkSession.createDataFrame([], ", ".join([RANKED, *(f"{x} long" for x in more)]))
     # Each block goes to every task that needs it: pairs of blocks, not of vectors.
     c = c.withColumn("qblock", F.explode(F.sequence(F.lit(0), F.lit(n_queries - 1))))
     q = q.withColumn("stripe", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(n_stripes - 1).cast("long"))))
     found = q.groupBy("qblock", "stripe").cogroup(c.groupBy("qblock", "stripe")).applyInPandas(_stripe(k), FOUND)
-    order = Window.partitionBy("query_id").orderBy(F.col("score").desc(), "vec_id")
+    own = Window.partitionBy("query_id")
+    order = own.orderBy(F.col("score").desc(), "vec_id")
+    for name in more:
+        found = found.withColumn(name, F.sum(name).over(own))
     return (
         found.withColumn("rank", F.row_number().over(order))
         .where(F.col("rank") <= k)
-        .select("query_id", F.col("rank").cast("int").alias("rank"), "vec_id", "score")
+        .select("query_id", F.col("rank").cast("int").alias("rank"), "vec_id", "score", *more)
     )
