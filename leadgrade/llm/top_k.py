@@ -5,7 +5,8 @@ vectors for every dimension, sorted by their value there. A query reads its list
 rounds from the end that its sign favours, deeper where its weight is larger. Rows that a
 list shows for the first time are scored whole (a random access). What no list has shown
 can't score above the sum of the query's weights times the next unread values; as soon as
-that bound is below the query's k-th best, the rest of the block is left.
+that bound is below the query's k-th best, the rest of the block is left. A few
+queries of like direction read the lists together.
 """
 
 from __future__ import annotations
@@ -30,7 +31,9 @@ STRIPE = 2
 #: A round reads at least so many entries of the list of the largest weight, then a quarter of
 #: those read so far, and at most this part of the list.
 STEP, PART = 16, 64
-_EXACT = float(1 << 53)
+#: Queries that read the lists together.
+TOGETHER = 16
+_EXACT, _EXACT_SINGLE = float(1 << 53), float(1 << 24)
 _LONG = (1 << 63) - 1
 
 
@@ -108,8 +111,8 @@ def _matrix(values: bytes, dim: int) -> np.ndarray:
 
 def _products(q: np.ndarray, c: np.ndarray) -> np.ndarray:
     """Exact inner products of all rows; those out of the range of long stop at its end.
-    Rows in double are known to stay exact."""
-    if q.dtype == c.dtype == np.float64:
+    Rows in floating point are known to stay exact."""
+    if q.dtype == c.dtype and q.dtype.kind == "f":
         return (q @ c.T).astype(np.int64)
     most = float(np.abs(q.astype(float)).max(initial=0)) * float(np.abs(c.astype(float)).max(initial=0))
     if most * q.shape[1] < _EXACT:
@@ -136,57 +139,54 @@ class _Best:
             self.floor[i] = float(self.scores[i][-1])
 
 
-class _Lists:
-    """The rows of a block, and for every dimension their places in order of value."""
-
-    def __init__(self, c: np.ndarray, ids: np.ndarray):
-        self.ids, self.n = ids, len(c)
-        self.most = float(np.abs(c.astype(float)).max(initial=0))
-        self.whole, self.double = c, c.astype(np.float64)
-        self.places = np.stack([np.argsort(x, kind="stable").astype(np.int32) for x in c.T])
-
-
 def _search(q: np.ndarray, own: np.ndarray, c: np.ndarray, ids: np.ndarray, best: _Best) -> np.ndarray:
     """Put the block (c, ids) into the best of the queries (q, own); the sorted and random
     accesses of every query."""
-    lists = _Lists(c, ids)
-    return np.array([_read(q[i : i + 1], own[i : i + 1], i, lists, best) for i in range(len(q))]).reshape(-1, 2)
-
-
-def _read(q: np.ndarray, own: np.ndarray, i: int, lists: _Lists, best: _Best) -> tuple[int, int]:
-    """The threshold algorithm for one query over one block."""
-    n, weight = lists.n, np.abs(q[0].astype(float))
-    exact = float(weight.max()) * lists.most * len(weight) < _EXACT
-    q, rows = (q.astype(np.float64), lists.double) if exact else (q, lists.whole)
-    slack = 0.0 if exact else 1e-9 * float(weight.sum()) * lists.most + 0.5
-    if not weight.any():
-        # All scores are 0, so one list, read whole, decides by the ids.
-        weight[0] = 1.0
-    used = np.flatnonzero(weight)
-    share, places = weight[used] / weight.max(), lists.places[used]
-    up, signed = q[0][used] > 0, q[0][used].astype(float)
-    shown = np.zeros(n, bool)
-    reach, depth = 0, np.zeros(len(used), np.int64)
-    sorted_reads = random_reads = 0
-    while random_reads < n:
-        unread = places[np.arange(len(used)), np.where(up, n - 1 - depth, depth)]
-        if float(signed @ lists.double[unread, used]) + slack < best.floor[i]:
+    size = np.abs(q.astype(float)).max(initial=0) * np.abs(c.astype(float)).max(initial=0) * q.shape[1]
+    kind = np.float32 if size < _EXACT_SINGLE else np.float64 if size < _EXACT else np.int64
+    slack = 0.0 if size < _EXACT else 1e-9 * size + 0.5
+    places = np.stack([np.argsort(x, kind="stable").astype(np.int32) for x in c.T])
+    rows, reads = c.astype(kind), np.zeros((len(q), 2), np.int64)
+    strongest = np.abs(q).argmax(axis=1)
+    order = np.lexsort((q[np.arange(len(q)), strongest], strongest))
+    for at in range(0, len(q), TOGETHER):
+        who = order[at : at + TOGETHER]
+        reads[who] = _read(q[who], own[who], who, rows, places, ids, best, slack)
+    return reads
+
+
+def _read(q, own, who, rows, places, ids, best: _Best, slack: float) -> np.ndarray:
+    """The threshold algorithm for a few queries over the lists ``places`` of a block, read from
+    both ends; a query counts the accesses made while it was open."""
+    dim, n = places.shape
+    each, plus, minus = np.arange(dim), np.maximum(q, 0).astype(float), np.minimum(q, 0).astype(float)
+    strongest = np.maximum(np.abs(q.astype(float)).max(axis=1, keepdims=True), 1)
+    share_top, share_low = plus / strongest, -minus / strongest
+    # Where all scores are 0 the ids decide, so one list is read whole.
+    share_top[~q.any(axis=1), 0] = 1.0
+    top, low = np.zeros(dim, np.int64), np.zeros(dim, np.int64)
+    shown, left, reach = np.zeros(n, bool), n, 0
+    going, reads = np.arange(len(who)), np.zeros((len(who), 2), np.int64)
+    while left:
+        high, least = (rows[places[each, x], each].astype(float) for x in (n - 1 - top, low))
+        bound = plus[going] @ high + minus[going] @ least + slack
+        going = going[bound >= best.floor[who[going]]]
+        if not len(going):
             break
         reach = min(n, reach + max(STEP, min(reach // 4, n // PART)))
-        deeper = np.minimum(np.ceil(share * reach).astype(np.int64), n)
-        parts = [
-            x[n - b : n - a] if high else x[a:b]
-            for x, high, a, b in zip(places, up, depth.tolist(), deeper.tolist(), strict=True)
-        ]
-        sorted_reads += int((deeper - depth).sum())
-        depth = deeper
-        seen = np.concatenate(parts)
-        fresh = np.unique(seen[~shown[seen]])
+        tops = np.maximum(top, np.ceil(share_top[going].max(axis=0) * reach).astype(np.int64))
+        lows = np.maximum(low, np.ceil(share_low[going].max(axis=0) * reach).astype(np.int64))
+        seen = [x[n - b : n - a] for x, a, b in zip(places, top.tolist(), tops.tolist(), strict=True)]
+        seen += [x[a:b] for x, a, b in zip(places, low.tolist(), lows.tolist(), strict=True)]
+        now = np.zeros(n, bool)
+        now[np.concatenate(seen)] = True
+        fresh = np.flatnonzero(now & ~shown)
+        shown[fresh] = True
+        reads[going] += int((tops - top).sum() + (lows - low).sum()), len(fresh)
+        top, low, left = tops, lows, left - len(fresh)
         if len(fresh):
-            shown[fresh] = True
-            random_reads += len(fresh)
-            _merge(q, own, [i], rows[fresh], lists.ids[fresh], best)
-    return sorted_reads, random_reads
+            _merge(q[going].astype(rows.dtype), own[going], who[going], rows[fresh], ids[fresh], best)
+    return reads
 
 
 def _merge(q, own, who, c, ids, best: _Best) -> None:
@@ -238,8 +238,8 @@ def top_k(vectors: DataFrame, queries: DataFrame, k: int = TOP, accesses: bool =
     a query id that occurs more than once is answered from all of its rows together.
     Blocks of queries meet stripes of candidate blocks, one pair a task; a block's lists are
     whole, and a later block of a stripe starts from the k-th best of those before it.
-    With ``accesses`` each row also has its query's sorted_accesses (entries read from lists),
-    random_accesses (rows scored) and candidates (rows in the blocks it met).
+    With ``accesses`` each row also has its query's sorted_accesses (entries read from lists while
+    it was open), random_accesses (rows scored) and candidates (rows in the blocks it met).
     """
     c = _numbered(_blocks(quantised(vectors), BLOCK, "block"), "cblock")
     q = _numbered(_blocks(quantised(queries), QUERY_BLOCK, "block"), "qblock")
