@@ -4,12 +4,14 @@ Features are cut into bins once and kept as bytes. A tree grows in rounds: gradi
 summed by leaf, feature and bin, each leaf's best cut follows from these sums, and the
 leaves of greatest gain are split until the tree has its number of leaves. Gradients are
 whole multiples of a small step, so sums are exact and the trees depend neither on
-partitions nor on the order of rows.
+partitions nor on the order of rows. Only bins other than a feature's usual one are summed;
+the usual bin has the rest of its leaf, so that a row costs as many steps as it has unusual
+values, however many one-hot features there are.
 
 A table whose bins fit a task's memory goes to one task per model (cell and fold), all at the
 same time. A larger one stays in blocks: each round is one pass that sums the histograms of
-all models, merges them by model and leaf, and brings back one cut per leaf. Both ways run
-the same steps on the same sums and give the same trees.
+all models, merges them by model and leaf, and brings them back, one for every leaf that was
+split. Both ways run the same steps on the same sums and give the same trees.
 """
 
 from __future__ import annotations
@@ -20,17 +22,20 @@ from typing import NamedTuple
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+from pyspark import RDD, StorageLevel
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from leadgrade.plans.partials import merged
 from leadgrade.plans.sizing import release, written
 
 #: Bins of a feature, at most.
 BINS = 255
-#: Rows of a block, and bytes of bins up to which a task trains a model alone.
-BLOCK, TASK_BYTES = 1 << 14, 8 << 20
+#: Rows of a block, and bytes of bins up to which a task trains a model alone. Fewer models than
+#: slots would leave slots idle: a quarter of these bytes is their limit.
+BLOCK, TASK_BYTES = 1 << 14, 128 << 20
+#: Bytes of all tasks' sums of a pass that are merged without another stage.
+MERGE_BYTES = 8 << 20
 #: Blocks keep their margins for so many trees before they are written again.
 KEEP = 10
 #: Gradients are multiples of 1 / STEP.
@@ -146,6 +151,18 @@ class Growth:
             self.open, self.waiting = [], {}
         return chosen
 
+    def smaller(self, split: Sequence[int]) -> dict[int, int]:
+        """Of every split leaf with a child that is open, the child of fewer rows: its sums are
+        taken, the other has the rest of its parent's."""
+        wanted = [n for n in split if set(self.nodes[n][2:]) & set(self.open)]
+        return {min(self.nodes[n][2:], key=lambda c: self.sums[c][2]): n for n in wanted}
+
+    def learn(self, known: dict[int, np.ndarray], small: dict[int, int], found: Sequence[np.ndarray]) -> None:
+        """Put the sums of both children in the place of their parent's."""
+        for (child, node), sums in zip(small.items(), found, strict=True):
+            a, b = self.nodes[node][2:]
+            known[child], known[a + b - child] = sums, known.pop(node) - sums
+
     def tree(self) -> Tree:
         feature, cut, left, right = (np.array(x, np.int32) for x in zip(*self.nodes, strict=True))
         sums = np.array(self.sums)
@@ -173,10 +190,45 @@ def gradients(margin: np.ndarray, label: np.ndarray, weight: np.ndarray) -> np.n
 
 def histogram(places: np.ndarray, slot: np.ndarray, stats: np.ndarray, slots: int, width: int) -> np.ndarray:
     """(slots, 3, width): sums of ``stats`` by slot and place; ``places`` is (features, rows)."""
-    key = (places + slot * width).ravel()
-    out = [np.bincount(key, np.broadcast_to(s, places.shape).ravel(), slots * width) for s in stats[:2]]
-    out.append(np.bincount(key, minlength=slots * width).astype(float))
-    return np.stack(out).reshape(3, slots, width).transpose(1, 0, 2)
+    out = np.zeros((3, slots * width))
+    for low in range(0, places.shape[1], BLOCK):
+        at = slice(low, low + BLOCK)
+        key = places[:, at] + slot[at] * width
+        shape, key = key.shape, key.ravel()
+        for i, s in enumerate(stats[:2]):
+            out[i] += np.bincount(key, np.broadcast_to(s[at], shape).ravel(), slots * width)
+        out[2] += np.bincount(key, minlength=slots * width)
+    return out.reshape(3, slots, width).transpose(1, 0, 2)
+
+
+class Unusual(NamedTuple):
+    """Places of the bins other than their feature's usual one, (most of a row, rows), filled up
+    with the place after the last; and the usual bin of every feature."""
+
+    places: np.ndarray
+    usual: np.ndarray
+
+
+def unusual(bins: np.ndarray, starts: np.ndarray) -> Unusual:
+    """What ``leaf_sums`` reads of ``bins`` (features, rows)."""
+    usual = np.array([np.bincount(b, minlength=1).argmax() for b in bins], np.int64)
+    most = max((np.count_nonzero(bins != usual[:, None], axis=0).max(initial=0)), 1)
+    places = np.full((most, bins.shape[1]), starts[-1], np.int32)
+    for low in range(0, bins.shape[1], BLOCK):
+        part = bins[:, low : low + BLOCK]
+        row, feature = np.nonzero((part != usual[:, None]).T)
+        turn = np.arange(len(row)) - np.searchsorted(row, row)
+        places[turn, low + row] = starts[feature] + part[feature, row]
+    return Unusual(places, usual)
+
+
+def leaf_sums(own: Unusual, starts: np.ndarray, rows: np.ndarray | slice, slot: np.ndarray, stats: np.ndarray, slots: int) -> np.ndarray:
+    """``histogram`` of all bins for some ``rows``; ``slot`` and ``stats`` are those of these rows."""
+    found = histogram(own.places[:, rows], slot, stats, slots, int(starts[-1]) + 1)[:, :, :-1].copy()
+    whole = np.stack([np.bincount(slot, s, slots) for s in stats], axis=1)
+    rest = whole[:, :, None] - np.add.reduceat(found, starts[:-1], axis=2)
+    found[:, :, starts[:-1] + own.usual] += rest
+    return found
 
 
 def class_weights(label: np.ndarray, weight: np.ndarray) -> tuple[int, int]:
@@ -194,12 +246,11 @@ def train_alone(
     base: float, min_rows: int = MIN_ROWS,
 ) -> list[Tree]:
     """All trees of one model over rows that are in memory."""
-    places = (bins.astype(np.int64) + starts[:-1, None]).astype(np.int64)
-    width, margin, trees = int(starts[-1]), np.full(len(label), base), []
+    own, margin, trees = unusual(bins, starts), np.full(len(label), base), []
     for _ in range(spec.trees):
         stats = gradients(margin, label, weight)
         growth, leaf = Growth(spec, min_rows), np.zeros(len(label), np.int32)
-        known = {0: histogram(places, np.zeros(len(label), np.int64), stats, 1, width)[0]}
+        known = {0: leaf_sums(own, starts, slice(None), np.zeros(len(label), np.int64), stats, 1)[0]}
         while growth.open or growth.waiting:
             cuts = best_cuts(np.stack([known[n] for n in growth.open]), starts, min_rows) if growth.open else None
             split = growth.advance(cuts)
@@ -209,18 +260,14 @@ def train_alone(
                 feature, cut, a, b = growth.nodes[node]
                 rows = np.flatnonzero(leaf == node)
                 leaf[rows] = np.where(bins[feature, rows] <= cut, a, b)
-            # Sums of the smaller child; the other has the rest of its parent's.
-            wanted = [n for n in split if set(growth.nodes[n][2:]) & set(growth.open)]
-            small = [min(growth.nodes[n][2:], key=lambda c: growth.sums[c][2]) for n in wanted]
+            small = growth.smaller(split)
             if not small:
                 continue
             slot = np.full(len(growth.nodes), -1)
-            slot[small] = np.arange(len(small))
+            slot[list(small)] = np.arange(len(small))
             rows = np.flatnonzero(slot[leaf] >= 0)
-            found = histogram(places[:, rows], slot[leaf[rows]], stats[:, rows], len(small), width)
-            for node, child, sums in zip(wanted, small, found, strict=True):
-                a, b = growth.nodes[node][2:]
-                known[child], known[a + b - child] = sums, known.pop(node) - sums
+            found = leaf_sums(own, starts, rows, slot[leaf[rows]], stats[:, rows], len(small))
+            growth.learn(known, small, found)
         tree = growth.tree()
         trees.append(tree)
         margin += tree.value[leaf]
@@ -281,8 +328,11 @@ def _to_blocks(bins: Bins, rows: int):
 
 
 def blocks(table: DataFrame, bins: Bins, rows: int = BLOCK) -> DataFrame:
-    """(n, bins, label, weight, fold): rows of (label, features, weight, fold) in blocks."""
-    x = table.select(
+    """(n, bins, label, weight, fold): rows of (label, features, weight, fold) in blocks. A small
+    table is dealt out, so that all slots share the passes."""
+    slots = table.sparkSession.sparkContext.defaultParallelism
+    spread = table if table.rdd.getNumPartitions() >= slots else table.repartition(slots)
+    x = spread.select(
         vector_to_array("features").alias("x"), F.col("label").cast("double").alias("label"),
         F.col("weight").cast("double").alias("weight"), F.col("fold").cast("int").alias("fold"),
     )
@@ -367,86 +417,117 @@ def _margins(r, specs, bases, width: int, trees: list[list[Tree]]) -> np.ndarray
     return out
 
 
-def _sum_blocks(specs, bases, starts: np.ndarray, trees, growing: dict[int, tuple[Tree, list[int]]]):
-    """Per partition: the histogram of every open leaf of the growing trees."""
-    width, last = len(starts) - 1, int(starts[-1])
+def _read(specs, bases, starts: np.ndarray):
+    """A stored block as (bins, places, label, weight, fold, margins)."""
+    width = len(starts) - 1
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        total: dict[int, np.ndarray] = {}
-        for batch in batches:
-            for r in batch.to_pylist():
-                margins = _margins(r, specs, bases, width, trees)
-                bins, label, weight, fold = opened(r, width)
-                places = bins.astype(np.int64) + starts[:-1, None]
-                for m, (tree, wanted) in growing.items():
-                    slot = np.full(len(tree.left), -1)
-                    slot[wanted] = np.arange(len(wanted))
-                    own = slot[leaf_of(tree, bins)]
-                    rows = np.flatnonzero((own >= 0) & (fold != specs[m].fold))
-                    stats = gradients(margins[m][rows], label[rows], weight[rows])
-                    found = histogram(places[:, rows], own[rows], stats, len(wanted), last)
-                    total[m] = total[m] + found if m in total else found
-        rows = [
-            (m, leaf, total[m][i].astype(np.int64).tobytes())
-            for m, (_, wanted) in growing.items()
-            for i, leaf in enumerate(wanted)
-            if m in total
-        ]
-        yield pa.RecordBatch.from_arrays(
-            [pa.array([r[0] for r in rows], pa.int32()), pa.array([r[1] for r in rows], pa.int32()),
-             pa.array([r[2] for r in rows], pa.binary())], names=["model", "leaf", "sums"],
-        )
+    def run(row):
+        r = row.asDict()
+        margins = _margins(r, specs, bases, width, [])
+        bins, label, weight, fold = opened(r, width)
+        return bins, unusual(bins, starts), label, weight, fold, margins
 
     return run
 
 
-def _cuts_of(state, parts: int, specs, bases, starts, trees, growing, min_rows: int) -> dict[int, Cuts]:
-    """One pass: the best cut of every open leaf of every growing tree."""
-    sums = state.mapInArrow(
-        _sum_blocks(specs, bases, starts, trees, growing), "model int, leaf int, sums binary"
-    )
+def _grown(trees: Sequence[Tree | None]):
+    """A block with the margins after one more tree of every model."""
 
-    def cut(total: np.ndarray) -> tuple:
-        c = best_cuts(total.reshape(1, 3, -1).astype(float), starts, min_rows)
-        return float(c.gain[0]), int(c.feature[0]), int(c.bin[0]), c.left[0].tolist(), c.whole[0].tolist()
-
-    kinds = "gain double, feature int, cut int, lower array<double>, total array<double>"
-    rows = merged(sums, ("model", "leaf"), cut, kinds, np.int64, parts)
-    by_leaf = {(r["model"], r["leaf"]): r for r in rows.collect()}
-    out = {}
-    for m, (_, wanted) in growing.items():
-        own = [by_leaf[m, leaf] for leaf in wanted]
-        columns = (np.array([r[c] for r in own]) for c in ("gain", "feature", "cut", "lower", "total"))
-        out[m] = Cuts(*columns)
-    return out
+    def run(block):
+        bins, *others, margins = block
+        more = [0.0 if t is None else t.value[leaf_of(t, bins)] for t in trees]
+        return bins, *others, np.stack([m + x for m, x in zip(margins, more, strict=True)])
+
+    return run
+
+
+def _sum_blocks(specs, starts: np.ndarray, growing: dict[int, tuple[Tree, list[int]]]):
+    """Per partition: ((model, leaf), histogram) of every open leaf of the growing trees."""
+
+    def run(blocks):
+        total: dict[int, np.ndarray] = {}
+        for bins, places, label, weight, fold, margins in blocks:
+            for m, (tree, wanted) in growing.items():
+                slot = np.full(len(tree.left), -1)
+                slot[wanted] = np.arange(len(wanted))
+                own = slot[leaf_of(tree, bins)]
+                rows = np.flatnonzero((own >= 0) & (fold != specs[m].fold))
+                stats = gradients(margins[m][rows], label[rows], weight[rows])
+                found = leaf_sums(places, starts, rows, own[rows], stats, len(wanted)).astype(np.int64)
+                total[m] = total[m] + found if m in total else found
+        for m, sums in total.items():
+            for leaf, own in zip(growing[m][1], sums, strict=True):
+                yield (m, leaf), own
+
+    return run
+
+
+def _sums_of(state: RDD, specs, starts, growing) -> dict[int, list[np.ndarray]]:
+    """One pass: the histogram of every wanted leaf of every growing tree. Their number is the
+    trees', not the rows'."""
+    leaves = sum(len(wanted) for _, wanted in growing.values())
+    sums = state.mapPartitions(_sum_blocks(specs, starts, growing))
+    parts = state.getNumPartitions()
+    if parts * leaves * int(starts[-1]) * 24 <= MERGE_BYTES:
+        found: dict = {}
+        for key, own in sums.collect():
+            found[key] = found[key] + own if key in found else own
+    else:
+        found = sums.reduceByKey(np.add, min(leaves, parts)).collectAsMap()
+    # A model that sees no row has no sums.
+    none = np.zeros((3, int(starts[-1])), np.int64)
+    return {m: [found.get((m, leaf), none).astype(float) for leaf in wanted] for m, (_, wanted) in growing.items()}
 
 
 def _train_in_passes(stored: DataFrame, specs: Sequence[Spec], starts: np.ndarray, bases, min_rows: int) -> list[list[Tree]]:
     specs, width = list(specs), len(starts) - 1
     found: list[list[Tree]] = [[] for _ in specs]
     state, schema, since = stored, f"{_BLOCK}, margins binary", 0
-    parts = state.rdd.getNumPartitions()
+
+    def read(table: DataFrame) -> RDD:
+        return table.rdd.map(_read(specs, bases, starts)).persist(StorageLevel.MEMORY_AND_DISK)
+
+    held, spent = read(stored), []
     for t in range(max(s.trees for s in specs)):
         if t - since == KEEP:
-            # The margins so far are stored, so a pass never repeats more than a few trees.
+            # The margins so far are stored, so a lost block never repeats more than a few trees.
             fresh = written(
                 state.mapInArrow(_with_margins(specs, bases, width, [f[since:] for f in found]), schema), "margins"
             )
+            for rows in (held, *spent):
+                rows.unpersist()
             if state is not stored:
                 release(state)
-            state, since, parts = fresh, t, fresh.rdd.getNumPartitions()
+            state, since, held, spent = fresh, t, read(fresh), []
         growths = {m: Growth(s, min_rows) for m, s in enumerate(specs) if t < s.trees}
-        busy = dict(growths)
-        while busy:
-            growing = {m: (_unfinished(g), g.open) for m, g in busy.items() if g.open}
-            since_then = [f[since:] for f in found]
-            cuts = _cuts_of(state, parts, specs, bases, starts, since_then, growing, min_rows) if growing else {}
-            for m, g in list(busy.items()):
-                g.advance(cuts.get(m))
-                if not g.open and not g.waiting:
-                    del busy[m]
+        known: dict[int, dict[int, np.ndarray]] = {m: {} for m in growths}
+        growing = {m: (_unfinished(g), [0]) for m, g in growths.items()}
+        small: dict[int, dict[int, int]] = {}
+        while growing:
+            sums = _sums_of(held, specs, starts, growing)
+            while spent:
+                spent.pop().unpersist()
+            for m in list(growing):
+                g = growths[m]
+                if m in small:
+                    g.learn(known[m], small[m], sums[m])
+                else:
+                    known[m][0] = sums[m][0]
+                small[m] = {}
+                while (g.open or g.waiting) and not small[m]:
+                    cuts = best_cuts(np.stack([known[m][n] for n in g.open]), starts, min_rows) if g.open else None
+                    split = g.advance(cuts)
+                    small[m] = g.smaller(split)
+                    if not split:
+                        break
+            growing = {m: (_unfinished(growths[m]), list(small[m])) for m in growing if small[m]}
         for m, g in growths.items():
             found[m].append(g.tree())
+        spent.append(held)
+        last = [found[m][t] if m in growths else None for m in range(len(specs))]
+        held = held.map(_grown(last)).persist(StorageLevel.MEMORY_AND_DISK)
+    for rows in (held, *spent):
+        rows.unpersist()
     if state is not stored:
         release(state)
     return found
@@ -484,7 +565,8 @@ def train(
     bases = [
         log_odds(*[sum(r[c] for r in by_fold if r["fold"] != s.fold) for c in ("pos", "neg")]) for s in specs
     ]
-    if n * width <= task_bytes:
+    slots = stored.sparkSession.sparkContext.defaultParallelism
+    if n * width <= (task_bytes if len(specs) >= slots else task_bytes // 4):
         found = _train_apart(stored, specs, starts, bases, min_rows, tasks)
     else:
         found = _train_in_passes(stored, specs, starts, bases, min_rows)

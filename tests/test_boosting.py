@@ -76,6 +76,42 @@ def test_best_cut_against_every_cut():
     assert found.gain[0] == pytest.approx(best[0]) and (found.feature[0], found.bin[0]) == best[1]
 
 
+def test_sums_of_unusual_bins_give_the_whole_histogram():
+    rng = np.random.default_rng(5)
+    hot = np.eye(150, dtype=np.uint8)[rng.integers(0, 150, 20_000)].T
+    codes = np.concatenate([rng.integers(0, 9, (3, 20_000)).astype(np.uint8), hot, np.zeros((1, 20_000), np.uint8)])
+    starts = boosting.Bins([np.arange(8.0)] * 3 + [np.zeros(1)] * 150 + [np.zeros(0)]).starts
+    stats = boosting.gradients(rng.normal(size=20_000), (rng.random(20_000) < 0.4).astype(float), np.ones(20_000))
+    rows = np.flatnonzero(rng.random(20_000) < 0.7)
+    slot = rng.integers(0, 5, len(rows))
+    own = boosting.unusual(codes, starts)
+    assert own.places.shape[0] <= 4  # three numbers and one hot feature a row
+    found = boosting.leaf_sums(own, starts, rows, slot, stats[:, rows], 6)
+    places = codes[:, rows].astype(np.int64) + starts[:-1, None]
+    assert np.array_equal(found, boosting.histogram(places, slot, stats[:, rows], 6, int(starts[-1])))
+    none = boosting.leaf_sums(own, starts, rows[:0], slot[:0], stats[:, :0], 2)
+    assert none.shape == (2, 3, starts[-1]) and not none.any()
+
+
+def test_passes_sum_the_smaller_child_alone(table, monkeypatch):
+    data = table(1500)
+    bins = boosting.find_bins(data, 5)
+    stored, specs = boosting.blocks(data, bins), [boosting.Spec(9, 0, 0.1, 3)]
+    whole = boosting.train(stored, specs, bins)
+    seen, sums_of = [], boosting._sums_of
+
+    def counted(state, specs, starts, growing):
+        seen.append(sum(len(wanted) for _, wanted in growing.values()))
+        return sums_of(state, specs, starts, growing)
+
+    monkeypatch.setattr(boosting, "_sums_of", counted)
+    monkeypatch.setattr(boosting, "MERGE_BYTES", 0)
+    parts = boosting.train(stored, specs, bins, task_bytes=0)
+    assert same(whole[0][1], parts[0][1])
+    # The root, and one child of each split at most.
+    assert sum(seen) <= sum(1 + (t.left >= 0).sum() for t in parts[0][1])
+
+
 def test_auc_like_spark_ml_on_the_same_cell(table):
     train, test = table(6000, 1), table(6000, 2)
     cell = {"maxDepth": (4,), "stepSize": (0.1,), "maxIter": (40,)}
