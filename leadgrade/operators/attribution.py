@@ -79,25 +79,43 @@ def base_value(start: float, trees: Sequence[Tree]) -> float:
     return start + sum(p.value * p.share for t in trees for p in paths(t))
 
 
-def contributions(rows: np.ndarray, trees: Sequence[Tree]) -> np.ndarray:
+#: Rows that are worked on at once, and features of a path up to which its cases are looked up in a table.
+ROWS, MOST_BITS = 4096, 16
+
+
+def contributions(rows: np.ndarray, trees: Sequence[Tree], known: Sequence[_Path] | None = None) -> np.ndarray:
     """(rows, features): what every feature adds to the score; base value plus a row's sum is
-    its margin."""
-    out = np.zeros(rows.shape)
-    for tree in trees:
-        for path in paths(tree):
-            d = len(path.features)
-            if not d or not path.value:
-                continue
-            x = rows[:, path.features]
-            follows = (x > path.low) & (x <= path.high)
-            t, weight = np.polynomial.legendre.leggauss((d + 1) // 2)
-            t, weight = (t + 1) / 2, weight / 2
-            # (features, rows, points); all factors are above zero inside of (0, 1).
-            factor = path.z[:, None, None] * (1 - t) + follows.T[:, :, None] * t
-            product = factor.prod(axis=0) * weight
-            gain = (product[None] / factor).sum(axis=2)
-            out[:, path.features] += path.value * ((follows - path.z).T * gain).T
-    return out
+    its margin. ``known`` are the paths of all trees, for a caller that has several batches.
+
+    What a path adds depends on which of its features a row follows it at, so it is worked out
+    once for each such case that occurs, not for each row."""
+    x = np.ascontiguousarray(rows.T)
+    out = np.zeros(x.shape)
+    for path in [p for t in trees for p in paths(t)] if known is None else known:
+        d = len(path.features)
+        if not d or not path.value:
+            continue
+        code = np.zeros(len(rows), np.int64)
+        for i, (f, low, high) in enumerate(zip(path.features, path.low, path.high, strict=True)):
+            code |= ((x[f] > low) & (x[f] <= high)).astype(np.int64) << i
+        if d <= MOST_BITS:
+            cases = np.flatnonzero(np.bincount(code, minlength=1 << d))
+            place = np.empty(1 << d, np.int64)
+            place[cases] = np.arange(len(cases))
+            own = place[code]
+        else:
+            cases, own = np.unique(code, return_inverse=True)
+        follows = (cases[:, None] >> np.arange(d)) & 1
+        t, weight = np.polynomial.legendre.leggauss((d + 1) // 2)
+        t, weight = (t + 1) / 2, weight / 2
+        # (features, cases, points); all factors are above zero inside of (0, 1).
+        factor = path.z[:, None, None] * (1 - t) + follows.T[:, :, None] * t
+        product = factor.prod(axis=0) * weight
+        gain = (product[None] / factor).sum(axis=2)
+        added = path.value * ((follows - path.z).T * gain)
+        for f, share in zip(path.features, added, strict=True):
+            out[f] += share[own]
+    return np.ascontiguousarray(out.T)
 
 
 def explain(model, vectors: DataFrame, keep: Sequence[str] = ("lead_id",)) -> DataFrame:
@@ -111,12 +129,13 @@ def explain(model, vectors: DataFrame, keep: Sequence[str] = ("lead_id",)) -> Da
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         start, base, trees = sent.value
+        known = [p for t in trees for p in paths(t)]
         for batch in batches:
-            for at in range(0, batch.num_rows, 1024):
-                part = batch.slice(at, 1024)
+            for at in range(0, batch.num_rows, ROWS):
+                part = batch.slice(at, ROWS)
                 n = part.num_rows
                 x = part["_x"].flatten().to_numpy(zero_copy_only=False).reshape(n, size)
-                shares = contributions(x, trees)
+                shares = contributions(x, trees, known)
                 offsets = pa.array(np.arange(0, n * size + 1, size, dtype=np.int32))
                 columns = [
                     *[part[c] for c in keep],
