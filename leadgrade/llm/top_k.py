@@ -6,7 +6,11 @@ rounds from the end that its sign favours, deeper where its weight is larger. Ro
 list shows for the first time are scored whole (a random access). What no list has shown
 can't score above the sum of the query's weights times the next unread values; as soon as
 that bound is below the query's k-th best, the rest of the block is left. A few
-queries of like direction read the lists together.
+queries of like direction read the lists together, and many once several such groups
+in a row had to be shown nearly the whole block.
+
+Blocks keep their numbers as narrow as they fit. Large blocks of queries meet stripes of
+candidate blocks, so that few copies of the candidates are moved and a task holds one stripe.
 """
 
 from __future__ import annotations
@@ -23,16 +27,21 @@ from leadgrade.plans.sizing import written
 
 SCALE = 64.0
 TOP = 20
-#: Rows of a block at most, and its bytes.
-BLOCK, QUERY_BLOCK = 1 << 16, 256
+#: Rows of a block at most, and its bytes at eight a component.
+BLOCK, QUERY_BLOCK = 1 << 16, 1024
 BYTES = 32 << 20
-#: Candidate blocks that one task goes through for a block of queries.
-STRIPE = 2
+#: Bytes, as stored, of the candidate blocks that one task goes through for a block of queries;
+#: fewer where there would be less than so many tasks a slot.
+STRIPE_BYTES, TASKS = 8 << 20, 4
+#: Tasks at most; beyond that a task takes several pairs, one after the other.
+PARTS = 2000
 #: A round reads at least so many entries of the list of the largest weight, then a quarter of
 #: those read so far, and at most this part of the list.
 STEP, PART = 16, 64
-#: Queries that read the lists together.
-TOGETHER = 16
+#: Queries that read the lists together; so many after a few groups in a row that were shown
+#: more than a part of the block.
+TOGETHER, WIDE = 16, 128
+ROW, WHOLE = 4, 0.9
 _EXACT, _EXACT_SINGLE = float(1 << 53), float(1 << 24)
 _LONG = (1 << 63) - 1
 
@@ -52,6 +61,12 @@ def quantised(vectors: DataFrame, scale: float = SCALE) -> DataFrame:
     )
 
 
+def _narrow(values: np.ndarray) -> np.ndarray:
+    """``values`` in the smallest whole numbers that hold them all."""
+    low, high = int(values.min(initial=0)), int(values.max(initial=0))
+    return values.astype(next(t for t in (np.int8, np.int16, np.int32, np.int64) if np.iinfo(t).min <= low and high <= np.iinfo(t).max))
+
+
 def _blocked(limit: int):
     """Rows to blocks (dim, ids, values) of at most ``limit`` vectors of one length and ``BYTES``."""
 
@@ -62,7 +77,7 @@ def _blocked(limit: int):
             {
                 "dim": pa.array([dim], pa.int32()),
                 "ids": pa.array([ids.astype(np.int64).tobytes()], pa.binary()),
-                "values": pa.array([values.astype(np.int64).tobytes()], pa.binary()),
+                "values": pa.array([_narrow(values).tobytes()], pa.binary()),
             }
         )
 
@@ -105,15 +120,15 @@ def _numbered(blocks: DataFrame, name: str) -> DataFrame:
     return blocks.join(written(numbers, name), "block").drop("block")
 
 
-def _matrix(values: bytes, dim: int) -> np.ndarray:
-    return np.frombuffer(values, np.int64).reshape(-1, dim)
+def _matrix(values: bytes, dim: int, rows: int) -> np.ndarray:
+    return np.frombuffer(values, f"i{len(values) // (dim * rows)}").reshape(-1, dim)
 
 
 def _products(q: np.ndarray, c: np.ndarray) -> np.ndarray:
     """Exact inner products of all rows; those out of the range of long stop at its end.
-    Rows in floating point are known to stay exact."""
+    Rows in floating point are known to stay exact, and so do their products."""
     if q.dtype == c.dtype and q.dtype.kind == "f":
-        return (q @ c.T).astype(np.int64)
+        return q @ c.T
     most = float(np.abs(q.astype(float)).max(initial=0)) * float(np.abs(c.astype(float)).max(initial=0))
     if most * q.shape[1] < _EXACT:
         return (q.astype(np.float64) @ c.astype(np.float64).T).astype(np.int64)
@@ -122,36 +137,57 @@ def _products(q: np.ndarray, c: np.ndarray) -> np.ndarray:
 
 
 class _Best:
-    """The k best (score, id) of every query of a block so far."""
+    """The k best (score, id) of every query of a block so far, in a row each, and how many."""
 
     def __init__(self, queries: int, k: int):
         self.k = k
-        self.scores = [np.zeros(0, np.int64)] * queries
-        self.ids = [np.zeros(0, np.int64)] * queries
+        self.held = np.zeros((queries, 2, k), np.int64)
+        self.count = np.zeros(queries, np.int64)
         self.floor = np.full(queries, -np.inf)
 
-    def add(self, i: int, scores: np.ndarray, ids: np.ndarray) -> None:
-        scores = np.concatenate([self.scores[i], scores])
-        ids = np.concatenate([self.ids[i], ids])
-        order = np.lexsort((ids, ~scores))[: self.k]
-        self.scores[i], self.ids[i] = scores[order], ids[order]
-        if len(order) == self.k:
-            self.floor[i] = float(self.scores[i][-1])
+    @property
+    def scores(self) -> list[np.ndarray]:
+        return [x[0, :n] for x, n in zip(self.held, self.count.tolist(), strict=True)]
+
+    @property
+    def ids(self) -> list[np.ndarray]:
+        return [x[1, :n] for x, n in zip(self.held, self.count.tolist(), strict=True)]
+
+    def add(self, who: np.ndarray, scores: np.ndarray, ids: np.ndarray) -> None:
+        """Put (score, id) into the best of ``who``, in order: a number of a query for each."""
+        new, first, n = np.unique(who, return_index=True, return_counts=True)
+        shape = (len(new), self.k + int(n.max()))
+        row = np.repeat(np.arange(len(new)), n)
+        place = self.k + np.arange(len(who)) - np.repeat(first, n)
+        both, none = np.zeros((2, *shape), np.int64), np.ones(shape, bool)
+        both[:, :, : self.k] = self.held[new].transpose(1, 0, 2)
+        none[:, : self.k] = np.arange(self.k) >= self.count[new, None]
+        both[0, row, place], both[1, row, place], none[row, place] = scores, ids, False
+        order = np.lexsort((both[1], ~both[0], none), axis=-1)[:, : self.k]
+        self.held[new] = np.take_along_axis(both, order[None], axis=2).transpose(1, 0, 2)
+        self.count[new] = np.minimum(self.count[new] + n, self.k)
+        full = new[self.count[new] == self.k]
+        self.floor[full] = self.held[full, 0, -1]
 
 
 def _search(q: np.ndarray, own: np.ndarray, c: np.ndarray, ids: np.ndarray, best: _Best) -> np.ndarray:
     """Put the block (c, ids) into the best of the queries (q, own); the sorted and random
     accesses of every query."""
-    size = np.abs(q.astype(float)).max(initial=0) * np.abs(c.astype(float)).max(initial=0) * q.shape[1]
+    q = q.astype(np.int64)
+    most = max(abs(int(c.max(initial=0))), abs(int(c.min(initial=0))))
+    size = np.abs(q.astype(float)).max(initial=0) * float(most) * q.shape[1]
     kind = np.float32 if size < _EXACT_SINGLE else np.float64 if size < _EXACT else np.int64
     slack = 0.0 if size < _EXACT else 1e-9 * size + 0.5
-    places = np.stack([np.argsort(x, kind="stable").astype(np.int32) for x in c.T])
+    places = np.stack([np.argsort(np.ascontiguousarray(x), kind="stable").astype(np.int32) for x in c.T])
     rows, reads = c.astype(kind), np.zeros((len(q), 2), np.int64)
     strongest = np.abs(q).argmax(axis=1)
     order = np.lexsort((q[np.arange(len(q)), strongest], strongest))
-    for at in range(0, len(q), TOGETHER):
-        who = order[at : at + TOGETHER]
+    at = row = 0
+    while at < len(q):
+        who = order[at : at + (WIDE if row >= ROW else TOGETHER)]
         reads[who] = _read(q[who], own[who], who, rows, places, ids, best, slack)
+        row = row + 1 if reads[who, 1].max() > WHOLE * len(c) else 0
+        at += len(who)
     return reads
 
 
@@ -189,41 +225,56 @@ def _read(q, own, who, rows, places, ids, best: _Best, slack: float) -> np.ndarr
     return reads
 
 
-def _merge(q, own, who, c, ids, best: _Best) -> None:
-    scores = _products(q, c)
-    for row, i in enumerate(who):
-        line = scores[row]
-        near = np.flatnonzero((line >= best.floor[i]) & (ids != own[row]))
-        if len(near) > 4 * best.k:
-            kth = np.partition(line[near], len(near) - best.k)[len(near) - best.k]
-            near = near[line[near] >= kth]
-        if len(near):
-            best.add(i, line[near], ids[near])
+def _below(floor: np.ndarray, kind: np.dtype) -> np.ndarray:
+    """``floor`` as ``kind``, rounded down."""
+    if kind.kind != "f":
+        return floor
+    found = floor.astype(kind)
+    return np.where(found > floor, np.nextafter(found, kind.type(-np.inf)), found)
 
 
-FOUND = "query_id long, vec_id long, score long, sorted_accesses long, random_accesses long, candidates long"
+def _merge(q, own, who, c, ids, best: _Best) -> None:
+    scores = _products(q, c)
+    near = np.flatnonzero((scores >= _below(best.floor[who], scores.dtype)[:, None]).ravel())
+    row, col = np.divmod(near, len(ids))
+    other = ids[col] != own[row]
+    row, col = row[other], col[other]
+    found, many = scores[row, col].astype(np.int64), np.bincount(row, minlength=len(who))
+    if many.max(initial=0) > 4 * best.k:
+        keep, ends = np.ones(len(row), bool), np.cumsum(many)
+        for i in np.flatnonzero(many > 4 * best.k):
+            line = slice(ends[i] - many[i], ends[i])
+            keep[line] = found[line] >= np.partition(found[line], many[i] - best.k)[many[i] - best.k]
+        row, col, found = row[keep], col[keep], found[keep]
+    if len(row):
+        turn = np.argsort(who[row], kind="stable")
+        best.add(who[row][turn], found[turn], ids[col][turn])
+
+
+FOUND = "query_id long, vec_id long, score long"
 RANKED = "query_id long, rank int, vec_id long, score long"
 ACCESSES = ("sorted_accesses", "random_accesses", "candidates")
 
 
-def _stripe(k: int):
+def _stripe(k: int, more: tuple[str, ...]):
     def run(queries: pd.DataFrame, blocks: pd.DataFrame) -> pd.DataFrame:
         out = []
         for q in queries.itertuples():
-            own, values = np.frombuffer(q.ids, np.int64), _matrix(q.values, q.dim)
+            own = np.frombuffer(q.ids, np.int64)
+            values = _matrix(q.values, q.dim, len(own))
             best, reads = _Best(len(own), k), np.zeros((len(own), 3), np.int64)
             for b in blocks.sort_values("cblock").itertuples():
                 if b.dim == q.dim:
                     ids = np.frombuffer(b.ids, np.int64)
-                    reads[:, :2] += _search(values, own, _matrix(b.values, b.dim), ids, best)
+                    reads[:, :2] += _search(values, own, _matrix(b.values, b.dim, len(ids)), ids, best)
                     reads[:, 2] += len(ids)
-            for i, found in enumerate(best.ids):
-                # Accesses stand at the first row of a query, so that their sum counts them once.
-                counts = np.zeros((len(found), 3), np.int64)
-                counts[:1] = reads[i]
-                out.append((np.full(len(found), own[i]), found, best.scores[i], *counts.T))
-        columns = [np.concatenate(x) for x in zip(*out, strict=True)] if out else [[]] * 6
-        return pd.DataFrame(dict(zip(("query_id", "vec_id", "score", *ACCESSES), columns, strict=True)), dtype="int64")
+            rows = np.repeat(np.arange(len(own)), best.count)
+            # Accesses stand at the first row of a query, so that their sum counts them once.
+            counts = np.where(np.diff(rows, prepend=-1)[:, None] > 0, reads[rows], 0)
+            found = np.concatenate([*best.ids, *best.scores]).reshape(2, -1)
+            out.append((own[rows], *found, *counts.T[: len(more)]))
+        columns = [np.concatenate(x) for x in zip(*out, strict=True)] if out else [[]] * (3 + len(more))
+        return pd.DataFrame(dict(zip(("query_id", "vec_id", "score", *more), columns, strict=True)), dtype="int64")
 
     return run
 
@@ -236,22 +287,28 @@ def top_k(vectors: DataFrame, queries: DataFrame, k: int = TOP, accesses: bool =
     vec_id; fewer candidates give fewer rows. Only vectors of the query's length
     are compared. Left-out vectors: see ``quantised``. Equal rows are candidates each;
     a query id that occurs more than once is answered from all of its rows together.
-    Blocks of queries meet stripes of candidate blocks, one pair a task; a block's lists are
-    whole, and a later block of a stripe starts from the k-th best of those before it.
+    Blocks of queries meet stripes of candidate blocks, about one pair a task; a block's lists
+    are whole, and a later block of a stripe starts from the k-th best of those before it.
     With ``accesses`` each row also has its query's sorted_accesses (entries read from lists while
     it was open), random_accesses (rows scored) and candidates (rows in the blocks it met).
     """
     c = _numbered(_blocks(quantised(vectors), BLOCK, "block"), "cblock")
     q = _numbered(_blocks(quantised(queries), QUERY_BLOCK, "block"), "qblock")
-    c = c.withColumn("stripe", F.floor(F.col("cblock") / STRIPE))
     more = ACCESSES if accesses else ()
-    n_queries, n_stripes = q.count(), -(-c.count() // STRIPE)
-    if not n_queries or not n_stripes:
+    n_queries = q.count()
+    n_blocks, size = c.agg(F.count("*"), F.sum(F.octet_length("values"))).first()
+    if not n_queries or not n_blocks:
         return q.sparkSession.createDataFrame([], ", ".join([RANKED, *(f"{x} long" for x in more)]))
+    slots = q.sparkSession.sparkContext.defaultParallelism
+    n_stripes = min(n_blocks, max(-(-size // STRIPE_BYTES), -(-TASKS * slots // n_queries)))
+    c = c.withColumn("stripe", F.col("cblock") % n_stripes)
     # Each block goes to every task that needs it: pairs of blocks, not of vectors.
     c = c.withColumn("qblock", F.explode(F.sequence(F.lit(0), F.lit(n_queries - 1))))
-    q = q.withColumn("stripe", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(n_stripes - 1).cast("long"))))
-    found = q.groupBy("qblock", "stripe").cogroup(c.groupBy("qblock", "stripe")).applyInPandas(_stripe(k), FOUND)
+    q = q.withColumn("stripe", F.explode(F.sequence(F.lit(0), F.lit(n_stripes - 1))))
+    keys, parts = ("qblock", "stripe"), min(n_queries * n_stripes, PARTS)
+    q, c = (x.repartition(parts, *keys) for x in (q, c))
+    schema = ", ".join([FOUND, *(f"{x} long" for x in more)])
+    found = q.groupBy(*keys).cogroup(c.groupBy(*keys)).applyInPandas(_stripe(k, more), schema)
     own = Window.partitionBy("query_id")
     order = own.orderBy(F.col("score").desc(), "vec_id")
     for name in more:

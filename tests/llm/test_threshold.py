@@ -64,3 +64,31 @@ def test_blocks_are_cut_by_bytes(spark, monkeypatch):
     assert sum(len(b["ids"]) for b in blocks) == 800 and max(len(b["ids"]) for b in blocks) <= 80
     rows = top_k.top_k(table, table.where("vec_id = 50"), k=2).collect()
     assert sorted((r["rank"], r["vec_id"]) for r in rows) == [(1, 99), (2, 98)]
+
+
+def test_blocks_are_no_wider_than_their_numbers(spark):
+    rows = [(i, [float(i % 2), -1.0, 0.5]) for i in range(60)] + [(100 + i, [float((1 << 20) + i)] * 2) for i in range(40)]
+    table = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    blocks = top_k._blocks(top_k.quantised(table.coalesce(1)), 1 << 16, "block").collect()
+    assert sum(len(b["values"]) for b in blocks if b["dim"] == 3) == 60 * 3
+    assert sum(len(b["values"]) for b in blocks if b["dim"] == 2) == 4 * 40 * 2
+    got = top_k.top_k(table, table.where("vec_id in (7, 103)"), k=2)
+    want = [(7, 1, 1, 9216), (7, 2, 3, 9216), (103, 1, 139, None), (103, 2, 138, None)]
+    assert sorted((*r[:3], r[3] if r[0] == 7 else None) for r in got.collect()) == want
+
+
+@pytest.mark.parametrize("scale", [1, 1 << 10, 1 << 24])
+def test_many_queries_that_see_a_whole_block_read_together(monkeypatch, scale):
+    rng = np.random.default_rng(8)
+    c = rng.integers(-60, 60, (900, 12)) * scale
+    ids, n, seen = np.arange(900) // 2, 300, []
+    real = top_k._read
+    monkeypatch.setattr(top_k, "_read", lambda q, *rest: seen.append(len(q)) or real(q, *rest))
+    best = top_k._Best(n, 20)
+    for part in (slice(0, 500), slice(500, 900)):
+        top_k._search(c[:n], ids[:n], c[part], ids[part], best)
+    assert len(seen) < 2 * n / top_k.TOGETHER
+    for i in range(n):
+        scores = c.astype(object) @ c[i]
+        want = sorted((-s, x) for s, x in zip(scores, ids) if x != ids[i])[:20]
+        assert list(zip(best.scores[i].tolist(), best.ids[i].tolist())) == [(-s, x) for s, x in want]
