@@ -23,12 +23,14 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from leadgrade.llm.vectors import Best as _Best
+from leadgrade.llm.vectors import below, narrow
 from leadgrade.plans.sizing import written
 
 SCALE = 64.0
 TOP = 20
 #: Rows of a block at most, and its bytes at eight a component.
-BLOCK, QUERY_BLOCK = 1 << 16, 1024
+BLOCK, QUERY_BLOCK = 1 << 16, 4096
 BYTES = 32 << 20
 #: Bytes, as stored, of the candidate blocks that one task goes through for a block of queries;
 #: fewer where there would be less than so many tasks a slot.
@@ -61,12 +63,6 @@ def quantised(vectors: DataFrame, scale: float = SCALE) -> DataFrame:
     )
 
 
-def _narrow(values: np.ndarray) -> np.ndarray:
-    """``values`` in the smallest whole numbers that hold them all."""
-    low, high = int(values.min(initial=0)), int(values.max(initial=0))
-    return values.astype(next(t for t in (np.int8, np.int16, np.int32, np.int64) if np.iinfo(t).min <= low and high <= np.iinfo(t).max))
-
-
 def _blocked(limit: int):
     """Rows to blocks (dim, ids, values) of at most ``limit`` vectors of one length and ``BYTES``."""
 
@@ -77,7 +73,7 @@ def _blocked(limit: int):
             {
                 "dim": pa.array([dim], pa.int32()),
                 "ids": pa.array([ids.astype(np.int64).tobytes()], pa.binary()),
-                "values": pa.array([_narrow(values).tobytes()], pa.binary()),
+                "values": pa.array([narrow(values).tobytes()], pa.binary()),
             }
         )
 
@@ -136,40 +132,6 @@ def _products(q: np.ndarray, c: np.ndarray) -> np.ndarray:
     return np.clip(exact, -_LONG - 1, _LONG).astype(np.int64)
 
 
-class _Best:
-    """The k best (score, id) of every query of a block so far, in a row each, and how many."""
-
-    def __init__(self, queries: int, k: int):
-        self.k = k
-        self.held = np.zeros((queries, 2, k), np.int64)
-        self.count = np.zeros(queries, np.int64)
-        self.floor = np.full(queries, -np.inf)
-
-    @property
-    def scores(self) -> list[np.ndarray]:
-        return [x[0, :n] for x, n in zip(self.held, self.count.tolist(), strict=True)]
-
-    @property
-    def ids(self) -> list[np.ndarray]:
-        return [x[1, :n] for x, n in zip(self.held, self.count.tolist(), strict=True)]
-
-    def add(self, who: np.ndarray, scores: np.ndarray, ids: np.ndarray) -> None:
-        """Put (score, id) into the best of ``who``, in order: a number of a query for each."""
-        new, first, n = np.unique(who, return_index=True, return_counts=True)
-        shape = (len(new), self.k + int(n.max()))
-        row = np.repeat(np.arange(len(new)), n)
-        place = self.k + np.arange(len(who)) - np.repeat(first, n)
-        both, none = np.zeros((2, *shape), np.int64), np.ones(shape, bool)
-        both[:, :, : self.k] = self.held[new].transpose(1, 0, 2)
-        none[:, : self.k] = np.arange(self.k) >= self.count[new, None]
-        both[0, row, place], both[1, row, place], none[row, place] = scores, ids, False
-        order = np.lexsort((both[1], ~both[0], none), axis=-1)[:, : self.k]
-        self.held[new] = np.take_along_axis(both, order[None], axis=2).transpose(1, 0, 2)
-        self.count[new] = np.minimum(self.count[new] + n, self.k)
-        full = new[self.count[new] == self.k]
-        self.floor[full] = self.held[full, 0, -1]
-
-
 def _search(q: np.ndarray, own: np.ndarray, c: np.ndarray, ids: np.ndarray, best: _Best) -> np.ndarray:
     """Put the block (c, ids) into the best of the queries (q, own); the sorted and random
     accesses of every query."""
@@ -225,30 +187,13 @@ def _read(q, own, who, rows, places, ids, best: _Best, slack: float) -> np.ndarr
     return reads
 
 
-def _below(floor: np.ndarray, kind: np.dtype) -> np.ndarray:
-    """``floor`` as ``kind``, rounded down."""
-    if kind.kind != "f":
-        return floor
-    found = floor.astype(kind)
-    return np.where(found > floor, np.nextafter(found, kind.type(-np.inf)), found)
-
-
 def _merge(q, own, who, c, ids, best: _Best) -> None:
     scores = _products(q, c)
-    near = np.flatnonzero((scores >= _below(best.floor[who], scores.dtype)[:, None]).ravel())
+    near = np.flatnonzero((scores >= below(best.floor[who], scores.dtype)[:, None]).ravel())
     row, col = np.divmod(near, len(ids))
     other = ids[col] != own[row]
     row, col = row[other], col[other]
-    found, many = scores[row, col].astype(np.int64), np.bincount(row, minlength=len(who))
-    if many.max(initial=0) > 4 * best.k:
-        keep, ends = np.ones(len(row), bool), np.cumsum(many)
-        for i in np.flatnonzero(many > 4 * best.k):
-            line = slice(ends[i] - many[i], ends[i])
-            keep[line] = found[line] >= np.partition(found[line], many[i] - best.k)[many[i] - best.k]
-        row, col, found = row[keep], col[keep], found[keep]
-    if len(row):
-        turn = np.argsort(who[row], kind="stable")
-        best.add(who[row][turn], found[turn], ids[col][turn])
+    best.add(who[row], scores[row, col].astype(np.int64), ids[col])
 
 
 FOUND = "query_id long, vec_id long, score long"
