@@ -34,6 +34,8 @@ BINS = 255
 #: Rows of a block, and bytes of bins up to which a task trains a model alone. Fewer models than
 #: slots would leave slots idle: a quarter of these bytes is their limit.
 BLOCK, TASK_BYTES = 1 << 14, 128 << 20
+#: Rows of a leaf from which on its sums are taken line by line.
+FEW = 1 << 11
 #: Bytes of all tasks' sums of a pass that are merged without another stage.
 MERGE_BYTES = 8 << 20
 #: Blocks keep their margins for so many trees before they are written again.
@@ -241,16 +243,75 @@ def log_odds(positive: int, negative: int) -> float:
     return float(np.log(positive / negative)) if positive > 0 and negative > 0 else 0.0
 
 
+class Turns(NamedTuple):
+    """``Unusual`` of rows with ever fewer unusual bins: line ``t`` of the places has one in its
+    first ``ends[t]`` rows alone, so nothing that fills up is read. A row's places stand together, in
+    ``lines`` (rows, most of a row)."""
+
+    lines: np.ndarray
+    usual: np.ndarray
+    ends: list[int]
+
+
+def turns(bins: np.ndarray, starts: np.ndarray) -> tuple[np.ndarray, Turns]:
+    """An order of the columns of ``bins``, and their places in that order."""
+    usual = np.array([np.bincount(b, minlength=1).argmax() for b in bins], np.int64)
+    count = np.count_nonzero(bins != usual[:, None], axis=0)
+    order = np.argsort(-count, kind="stable")
+    own = unusual(bins[:, order], starts)
+    lines = np.ascontiguousarray(own.places.T, np.uint16 if starts[-1] < 1 << 16 else np.int32)
+    return order, Turns(lines, usual, [int((count > t).sum()) for t in range(lines.shape[1])])
+
+
+def sums_of_leaves(of: Turns, starts: np.ndarray, leaves: Sequence[np.ndarray], stats: np.ndarray) -> list[np.ndarray]:
+    """``leaf_sums`` of leaves that have these rows, in rising order; ``stats`` are those of all
+    rows. Leaves of few rows are summed together."""
+    few = [i for i, rows in enumerate(leaves) if len(rows) < FEW]
+    found = [None if i in few else _sums_by_line(of, starts, rows, stats) for i, rows in enumerate(leaves)]
+    if few:
+        rows = np.concatenate([leaves[i] for i in few])
+        slot = np.repeat(np.arange(len(few)), [len(leaves[i]) for i in few])
+        own = Unusual(of.lines[rows].T, of.usual)
+        for i, sums in zip(few, leaf_sums(own, starts, slice(None), slot, stats[:, rows], len(few)), strict=True):
+            found[i] = sums
+    return found
+
+
+def _sums_by_line(of: Turns, starts: np.ndarray, rows: np.ndarray, stats: np.ndarray) -> np.ndarray:
+    width = int(starts[-1])
+    out, total = np.zeros((3, width)), np.zeros(3)
+    for low in range(0, len(rows), BLOCK):
+        some = rows[low : low + BLOCK]
+        # Rows without a gap are read where they stand.
+        unbroken = some[-1] - some[0] == len(some) - 1
+        at = slice(some[0], some[-1] + 1) if unbroken else some
+        lines, gradient, curvature = of.lines[at], stats[0][at], stats[1][at]
+        total += gradient.sum(), curvature.sum(), len(some)
+        for t, end in enumerate(of.ends):
+            n = int(np.searchsorted(some, end))
+            if not n:
+                break
+            key = lines[:n, t].astype(np.intp)
+            out[0] += np.bincount(key, gradient[:n], width)
+            out[1] += np.bincount(key, curvature[:n], width)
+            out[2] += np.bincount(key, minlength=width)
+    out[:, starts[:-1] + of.usual] += total[:, None] - np.add.reduceat(out, starts[:-1], axis=1)
+    return out
+
+
 def train_alone(
     bins: np.ndarray, label: np.ndarray, weight: np.ndarray, spec: Spec, starts: np.ndarray,
     base: float, min_rows: int = MIN_ROWS,
 ) -> list[Tree]:
-    """All trees of one model over rows that are in memory."""
-    own, margin, trees = unusual(bins, starts), np.full(len(label), base), []
+    """All trees of one model over rows that are in memory. Every leaf has its rows, so that a
+    split reads the rows of its own leaf only."""
+    order, own = turns(bins, starts)
+    bins, label, weight = bins[:, order], label[order], weight[order]
+    margin, trees = np.full(len(label), base), []
     for _ in range(spec.trees):
-        stats = gradients(margin, label, weight)
-        growth, leaf = Growth(spec, min_rows), np.zeros(len(label), np.int32)
-        known = {0: leaf_sums(own, starts, slice(None), np.zeros(len(label), np.int64), stats, 1)[0]}
+        stats, growth = gradients(margin, label, weight), Growth(spec, min_rows)
+        held = {0: np.arange(len(label))}
+        known = {0: sums_of_leaves(own, starts, [held[0]], stats)[0]}
         while growth.open or growth.waiting:
             cuts = best_cuts(np.stack([known[n] for n in growth.open]), starts, min_rows) if growth.open else None
             split = growth.advance(cuts)
@@ -258,19 +319,16 @@ def train_alone(
                 break
             for node in split:
                 feature, cut, a, b = growth.nodes[node]
-                rows = np.flatnonzero(leaf == node)
-                leaf[rows] = np.where(bins[feature, rows] <= cut, a, b)
+                rows = held.pop(node)
+                goes_left = bins[feature].take(rows) <= cut
+                held[a], held[b] = rows[goes_left], rows[~goes_left]
             small = growth.smaller(split)
-            if not small:
-                continue
-            slot = np.full(len(growth.nodes), -1)
-            slot[list(small)] = np.arange(len(small))
-            rows = np.flatnonzero(slot[leaf] >= 0)
-            found = leaf_sums(own, starts, rows, slot[leaf[rows]], stats[:, rows], len(small))
-            growth.learn(known, small, found)
+            if small:
+                growth.learn(known, small, sums_of_leaves(own, starts, [held[n] for n in small], stats))
         tree = growth.tree()
         trees.append(tree)
-        margin += tree.value[leaf]
+        for leaf, rows in held.items():
+            margin[rows] += tree.value[leaf]
     return trees
 
 

@@ -236,3 +236,28 @@ def test_a_separable_table_ends(spark, table):
     separable = data.select("lead_id", (data.lead_id % 2).cast("double").alias("label"), "features", "weight", "fold")
     trained = models.train_logistic(separable.where("label = 1"), (1.0,))
     assert trained.model.stages[0].intercept > 5
+
+
+def test_sums_of_leaves_read_no_filling(monkeypatch):
+    rng = np.random.default_rng(15)
+    codes = np.stack([rng.integers(0, 40, 3000) * (rng.random(3000) < share) for share in (0.9, 0.5, 0.2, 0.1, 0.05)]).astype(np.uint8)
+    starts = np.concatenate([[0], np.cumsum([40] * 5)])
+    order, of = boosting.turns(codes, starts)
+    codes = codes[:, order]
+    places = starts[:-1, None] + codes
+    counts = (of.lines < starts[-1]).sum(axis=1)
+    assert (np.diff(counts) <= 0).all() and of.ends == [(counts > t).sum() for t in range(of.lines.shape[1])]
+    stats = boosting.gradients(rng.normal(size=3000), rng.integers(0, 2, 3000), rng.random(3000))
+    picked = rng.integers(0, 5, 3000)
+    leaves = [np.flatnonzero(picked == i) for i in range(3)] + [np.arange(700, 1900), np.arange(3000), np.arange(0)]
+    want = [boosting.histogram(places[:, r], np.zeros(len(r), np.int64), stats[:, r], 1, int(starts[-1]))[0] for r in leaves]
+    read, real = [], np.bincount
+    for few, block in ((0, 256), (650, 1 << 14), (10**6, 64)):
+        monkeypatch.setattr(boosting, "FEW", few)
+        monkeypatch.setattr(boosting, "BLOCK", block)
+        found = boosting.sums_of_leaves(of, starts, leaves, stats)
+        assert all(np.array_equal(a, b) for a, b in zip(found, want, strict=True))
+    monkeypatch.setattr(boosting, "FEW", 0)
+    monkeypatch.setattr(np, "bincount", lambda x, *a, **b: read.append(len(x)) or real(x, *a, **b))
+    boosting.sums_of_leaves(of, starts, [np.arange(3000)], stats)
+    assert sum(read) == 3 * counts.sum() < 0.7 * 3 * of.lines.size
